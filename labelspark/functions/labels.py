@@ -36,7 +36,7 @@ def no_labels() -> Column:
 
 def canonical(labels: Column) -> Column:
     """Entries in name order: the identity and the sort key of a label set."""
-    return F.array_sort(F.map_entries(labels))
+    return F.sort_array(F.map_entries(labels))
 
 
 def normalize(labels: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPOCH = datetime(1970, 1, 1)
@@ -19,9 +19,9 @@ def from_seconds(seconds: Column) -> Column:
 
 
 def to_millis(ts: Column) -> Column:
-    """Milliseconds of a TIMESTAMP_NTZ, whatever the session time zone."""
+    """Milliseconds of a TIMESTAMP_NTZ, rounded down, whatever the session time zone."""
     since = ts - F.lit(EPOCH).cast("timestamp_ntz")
-    return F.call_function("div", since, F.expr("interval '0.001' second"))
+    return floor_div(F.call_function("div", since, F.expr("interval '0.000001' second")), 1000)
 
 
 def ntz(ms: int) -> Column:
@@ -42,3 +42,19 @@ def floor_div(value: Column, by: int | Column) -> Column:
 
 def ceil_div(value: Column, by: int | Column) -> Column:
     return -floor_div(-value, by)
+
+
+def bounded(df: DataFrame, after: int, until: int) -> DataFrame:
+    """Samples with a time in ``(after, until]``.
+
+    The same is said of a raw timestamp column ``ts`` and of a partition column
+    ``day`` if the table has them, so that the scan can skip the rest.
+    """
+    time = F.col("ts_ms")
+    inside = (time > after) & (time <= until)
+    if "ts" in df.columns:
+        inside &= (F.col("ts") >= ntz(after + 1)) & (F.col("ts") < ntz(until + 1))
+    if "day" in df.columns:
+        first, last = (EPOCH.date() + timedelta(days=ms // 86_400_000) for ms in (after + 1, until))
+        inside &= F.col("day").between(F.lit(first), F.lit(last))
+    return df.filter(inside)

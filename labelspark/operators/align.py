@@ -16,7 +16,7 @@ from math import gcd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from labelspark.functions.times import ceil_div, floor_div
+from labelspark.functions.times import bounded, ceil_div, floor_div
 
 KEYS = ("source", "labels_c")
 
@@ -33,6 +33,15 @@ def _check_grid(start: int, end: int, step: int, lookback: int) -> int:
     return (end - start) // step + 1
 
 
+def hashed(df: DataFrame, keys) -> tuple[DataFrame, tuple[str, ...]]:
+    """The frame with a hash of the series in front of its keys.
+
+    Sorts then mostly compare one number instead of label lists; the keys stay
+    part of the grouping, so equal hashes do not merge series.
+    """
+    return df.withColumn("_hash", F.xxhash64(*keys)), ("_hash", *keys)
+
+
 def _latest(value: str, tiebreak: str | None) -> Column:
     order = F.struct("ts_ms", tiebreak) if tiebreak else F.col("ts_ms")
     return F.max_by(value, order).alias(value)
@@ -41,9 +50,7 @@ def _latest(value: str, tiebreak: str | None) -> Column:
 def instant_select(df, at: int, lookback: int, keys=KEYS, tiebreak: str | None = None) -> DataFrame:
     """The latest sample of each series in ``(at - lookback, at]``, at time ``at``."""
     _check_grid(at, at, 1, lookback)
-    ts = F.col("ts_ms")
-    seen = df.filter((ts > at - lookback) & (ts <= at))
-    latest = seen.groupBy(*keys).agg(_latest("value", tiebreak))
+    latest = bounded(df, at - lookback, at).groupBy(*keys).agg(_latest("value", tiebreak))
     return latest.select(*keys, F.lit(at).cast("bigint").alias("ts_ms"), "value")
 
 
@@ -60,7 +67,7 @@ def range_select(
     points = _check_grid(start, end, step, lookback)
     ts, slot = F.col("ts_ms"), F.col("slot")
     last_time = start + (points - 1) * step
-    seen = df.filter((ts > start - lookback) & (ts <= last_time))
+    seen = bounded(df, start - lookback, last_time)
     seen = seen.withColumn("slot", F.greatest(ceil_div(ts - start, step), F.lit(0).cast("bigint")))
     kept = seen.groupBy(*keys, "slot").agg(F.max("ts_ms").alias("seen_ms"), _latest("value", tiebreak))
 
@@ -69,7 +76,8 @@ def range_select(
         # No sample outlives its own grid time, so the successor is of no interest.
         on_grid = kept.filter(reach >= slot)
     else:
-        following = F.lead("slot").over(Window.partitionBy(*keys).orderBy("slot"))
+        kept, series = hashed(kept, keys)
+        following = F.lead("slot").over(Window.partitionBy(*series).orderBy("slot"))
         last_slot = F.least(reach, F.coalesce(following - 1, F.lit(points - 1).cast("bigint")))
         on_grid = (
             kept.withColumn("last_slot", last_slot)
@@ -89,7 +97,7 @@ def _block_ms(step: int, window: int) -> int:
 
 
 def _counter_blocks(df: DataFrame, start: int, end: int, step: int, window: int, keys) -> DataFrame:
-    """Counter samples summed up per series and time block.
+    """Counter samples summed up per series and time block, with the series hash.
 
     Block ``k`` covers ``(start + (k-1)*b, start + k*b]``.  ``gain`` is the
     increase from the first to the last sample of the block, with a fall of the
@@ -97,7 +105,8 @@ def _counter_blocks(df: DataFrame, start: int, end: int, step: int, window: int,
     """
     points = _check_grid(start, end, step, window)
     block, ts = _block_ms(step, window), F.col("ts_ms")
-    seen = df.filter((ts > start - window) & (ts <= start + (points - 1) * step))
+    df, keys = hashed(df, keys)
+    seen = bounded(df, start - window, start + (points - 1) * step)
     seen = seen.withColumn("k", ceil_div(ts - start, block))
     in_block = Window.partitionBy(*keys, "k").orderBy("ts_ms")
     pairs = seen.select(
@@ -134,7 +143,7 @@ def counter_rate(df, start: int, end: int, step: int, window: int, keys=KEYS) ->
     block = _block_ms(step, window)
     per_step, per_window = step // block, window // block
     k = F.col("k")
-    in_series = Window.partitionBy(*keys).orderBy("k")
+    in_series = Window.partitionBy("_hash", *keys).orderBy("k")
     blocks = _counter_blocks(df, start, end, step, window, keys)
     crossing = F.coalesce(_rise(F.lag("last_value").over(in_series), F.col("first_value")), F.lit(0.0))
     blocks = blocks.withColumn("gain_with_crossing", F.col("gain") + crossing)
@@ -148,31 +157,27 @@ def counter_rate(df, start: int, end: int, step: int, window: int, keys=KEYS) ->
     closes = F.least(floor_div(k + (per_window - 1), per_step), F.lit(points - 1).cast("bigint"))
     succ = floor_div(F.lead("k").over(in_series) - 1, per_step)
     pred = floor_div(F.lag("k").over(in_series) + (per_window - 1), per_step)
-    blocks = blocks.select(
-        *keys,
-        "first_ts",
-        "last_ts",
-        "total",
-        (F.col("total") - F.col("gain")).alias("total_at_first"),
-        opens.alias("opens"),
-        closes.alias("closes"),
-        F.least(closes, F.coalesce(succ, closes)).alias("last_until"),
-        F.greatest(opens, F.coalesce(pred + 1, opens)).alias("first_from"),
+    as_last = F.struct(
+        opens.alias("from"),
+        F.least(closes, F.coalesce(succ, closes)).alias("until"),
+        F.col("total"),
+        F.col("last_ts"),
+        F.lit(None).cast("double").alias("total_at_first"),
+        F.lit(None).cast("bigint").alias("first_ts"),
     )
-
-    def slots(lo: str, hi: str, as_last: bool) -> Column:
-        wanted = F.when(F.col(lo) <= F.col(hi), F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
-        return F.transform(wanted, lambda i: F.struct(i.alias("slot"), F.lit(as_last).alias("as_last")))
-
-    roles = blocks.withColumn(
-        "role", F.explode(F.concat(slots("opens", "last_until", True), slots("first_from", "closes", False)))
+    as_first = F.struct(
+        F.greatest(opens, F.coalesce(pred + 1, opens)).alias("from"),
+        closes.alias("until"),
+        F.lit(None).cast("double").alias("total"),
+        F.lit(None).cast("bigint").alias("last_ts"),
+        (F.col("total") - F.col("gain")).alias("total_at_first"),
+        F.col("first_ts"),
     )
-    as_last = F.col("role.as_last")
-    ends = roles.groupBy(*keys, F.col("role.slot").alias("slot")).agg(
-        F.max(F.when(as_last, F.col("total"))).alias("total"),
-        F.max(F.when(as_last, F.col("last_ts"))).alias("last_ts"),
-        F.max(F.when(~as_last, F.col("total_at_first"))).alias("total_at_first"),
-        F.max(F.when(~as_last, F.col("first_ts"))).alias("first_ts"),
+    roles = blocks.select("_hash", *keys, as_last.alias("as_last"), as_first.alias("as_first"))
+    roles = roles.select("_hash", *keys, F.inline(F.array("as_last", "as_first"))).filter("from <= until")
+    roles = roles.withColumn("slot", F.explode(F.sequence("from", "until")))
+    ends = roles.groupBy("_hash", *keys, "slot").agg(
+        *(F.max(c).alias(c) for c in ("total", "last_ts", "total_at_first", "first_ts"))
     )
     seconds = (F.col("last_ts") - F.col("first_ts")) / 1000.0
     return ends.filter("last_ts > first_ts").select(
@@ -187,7 +192,7 @@ def counter_irate(df, start: int, end: int, step: int, window: int, keys=KEYS) -
     points = _check_grid(start, end, step, window)
     block = _block_ms(step, window)
     per_step, per_window = step // block, window // block
-    in_series = Window.partitionBy(*keys).orderBy("k")
+    in_series = Window.partitionBy("_hash", *keys).orderBy("k")
     blocks = _counter_blocks(df, start, end, step, window, keys)
     k = F.col("k")
     opens = F.greatest(ceil_div(k, per_step), F.lit(0).cast("bigint"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from labelspark.functions import labels as L
 from labelspark.operators.routing import attach_external
+from labelspark.operators.series import in_range
 
 # The time bounds of a label set that nothing limits.
 MIN_TIME = -(2**63)
@@ -23,9 +24,9 @@ def lookback_range(now_ms: int, lookback_ms: int) -> tuple[int, int] | None:
     return (now_ms - lookback_ms, now_ms) if lookback_ms else None
 
 
-def within_lookback(df: DataFrame, now_ms: int, lookback_ms: int, ts: str = "ts_ms") -> DataFrame:
+def within_lookback(samples: DataFrame, now_ms: int, lookback_ms: int) -> DataFrame:
     bounds = lookback_range(now_ms, lookback_ms)
-    return df if bounds is None else df.filter(F.col(ts).between(*bounds))
+    return samples if bounds is None else in_range(samples, *bounds)
 
 
 def check_names(names: Sequence[str]) -> None:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from labelspark.functions import labels as L
 from labelspark.functions.steps import SAMPLES_PER_CHUNK
-from labelspark.functions.times import floor_div
+from labelspark.functions.times import bounded, floor_div
 from labelspark.operators.align import KEYS, MAX_BLOCK_MS
 
 SAMPLE = "struct<ts_ms:bigint,value:double>"
@@ -27,7 +27,7 @@ def in_range(df: DataFrame, start: int, end: int) -> DataFrame:
     """Samples between two times, both inclusive."""
     if end < start:
         raise ValueError("max_time must be greater than or equal to min_time")
-    return df.filter(F.col("ts_ms").between(start, end))
+    return bounded(df, start - 1, end)
 
 
 def overlapping(series: DataFrame, start: int, end: int) -> DataFrame:

@@ -59,7 +59,7 @@ class Tables:
             ts_ms=to_millis(F.col("ts")),
             value=value,
             promoted={L.METRIC_NAME: F.lit(metric), "event_type": F.col("event_type")},
-            carry=["event_id"],
+            carry=["event_id", "ts"],
         )
 
     def values(self) -> DataFrame:
@@ -85,7 +85,7 @@ class Tables:
             labels=labels,
             ts_ms=to_millis(F.col("ts")),
             value=F.col("value"),
-            carry=["event_id"],
+            carry=["event_id", "ts"],
         )
 
     def by_type(self) -> DataFrame:
@@ -96,7 +96,7 @@ class Tables:
             labels=L.label_map({L.METRIC_NAME: F.lit("event_value"), "event_type": F.col("event_type")}),
             ts_ms=to_millis(F.col("ts")),
             value=F.col("value"),
-            carry=["event_id"],
+            carry=["event_id", "ts"],
         )
         return with_identity(long_series)
 
@@ -134,7 +134,7 @@ class Tables:
             ts_ms=to_millis(F.col("l_shipdate")),
             value=F.col("l_extendedprice"),
             promoted={"flag": F.col("l_returnflag"), "status": F.col("l_linestatus")},
-            carry=["l_orderkey", "l_linenumber"],
+            carry=["l_orderkey", "l_linenumber", F.col("l_shipdate").alias("ts")],
         )
 
     def order_totals(self) -> DataFrame:
@@ -152,6 +152,7 @@ class Tables:
             ),
             ts_ms=to_millis(F.col("o_orderdate")),
             value=F.col("o_totalprice"),
+            carry=[F.col("o_orderdate").alias("ts")],
         )
 
 

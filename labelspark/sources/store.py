@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelspark.functions import labels as L
-from labelspark.functions.times import day_of
+from labelspark.functions.times import bounded, day_of
 from labelspark.operators.series import series_table, with_identity
 
 
@@ -20,12 +20,13 @@ def samples_from(
     ts_ms: Column,
     value: Column,
     promoted: Mapping[str, Column] | None = None,
-    carry: Sequence[str] = (),
+    carry: Sequence[str | Column] = (),
 ) -> DataFrame:
     """Samples out of any table.
 
     ``promoted`` maps label names to plain columns that hold them, so that
     matchers on them reach the scan; ``__name__`` goes to the column ``name``.
+    A raw timestamp carried as ``ts`` does the same for time ranges.
     """
     hot = [
         c.alias("name" if label == L.METRIC_NAME else f"label_{label}")
@@ -72,12 +73,7 @@ def read_samples(
 ) -> DataFrame:
     """Stored samples in ``(after, until]``; only the days of the range are listed."""
     samples = spark.read.option("mergeSchema", "false").parquet(path)
-    ts, day = F.col("ts_ms"), F.col("day")
-    if after is not None:
-        samples = samples.filter((ts > after) & (day >= day_of(F.lit(after).cast("bigint"))))
-    if until is not None:
-        samples = samples.filter((ts <= until) & (day <= day_of(F.lit(until).cast("bigint"))))
-    return samples
+    return samples if after is None or until is None else bounded(samples, after, until)
 
 
 def write_series(samples: DataFrame, path: str) -> None:
