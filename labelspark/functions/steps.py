@@ -17,11 +17,15 @@ SAMPLES_PER_CHUNK = 120
 LOOKBACK_MS = 300_000
 
 
+def _nanos(ms: Column) -> Column:
+    return ms.cast("bigint") * NANOS
+
+
 def step_choice(hint_ms: Column, step_ms: Column, fallback_ns: Column) -> Column:
     """The first positive of hint, request step and fallback; else one minute."""
     return F.coalesce(
-        F.when(hint_ms > 0, hint_ms * NANOS),
-        F.when(step_ms > 0, step_ms * NANOS),
+        F.when(hint_ms > 0, _nanos(hint_ms)),
+        F.when(step_ms > 0, _nanos(step_ms)),
         F.when(fallback_ns > 0, fallback_ns),
         F.lit(DEFAULT_STEP_NS),
     ).cast("bigint")
@@ -42,7 +46,7 @@ def min_step(range_ns: Column, max_points: Column) -> Column:
 
 def step_clamped(step_ns: Column, start_ms: Column, end_ms: Column, max_points: Column) -> Column:
     """The step, raised as far as the point cap asks for."""
-    return F.greatest(step_ns, min_step((end_ms - start_ms) * NANOS, max_points))
+    return F.greatest(step_ns, min_step(_nanos(end_ms - start_ms), max_points))
 
 
 def plan_step(

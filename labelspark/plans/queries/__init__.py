@@ -1,5 +1,5 @@
 """Registered queries, by area.  Importing a module registers its queries."""
 
-from labelspark.plans.queries import discovery, filters, labels, ranges, requests, routing, values
+from labelspark.plans.queries import discovery, filters, labels, ranges, requests, routing, streams, values
 
-__all__ = ["discovery", "filters", "labels", "ranges", "requests", "routing", "values"]
+__all__ = ["discovery", "filters", "labels", "ranges", "requests", "routing", "streams", "values"]
