@@ -20,12 +20,15 @@ SALTS = 32
 
 
 def routing_condition(*selectors: Selector) -> Column:
-    """True for a source accepted by every matcher of every selector."""
+    """True for a source accepted by every matcher of every selector.
+
+    Never null, and made of plain comparisons, from which Spark sees that it
+    is worth pruning partitions by it.
+    """
     checks = []
     for matcher in dict.fromkeys(m for chosen in selectors for m in chosen):
-        own = F.col("external_labels")[matcher.name]
-        unset = F.coalesce(own, F.lit("")) == ""
-        checks.append(unset | F.coalesce(matcher.accepts(own), F.lit(False)))
+        own = F.coalesce(F.col("external_labels")[matcher.name], F.lit(""))
+        checks.append((own == "") | matcher.accepts(own))
     return all_of(checks)
 
 
