@@ -76,7 +76,8 @@ def range_select(
         # No sample outlives its own grid time, so the successor is of no interest.
         on_grid = kept.filter(reach >= slot)
     else:
-        kept, series = hashed(kept, keys)
+        # Shuffled by the plain keys, so that chunking and nesting need no shuffle of their own.
+        kept, series = hashed(kept.repartition(*keys), keys)
         following = F.lead("slot").over(Window.partitionBy(*series).orderBy("slot"))
         last_slot = F.least(reach, F.coalesce(following - 1, F.lit(points - 1).cast("bigint")))
         on_grid = (

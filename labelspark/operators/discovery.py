@@ -27,8 +27,8 @@ def label_names(
     """
     hits = federate(df, sources, chosen, external_names=external_names, on_empty="no filter")
     name_sets = hits.select(
-        F.array_sort(F.map_keys("labels")).alias("own"),
-        F.array_sort(F.map_keys("external_labels")).alias("external"),
+        F.sort_array(F.map_keys("labels")).alias("own"),
+        F.sort_array(F.map_keys("external_labels")).alias("external"),
     ).distinct()
     names = (
         name_sets.filter(F.size("own") > 0)

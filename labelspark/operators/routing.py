@@ -10,12 +10,12 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import AtomicType
 
 from labelspark.functions import labels as L
 from labelspark.operators.matchers import Selector, all_of, matching, selector, stored_column
 
-# Copies of each source row in the join to its samples, see `by_source`.
+# Copies of each source row in the join to its samples, a power of two; see `by_source`.
 SALTS = 32
 
 
@@ -51,9 +51,9 @@ def by_source(df: DataFrame, sources: DataFrame, how: str = "inner") -> DataFram
     which also keeps a later grouping from reusing a partitioning by source
     alone.
     """
-    others = [f.name for f in df.schema if f.name != "source" and not isinstance(f.dataType, MapType)]
-    spread_on = ["ts_ms"] if "ts_ms" in others else others or [F.lit(0)]
-    salted_rows = df.withColumn("_salt", F.pmod(F.hash(*spread_on), F.lit(SALTS)))
+    plain = [f.name for f in df.schema if f.name != "source" and isinstance(f.dataType, AtomicType)]
+    spread_on = next(([c] for c in ("ts_ms", "labels_c") if c in df.columns), plain or [F.lit(0)])
+    salted_rows = df.withColumn("_salt", F.hash(*spread_on).bitwiseAND(SALTS - 1))
     copies = sources.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted_rows.join(copies, ["source", "_salt"], how).drop("_salt")
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from labelspark.functions import labels as L
 from labelspark.functions.steps import SAMPLES_PER_CHUNK
 from labelspark.functions.times import bounded, floor_div
-from labelspark.operators.align import KEYS, MAX_BLOCK_MS
+from labelspark.operators.align import KEYS, MAX_BLOCK_MS, hashed
 
 SAMPLE = "struct<ts_ms:bigint,value:double>"
 
@@ -68,7 +68,7 @@ def require_instant(df: DataFrame) -> None:
 
 
 def _samples_in_order() -> Column:
-    return F.array_sort(F.collect_list(F.struct("ts_ms", "value")))
+    return F.sort_array(F.collect_list(F.struct("ts_ms", "value")))
 
 
 def nest(df: DataFrame, keys=KEYS) -> DataFrame:
@@ -90,13 +90,15 @@ def chunk_grid(df: DataFrame, keys=KEYS, size: int = SAMPLES_PER_CHUNK) -> DataF
     The point cap bounds the rows of a series, so one window per series does;
     the grouping reuses its partitioning.
     """
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy("ts_ms")) - 1
+    df, series = hashed(df, keys)
+    number = F.row_number().over(Window.partitionBy(*series).orderBy("ts_ms")) - 1
     numbered = df.withColumn("chunk", floor_div(number.cast("bigint"), size))
-    return numbered.groupBy(*keys, "chunk").agg(
+    chunks = numbered.groupBy(*series, "chunk").agg(
         F.min("ts_ms").alias("min_time"),
         F.max("ts_ms").alias("max_time"),
         _samples_in_order().alias("samples"),
     )
+    return chunks.drop("_hash")
 
 
 def chunk_raw(
@@ -114,6 +116,7 @@ def chunk_raw(
     one row, so a chunk is put together from few rows.
     """
     order = ["ts_ms", *([tiebreak] if tiebreak else [])]
+    df, keys = hashed(df, keys)
     blocked = df.withColumn("block", floor_div(F.col("ts_ms"), block_ms))
     earlier = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -133,18 +136,19 @@ def chunk_raw(
         F.max("ts_ms").alias("max_time"),
         F.collect_list(sample).alias("part"),
     )
-    whole = F.array_sort(F.flatten(F.collect_list("part")))
-    return parts.groupBy(*keys, "chunk").agg(
+    whole = F.sort_array(F.flatten(F.collect_list("part")))
+    chunks = parts.groupBy(*keys, "chunk").agg(
         F.min("min_time").alias("min_time"),
         F.max("max_time").alias("max_time"),
-        F.transform(whole, lambda s: s["sample"]).alias("samples"),
+        whole["sample"].alias("samples"),
     )
+    return chunks.drop("_hash")
 
 
 def chunks_of_series(chunks: DataFrame, keys=KEYS) -> DataFrame:
     """One row per series with its chunks in time order."""
     chunk = F.struct("min_time", "max_time", "samples")
-    return chunks.groupBy(*keys).agg(F.array_sort(F.collect_list(chunk)).alias("chunks"))
+    return chunks.groupBy(*keys).agg(F.sort_array(F.collect_list(chunk)).alias("chunks"))
 
 
 def sorted_series(df: DataFrame) -> DataFrame:
