@@ -20,12 +20,13 @@ def label_names(
     dropped: Iterable[str] = (),
     replica: Iterable[str] = (),
     external_names: Iterable[str] | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Distinct label names, sorted; external ones only of sources with a hit.
 
     Rows are first reduced to the few distinct sets of names.
     """
-    hits = federate(df, sources, chosen, external_names=external_names, on_empty="no filter")
+    hits = federate(df, sources, chosen, external_names=external_names, on_empty="no filter", small=small)
     name_sets = hits.select(
         F.sort_array(F.map_keys("labels")).alias("own"),
         F.sort_array(F.map_keys("external_labels")).alias("external"),
@@ -48,6 +49,7 @@ def label_values(
     dropped: Iterable[str] = (),
     replica: Iterable[str] = (),
     external_names: Iterable[str] | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """Distinct values of one label, sorted.
 
@@ -66,6 +68,7 @@ def label_values(
         chosen,
         external_names=external_names,
         on_empty="no filter",
+        small=small,
     )
     found = hits.select(L.stored(F.col("labels"), label).alias("value")).filter("value IS NOT NULL")
     return found.union(configured).distinct().orderBy("value")

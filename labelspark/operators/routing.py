@@ -15,7 +15,11 @@ from pyspark.sql.types import AtomicType
 from labelspark.functions import labels as L
 from labelspark.operators.matchers import Selector, all_of, matching, selector, stored_column
 
-# Copies of each source row in the join to its samples, a power of two; see `by_source`.
+# Up to this size a source table is broadcast.
+BROADCAST_ROWS = 50_000
+BROADCAST_BYTES = 32 * 2**20
+
+# Copies of each row of a larger source table in the join to its samples, a power of two.
 SALTS = 32
 
 
@@ -41,16 +45,27 @@ def unrouted(sources: DataFrame, *selectors: Selector) -> DataFrame:
     return sources.filter(~routing_condition(*selectors))
 
 
-def by_source(df: DataFrame, sources: DataFrame, how: str = "inner") -> DataFrame:
+def fits_broadcast(sources: DataFrame) -> bool:
+    """Whether the source table is small enough to be sent to every executor.
+
+    Fetches one number per row, and at most one row more than the bound.
+    """
+    size = F.octet_length("source") + F.coalesce(F.octet_length(F.to_json("external_labels")), F.lit(0))
+    sizes = [row[0] or 0 for row in sources.select(size).take(BROADCAST_ROWS + 1)]
+    return len(sizes) <= BROADCAST_ROWS and sum(sizes) <= BROADCAST_BYTES
+
+
+def by_source(df: DataFrame, sources: DataFrame, how: str = "inner", *, small: bool) -> DataFrame:
     """Join rows to the source table on the source.
 
-    No broadcast is asked for: Spark broadcasts the source table when it is
-    below ``spark.sql.autoBroadcastJoinThreshold``, and then also prunes the
-    partitions of other sources.  A larger table is joined by shuffle.  As one
-    source may hold much of the data, its rows are spread over several salts,
-    which also keeps a later grouping from reusing a partitioning by source
-    alone.
+    A source table of checked size is broadcast, which also lets Spark prune
+    the partitions of sources that are not routed.  A larger one is joined by
+    shuffle.  As one source may hold much of the data, its rows are then
+    spread over several salts; this also keeps a later grouping from reusing a
+    partitioning by source alone.
     """
+    if small:
+        return df.join(F.broadcast(sources), "source", how)
     plain = [f.name for f in df.schema if f.name != "source" and isinstance(f.dataType, AtomicType)]
     spread_on = next(([c] for c in ("ts_ms", "labels_c") if c in df.columns), plain or [F.lit(0)])
     salted_rows = df.withColumn("_salt", F.hash(*spread_on).bitwiseAND(SALTS - 1))
@@ -58,14 +73,20 @@ def by_source(df: DataFrame, sources: DataFrame, how: str = "inner") -> DataFram
     return salted_rows.join(copies, ["source", "_salt"], how).drop("_salt")
 
 
-def keep_routed(df: DataFrame, sources: DataFrame, *selectors: Selector) -> DataFrame:
+def keep_routed(df: DataFrame, sources: DataFrame, *selectors: Selector, small: bool | None = None) -> DataFrame:
     """Rows of the routed sources only, without reading their labels."""
-    return by_source(df, routed(sources, *selectors).select("source"), "left_semi")
+    small = fits_broadcast(sources) if small is None else small
+    return by_source(df, routed(sources, *selectors).select("source"), "left_semi", small=small)
+
 
+def attach_external(df: DataFrame, sources: DataFrame, *, small: bool | None = None) -> DataFrame:
+    """Each row with the external labels of its source beside it.
 
-def attach_external(df: DataFrame, sources: DataFrame) -> DataFrame:
-    """Each row with the external labels of its source beside it."""
-    return by_source(df, sources.select("source", "external_labels"))
+    ``small`` says whether the source table may be broadcast; left out, its
+    size is checked.
+    """
+    small = fits_broadcast(sources) if small is None else small
+    return by_source(df, sources.select("source", "external_labels"), small=small)
 
 
 def effective_condition(df: DataFrame, chosen: Selector) -> Column:
@@ -84,6 +105,7 @@ def federate(
     *,
     external_names: Iterable[str] | None = None,
     on_empty: str = "all",
+    small: bool | None = None,
 ) -> DataFrame:
     """Rows of all sources that fit the selector, with ``external_labels``.
 
@@ -100,7 +122,8 @@ def federate(
     mixed = Selector(*(m for m in chosen if m not in plain))
     if plain:
         df = matching(df, plain)
-    joined = attach_external(df, routed(sources, mixed))
+    small = fits_broadcast(sources) if small is None else small
+    joined = attach_external(df, routed(sources, mixed), small=small)
     if mixed:
         joined = joined.filter(effective_condition(joined, mixed))
     if on_empty == "all" and not plain:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 
@@ -11,7 +12,14 @@ from labelspark.functions import steps
 from labelspark.operators import align, discovery, series
 from labelspark.operators.matchers import Selector
 from labelspark.operators.projection import finish_labels
-from labelspark.operators.routing import attach_external, federate, require_own_matcher, routed, scalar_rows
+from labelspark.operators.routing import (
+    attach_external,
+    federate,
+    fits_broadcast,
+    require_own_matcher,
+    routed,
+    scalar_rows,
+)
 
 
 @dataclass(frozen=True)
@@ -37,18 +45,24 @@ class Federation:
         """Only the sources that every selector of a composed expression accepts."""
         return replace(self, sources=routed(self.sources, *selectors))
 
+    @cached_property
+    def small(self) -> bool:
+        """Whether the source table may be broadcast, looked up once."""
+        return fits_broadcast(self.sources)
+
     def _hits(self, chosen: Selector, samples: DataFrame | None = None) -> DataFrame:
         hits = federate(
             self.samples if samples is None else samples,
             self.sources,
             chosen,
             external_names=self.external_names,
+            small=self.small,
         )
         return series.with_identity(hits)
 
     def _finish(self, df: DataFrame, replica: Iterable[str] = ()) -> DataFrame:
         """From stored identity to final labels; the source table is joined to results only."""
-        named = attach_external(series.labels_back(df), self.sources)
+        named = attach_external(series.labels_back(df), self.sources, small=self.small)
         return finish_labels(named, self.dropped, replica)
 
     # -- series requests ---------------------------------------------------
@@ -115,6 +129,7 @@ class Federation:
             dropped=self.dropped,
             replica=replica,
             external_names=self.external_names,
+            small=self.small,
         )
 
     def label_values(
@@ -134,6 +149,7 @@ class Federation:
             dropped=self.dropped,
             replica=replica,
             external_names=self.external_names,
+            small=self.small,
         )
 
     def _between(self, start: int | None, end: int | None) -> DataFrame:

@@ -15,8 +15,8 @@ from labelspark.streaming.versions import VersionedTable, shared_dir
 class Arriving(Tables):
     """The same tables, read as streams."""
 
-    def table(self, name):
-        schema = super().table(name).schema
+    def load(self, name):
+        schema = super().load(name).schema
         return self.spark.readStream.schema(schema).parquet(f"{self.sf_dir}/{name}*.parquet")
 
 

@@ -30,8 +30,14 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark, self.sf_dir = spark, sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
+        if name not in self._read:
+            self._read[name] = self.load(name)
+        return self._read[name]
+
+    def load(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def sources(self) -> DataFrame:

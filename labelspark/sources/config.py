@@ -15,7 +15,7 @@ CONFIG_TYPE = "global struct<external_labels: map<string,string>>"
 
 
 def literal_sources(spark: SparkSession, sources: Mapping[str, Mapping[str, str]]) -> DataFrame:
-    """A source table from configured external labels, as a local relation of known size.
+    """A source table from configured external labels.
 
     Without any source there is one default source without external labels.
     """
@@ -23,14 +23,14 @@ def literal_sources(spark: SparkSession, sources: Mapping[str, Mapping[str, str]
         F.struct(F.lit(name).alias("source"), L.label_map(dict(labels)).alias("external_labels"))
         for name, labels in (sources or {DEFAULT_SOURCE: {}}).items()
     ]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*rows)))
 
 
 def normalize_sources(sources: DataFrame) -> DataFrame:
     """Missing external labels become the empty set; no row at all, one default source."""
     external = F.coalesce("external_labels", L.no_labels())
     given = sources.select("source", external.alias("external_labels"))
-    default = given.sparkSession.range(1).select(
+    default = given.sparkSession.range(0, 1, 1, 1).select(
         F.lit(DEFAULT_SOURCE).alias("source"), L.no_labels().alias("external_labels")
     )
     found = given.limit(1).exists()
@@ -102,5 +102,5 @@ SOURCES_SCHEMA = T.StructType(
 
 
 def read_sources(spark: SparkSession, path: str) -> DataFrame:
-    """A stored source table; its size on disk is what Spark's broadcast limit is checked against."""
+    """A stored source table."""
     return normalize_sources(spark.read.schema(SOURCES_SCHEMA).parquet(path))

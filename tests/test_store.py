@@ -87,20 +87,26 @@ def test_routing_prunes_source_partitions(spark, stored):
     assert "dynamicpruning" in plan(kept) and kept.count() == len(ROWS) // 2
 
 
-@pytest.mark.parametrize("limit", ["10485760", "-1"])
-def test_answers_do_not_hang_on_a_broadcast(spark, stored, limit):
-    """Past the broadcast limit the source table is joined by shuffle, with the same rows."""
-    with setting(spark, spark_sql_autoBroadcastJoinThreshold=limit, spark_sql_adaptive_autoBroadcastJoinThreshold=limit):
+@pytest.mark.parametrize("bounds", [{}, {"BROADCAST_ROWS": 3}, {"BROADCAST_BYTES": 10}])
+def test_answers_do_not_hang_on_a_broadcast(spark, stored, bounds, monkeypatch):
+    """Past the bounds the source table is joined by salted shuffle, with the same rows."""
+    for name, value in bounds.items():
+        monkeypatch.setattr(routing, name, value)
+    with setting(spark, spark_sql_autoBroadcastJoinThreshold="-1", spark_sql_adaptive_autoBroadcastJoinThreshold="-1"):
         df = store.read_samples(spark, f"{stored}/samples")
         owners = config.literal_sources(spark, OWNERS)
         fed = Federation(df, owners, external_names=frozenset({"region"}))
         chosen = selector(("region", "=", "eu"), ("__name__", "=", "up"))
         answer = fed.query_range(chosen, T0 // 1000, T0 // 1000 + 3 * 86_400, 43_200, DAY)
         shown = plan(answer)
-        assert ("BroadcastHashJoin" in shown) == (limit != "-1")
+        assert fed.small == (not bounds) == ("BroadcastHashJoin" in shown)
+        assert ("_salt" in shown) == bool(bounds)
         got = {(r.source, r.labels["job"], r.ts_ms, r.value) for r in answer.collect()}
         assert len(got) == 2 * 3 * 6
         assert all(r.labels["region"] == "eu" for r in answer.collect())
+        assert fed.series_metadata(chosen, T0, T0 + 3 * DAY).count() == 6
+        assert {r.name for r in fed.label_names(chosen).collect()} == {"__name__", "job", "region"}
+        assert routing.keep_routed(df, owners, chosen).count() == len(ROWS) // 2
 
 
 def test_no_cross_product_and_aggregation_before_the_shuffle(spark, stored):
