@@ -160,8 +160,9 @@ def sorted_series(df: DataFrame) -> DataFrame:
 def limit_series(series: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` of the sorted series; no limit if not positive.
 
-    Stored labels decide between rows with equal final labels and source.
+    Stored labels, or the series id, decide between rows with equal final
+    labels and source.
     """
-    ties = ["labels_c"] if "labels_c" in series.columns else []
+    ties = [c for c in ("labels_c", "id_hi", "id_lo") if c in series.columns]
     ordered = series.withColumn("labels_f", L.canonical(F.col("labels"))).orderBy("labels_f", "source", *ties)
     return (ordered.limit(limit) if limit > 0 else ordered).drop("labels_f")

@@ -20,6 +20,7 @@ from labelspark.operators.routing import (
     routed,
     scalar_rows,
 )
+from labelspark.sources.store import SERIES_ID
 
 
 @dataclass(frozen=True)
@@ -30,6 +31,11 @@ class Federation:
     external_labels)``.  ``dropped`` are labels taken out of every answer.
     ``external_names`` may list the label names that sources own, see
     `routing.federate`.
+
+    Stored samples carry series ids; given ``series_labels`` (from
+    `store.series_labels`) the work is done by id, and labels are looked up for
+    results only.  Samples are then read without their label map as far as
+    hot label columns answer the matchers.
     """
 
     samples: DataFrame
@@ -40,6 +46,7 @@ class Federation:
     max_points: int = steps.MAX_POINTS
     lookback_ms: int = steps.LOOKBACK_MS
     tiebreak: str | None = None
+    series_labels: DataFrame | None = None
 
     def routed_for(self, *selectors: Selector) -> Federation:
         """Only the sources that every selector of a composed expression accepts."""
@@ -58,11 +65,19 @@ class Federation:
             external_names=self.external_names,
             small=self.small,
         )
-        return series.with_identity(hits)
+        return hits if self.series_labels is not None else series.with_identity(hits)
+
+    @property
+    def keys(self) -> tuple[str, ...]:
+        return align.KEYS if self.series_labels is None else ("source", *SERIES_ID)
 
     def _finish(self, df: DataFrame, replica: Iterable[str] = ()) -> DataFrame:
-        """From stored identity to final labels; the source table is joined to results only."""
-        named = attach_external(series.labels_back(df), self.sources, small=self.small)
+        """From stored identity to final labels; both are looked up for results only."""
+        if self.series_labels is None:
+            stored = series.labels_back(df)
+        else:
+            stored = df.join(self.series_labels, list(self.keys))
+        named = attach_external(stored, self.sources, small=self.small)
         return finish_labels(named, self.dropped, replica)
 
     # -- series requests ---------------------------------------------------
@@ -79,7 +94,7 @@ class Federation:
         """Label sets with a sample in the range, in label order."""
         require_own_matcher(self.sources, chosen)
         hits = self._hits(chosen, series.in_range(self.samples, start, end))
-        found = self._finish(series.series_metadata(hits), replica)
+        found = self._finish(series.series_metadata(hits, self.keys), replica)
         return series.limit_series(found, limit).select("source", "labels")
 
     def select_series(
@@ -107,9 +122,10 @@ class Federation:
             end,
             steps.grid_step_ms(step_ns),
             self.lookback_ms,
-            tiebreak=self.tiebreak,
+            self.keys,
+            self.tiebreak,
         )
-        chunks = series.chunks_of_series(series.chunk_grid(on_grid))
+        chunks = series.chunks_of_series(series.chunk_grid(on_grid, self.keys), self.keys)
         return series.limit_series(self._finish(chunks, replica), limit).select("source", "labels", "chunks")
 
     # -- label requests ----------------------------------------------------
@@ -161,7 +177,7 @@ class Federation:
         """Latest sample per series at one time (whole seconds)."""
         hits = self._hits(chosen)
         lookback = self.lookback_ms if lookback_ms is None else lookback_ms
-        return self.answer(align.instant_select(hits, at_s * 1000, lookback, tiebreak=self.tiebreak))
+        return self.answer(align.instant_select(hits, at_s * 1000, lookback, self.keys, self.tiebreak))
 
     def query_range(
         self, chosen: Selector, start_s: int, end_s: int, step_s: int, lookback_ms: int | None = None
@@ -170,17 +186,23 @@ class Federation:
         lookback = self.lookback_ms if lookback_ms is None else lookback_ms
         return self.answer(
             align.range_select(
-                self._hits(chosen), start_s * 1000, end_s * 1000, step_s * 1000, lookback, tiebreak=self.tiebreak
+                self._hits(chosen),
+                start_s * 1000,
+                end_s * 1000,
+                step_s * 1000,
+                lookback,
+                self.keys,
+                self.tiebreak,
             )
         )
 
     def rate(self, chosen: Selector, start_s: int, end_s: int, step_s: int, window_ms: int) -> DataFrame:
         hits = self._hits(chosen)
-        return self.answer(align.counter_rate(hits, start_s * 1000, end_s * 1000, step_s * 1000, window_ms))
+        return self.answer(align.counter_rate(hits, start_s * 1000, end_s * 1000, step_s * 1000, window_ms, self.keys))
 
     def irate(self, chosen: Selector, start_s: int, end_s: int, step_s: int, window_ms: int) -> DataFrame:
         hits = self._hits(chosen)
-        return self.answer(align.counter_irate(hits, start_s * 1000, end_s * 1000, step_s * 1000, window_ms))
+        return self.answer(align.counter_irate(hits, start_s * 1000, end_s * 1000, step_s * 1000, window_ms, self.keys))
 
     def answer(self, vector: DataFrame) -> DataFrame:
         """Rows of an instant or range answer with final labels.

@@ -12,6 +12,9 @@ from labelspark.functions.times import bounded, day_of
 from labelspark.operators.series import series_table, with_identity
 
 
+SERIES_ID = ("id_hi", "id_lo")
+
+
 def samples_from(
     df: DataFrame,
     *,
@@ -50,18 +53,27 @@ def promote(samples: DataFrame, names: Sequence[str] = (L.METRIC_NAME,)) -> Data
     return samples
 
 
+def with_series_id(samples: DataFrame) -> DataFrame:
+    """Add a 128-bit id of the label set, two plain numbers in place of a label list.
+
+    Ids are unique per source; `write_series` checks that.
+    """
+    pairs = L.canonical(F.col("labels"))
+    return samples.withColumn("id_hi", F.xxhash64(pairs)).withColumn("id_lo", F.xxhash64(F.lit(1), pairs))
+
+
 def write_samples(samples: DataFrame, path: str, hot: Sequence[str] = (L.METRIC_NAME,)) -> None:
-    """Store samples by source and day, labels cleaned, sorted within files.
+    """Store samples by source and day, labels cleaned, with series ids, sorted within files.
 
     The rebalance lets Spark cut large (source, day) groups into several
     files of even size and put small ones together.
     """
     clean = samples.withColumn("labels", L.normalize(F.col("labels"))).withColumn("day", day_of(F.col("ts_ms")))
-    clean = promote(clean, hot)
+    clean = promote(with_series_id(clean), hot)
     hot_columns = ["name" if n == L.METRIC_NAME else f"label_{n}" for n in hot]
     (
         clean.hint("rebalance", "source", "day")
-        .sortWithinPartitions("source", "day", *hot_columns, "ts_ms")
+        .sortWithinPartitions("source", "day", *hot_columns, *SERIES_ID, "ts_ms")
         .write.mode("overwrite")
         .partitionBy("source", "day")
         .parquet(path)
@@ -77,16 +89,33 @@ def read_samples(
 
 
 def write_series(samples: DataFrame, path: str) -> None:
-    """The series table of a sample table: one row per source, day and label set.
+    """The series table of stored samples: one row per source, day and label set.
 
-    Label discovery and metadata read this instead of samples.
+    Label discovery and metadata read this instead of samples.  Fails if two
+    label sets of a source have the same id.
     """
     days = with_identity(samples).withColumn("day", day_of(F.col("ts_ms")))
-    table = series_table(days, keys=("source", "day", "labels_c"))
-    table.withColumn("labels", F.map_from_entries("labels_c")).write.mode("overwrite").partitionBy(
-        "source", "day"
-    ).parquet(path)
+    rows = series_table(days, keys=("source", "day", *SERIES_ID, "labels_c"))
+    (
+        rows.withColumn("labels", F.map_from_entries("labels_c"))
+        .drop("labels_c")
+        .hint("rebalance", "source", "day")
+        .write.mode("overwrite")
+        .partitionBy("source", "day")
+        .parquet(path)
+    )
+    named = read_series(samples.sparkSession, path)
+    clashes = series_labels(named, F.count("*").alias("sets")).filter("sets > 1").take(1)
+    if clashes:
+        raise ValueError(f"two label sets share an id: {clashes[0]}")
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+def series_labels(series: DataFrame, *more: Column) -> DataFrame:
+    """The labels of each series id, whatever the day."""
+    sets = series.select("source", *SERIES_ID, L.canonical(F.col("labels")).alias("labels_c")).distinct()
+    per_id = sets.groupBy("source", *SERIES_ID).agg(F.first("labels_c").alias("labels_c"), *more)
+    return per_id.withColumn("labels", F.map_from_entries("labels_c")).drop("labels_c")

@@ -29,7 +29,7 @@ OWNERS = {f"src-{s}": {"region": "eu" if s < 2 else "us"} for s in range(4)}
 @pytest.fixture(scope="module")
 def stored(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("store"))
-    store.write_samples(samples(spark, ROWS), f"{path}/samples", hot=["__name__", "job"])
+    store.write_samples(samples(spark, ROWS), f"{path}/samples", hot=["__name__", "job", "region"])
     store.write_series(store.read_samples(spark, f"{path}/samples"), f"{path}/series")
     return path
 
@@ -148,6 +148,35 @@ def test_series_table_serves_discovery(spark, stored):
     assert [r.value for r in values.collect()] == ["j1", "j2"]
 
 
+def test_work_by_series_id(spark, stored):
+    """With ids in place of label lists all requests answer the same, and the label map is not read."""
+    df = store.read_samples(spark, f"{stored}/samples")
+    by_id = store.series_labels(store.read_series(spark, f"{stored}/series"))
+    assert by_id.count() == 4 * 2 * 3
+    owners = config.literal_sources(spark, OWNERS)
+    plain = Federation(df, owners, external_names=frozenset({"region"}))
+    slim = Federation(df, owners, external_names=frozenset({"region"}), series_labels=by_id)
+    chosen = selector(("region", "=", "eu"), ("__name__", "=", "up"), ("job", "!=", "j0"))
+    first, last, step = T0 // 1000, T0 // 1000 + 3 * 86_400, 43_200
+
+    def rows(df):
+        return sorted(str(r.asDict(recursive=True)) for r in df.collect())
+
+    for request in (
+        lambda fed: fed.query(chosen, last, 2 * DAY),
+        lambda fed: fed.query_range(chosen, first, last, step, DAY),
+        lambda fed: fed.rate(chosen, first, last, step, 2 * DAY),
+        lambda fed: fed.irate(chosen, first, last, step, 2 * DAY),
+        lambda fed: fed.select_series(chosen, T0, T0 + 3 * DAY, step_ms=60_000),
+        lambda fed: fed.series_metadata(chosen, T0, T0 + 3 * DAY, replica=["job"], limit=5),
+    ):
+        got = rows(request(slim))
+        assert got == rows(request(plain)) and got
+    scans = [line for line in plan(slim.rate(chosen, first, last, step, 2 * DAY)).split("\n") if "ReadSchema" in line]
+    assert any("value:double" in line for line in scans)
+    assert all("labels" not in line.replace("label_", "") for line in scans if "value:double" in line)
+
+
 def test_sources_table(spark, tmp_path):
     path = str(tmp_path / "sources")
     config.literal_sources(spark, OWNERS).write.parquet(path)
