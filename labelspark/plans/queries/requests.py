@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from labelspark.functions import labels as L
@@ -9,6 +11,7 @@ from labelspark.operators.matchers import selector
 from labelspark.operators.projection import with_text
 from labelspark.operators.series import limit_series, unnest
 from labelspark.plans.federation import Federation
+from labelspark.plans.queries.discovery import SQL_NAMES
 from labelspark.plans.queries.ranges import LOOKBACK, RATE_STEP, RATE_WINDOW, SERIES, SQL_IN_WINDOW, STEP, sql_grid
 from labelspark.plans.registry import query
 from labelspark.plans.tables import (
@@ -24,10 +27,21 @@ from labelspark.plans.tables import (
     SQL_VALUES,
     START,
 )
+from labelspark.sources.store import read_samples, read_series, series_labels, write_samples, write_series
+from labelspark.streaming.versions import shared_dir
 
 NOT_VIEW = selector(("__name__", "=", "event_value"), ("region", "=", "eu"), ("event_type", "!=", "view"))
 SQL_NOT_VIEW = "metric = 'event_value' AND ext_region = 'eu' AND event_type <> 'view'"
 
+SQL_RATES = f"""WITH {SQL_TOTALS.replace("s AS", "a AS", 1)}, {SQL_EXTERNAL},
+    s AS (SELECT a.* FROM a JOIN x USING (source) WHERE ext_region = 'eu' AND event_type <> 'view'), {SQL_IN_WINDOW},
+    r AS (SELECT {SERIES}, at_ms, min(ts_ms) AS t0, max(ts_ms) AS t1, coalesce(sum(CASE
+            WHEN pt IS NULL OR pt <= at_ms - {RATE_WINDOW} THEN 0 WHEN value >= pv THEN value - pv ELSE value END), 0) AS gain
+          FROM j GROUP BY ALL)
+    SELECT source, {FINAL_TEXT} AS labels_s, at_ms AS ts_ms, round(gain / ((t1 - t0) / 1000.0), 9) AS value
+    FROM r JOIN x USING (source) WHERE t1 > t0"""
+RATES = selector(("__name__", "=", "events_total"), ("region", "=", "eu"), ("event_type", "!=", "view"))
+
 
 def federation(t, dropped=DROPPED, samples=None):
     return Federation(
@@ -117,21 +131,38 @@ def range_of_vector(t):
     return flat(fed.answer(vector.withColumn("ts_ms", F.lit(END).cast("bigint"))), "ts_ms", "value")
 
 
-@query(
-    f"""WITH {SQL_TOTALS.replace("s AS", "a AS", 1)}, {SQL_EXTERNAL},
-    s AS (SELECT a.* FROM a JOIN x USING (source) WHERE ext_region = 'eu' AND event_type <> 'view'), {SQL_IN_WINDOW},
-    r AS (SELECT {SERIES}, at_ms, min(ts_ms) AS t0, max(ts_ms) AS t1, coalesce(sum(CASE
-            WHEN pt IS NULL OR pt <= at_ms - {RATE_WINDOW} THEN 0 WHEN value >= pv THEN value - pv ELSE value END), 0) AS gain
-          FROM j GROUP BY ALL)
-    SELECT source, {FINAL_TEXT} AS labels_s, at_ms AS ts_ms, round(gain / ((t1 - t0) / 1000.0), 9) AS value
-    FROM r JOIN x USING (source) WHERE t1 > t0"""
-)
-def rate_query(t):
-    chosen = selector(("__name__", "=", "events_total"), ("region", "=", "eu"), ("event_type", "!=", "view"))
-    answer = federation(t).rate(chosen, START // 1000, END // 1000, RATE_STEP // 1000, RATE_WINDOW)
+def rates(fed):
+    answer = fed.rate(RATES, START // 1000, END // 1000, RATE_STEP // 1000, RATE_WINDOW)
     return flat(answer, "ts_ms", F.round("value", 9).alias("value"))
 
 
+@query(SQL_RATES)
+def rate_query(t):
+    return rates(federation(t))
+
+
+def stored(t):
+    """Both metrics as a sample table with its series table, in the shared folder."""
+    place = shared_dir(t.spark)
+    write_samples(t.samples(), f"{place}/samples", hot=["__name__", "event_type", "prometheus", "region"])
+    samples = read_samples(t.spark, f"{place}/samples", START - 1, END)
+    write_series(samples, f"{place}/series")
+    return samples, read_series(t.spark, f"{place}/series")
+
+
+@query(SQL_RATES)
+def stored_rate(t):
+    """The same from stored samples: by series id, with labels from the series table."""
+    samples, table = stored(t)
+    return rates(replace(federation(t, samples=samples), series_labels=series_labels(table)))
+
+
+@query(f"WITH {SQL_BOTH}, {SQL_EXTERNAL}, " + SQL_NAMES.format(where="true", dropped="'__tenant_id__', 'replica'"))
+def stored_label_names(t):
+    """Label names from the series table."""
+    return federation(t, samples=stored(t)[1]).label_names()
+
+
 @query(
     f"""WITH {SQL_VALUES}, {SQL_EXTERNAL}, m AS (
       SELECT source, event_type, max(value) AS high FROM s JOIN x USING (source)

@@ -80,6 +80,11 @@ def write_samples(samples: DataFrame, path: str, hot: Sequence[str] = (L.METRIC_
     )
 
 
+def write_chunks(chunks: DataFrame, path: str) -> None:
+    """Store chunks by source; a source with much data gets several files."""
+    chunks.hint("rebalance", "source").write.mode("overwrite").partitionBy("source").parquet(path)
+
+
 def read_samples(
     spark: SparkSession, path: str, after: int | None = None, until: int | None = None
 ) -> DataFrame:
