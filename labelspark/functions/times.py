@@ -20,13 +20,14 @@ def from_seconds(seconds: Column) -> Column:
 
 def to_millis(ts: Column) -> Column:
     """Milliseconds of a TIMESTAMP_NTZ, rounded down, whatever the session time zone."""
-    since = ts - F.lit(EPOCH).cast("timestamp_ntz")
+    since = ts - ntz(0)
     return floor_div(F.call_function("div", since, F.expr("interval '0.000001' second")), 1000)
 
 
 def ntz(ms: int) -> Column:
     """A TIMESTAMP_NTZ literal, for filters that reach a scan."""
-    return F.lit(EPOCH + timedelta(milliseconds=ms)).cast("timestamp_ntz")
+    moment = EPOCH + timedelta(milliseconds=ms)
+    return F.lit(moment.isoformat(sep=" ", timespec="milliseconds")).cast("timestamp_ntz")
 
 
 def day_of(ms: Column) -> Column:

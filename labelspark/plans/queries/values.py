@@ -79,13 +79,14 @@ def millis_time(t):
     """There and back again, half of the times before 1970."""
     ms = times.to_millis(F.col("ts")) - F.col("event_id") % 2 * (START + 2_500_000_000_000)
     rows = t.table("events").select("event_id", ms.alias("ts_ms"))
-    utc = F.to_utc_timestamp(times.from_millis(F.col("ts_ms")), "UTC")
-    return rows.select(
-        "event_id",
-        "ts_ms",
-        F.date_format(utc, STAMP).alias("stamp"),
-        F.unix_millis(times.from_millis(F.col("ts_ms"))).alias("again_ms"),
-    )
+    moment = times.from_millis(F.col("ts_ms"))
+    stamp = F.date_format(in_utc(moment), STAMP).alias("stamp")
+    return rows.select("event_id", "ts_ms", stamp, F.unix_millis(moment).alias("again_ms"))
+
+
+def in_utc(moment):
+    """A timestamp that the session's time zone shows as UTC."""
+    return F.to_utc_timestamp(moment, F.current_timezone())
 
 
 @query(
@@ -95,9 +96,8 @@ def millis_time(t):
 def seconds_time(t):
     seconds = times.floor_div(times.to_millis(F.col("ts")), 1000)
     moment = times.from_seconds(seconds)
-    return t.table("events").select(
-        "event_id", F.date_format(moment, "yyyy-MM-dd HH:mm:ss").alias("stamp"), F.unix_seconds(moment).alias("again_s")
-    )
+    stamp = F.date_format(in_utc(moment), "yyyy-MM-dd HH:mm:ss").alias("stamp")
+    return t.table("events").select("event_id", stamp, F.unix_seconds(moment).alias("again_s"))
 
 
 @query(

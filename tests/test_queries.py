@@ -24,6 +24,15 @@ def test_query(spark, duck, name):
     assert compare(spark, duck, SF_DIR, name, entry.queries()[name], entry.oracle_sql()[name]) is None
 
 
+@pytest.mark.parametrize("name", ["range_select", "time_range", "seconds_time", "millis_time", "stored_label_names", "counter_irate"])
+def test_any_session_time_zone(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert compare(spark, duck, SF_DIR, name, entry.queries()[name], entry.oracle_sql()[name]) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == ["source", "labels_s"]
     assert entry.entry(spark).count() > 0
