@@ -8,6 +8,8 @@ entries in name order) is the identity and the sort order of a label set.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,6 +20,9 @@ METRIC_NAME = "__name__"
 # Fixed value: the character rule for a plain label name.
 PLAIN_NAME = r"\A[a-zA-Z_][a-zA-Z0-9_]*\z"
 
+# The characters escaped in quoted text; the backslash comes first.
+ESCAPES = (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\t", "\\t"), ("\r", "\\r"))
+
 
 def label_map(pairs: dict[str, Column | str]) -> Column:
     """A label map from names to columns (or literal strings), in name order."""
@@ -84,24 +89,35 @@ def final(labels: Column, external: Column, dropped: Iterable[str] = ()) -> Colu
 
 def quoted(value: Column) -> Column:
     escaped = value
-    for plain, escape in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\t", "\\t"), ("\r", "\\r")):
+    for plain, escape in ESCAPES:
         escaped = F.replace(escaped, F.lit(plain), F.lit(escape))
     return F.concat(F.lit('"'), escaped, F.lit('"'))
 
 
 def text_of_pairs(pairs: Column) -> Column:
-    """``{a="1", b="2"}`` from canonical entries."""
+    """``{a="1", b="2"}`` from canonical entries.
+
+    Most label sets hold nothing to escape; one look over all names and values
+    then saves the look at each.
+    """
 
-    def one(pair: Column) -> Column:
+    def escaped(pair: Column) -> Column:
         name = F.when(pair["key"].rlike(PLAIN_NAME), pair["key"]).otherwise(quoted(pair["key"]))
         return F.concat(name, F.lit("="), quoted(pair["value"]))
 
-    return F.concat(F.lit("{"), F.array_join(F.transform(pairs, one), ", "), F.lit("}"))
+    def simple(pair: Column) -> Column:
+        return F.concat(pair["key"], F.lit('="'), pair["value"], F.lit('"'))
+
+    values = F.array_join(pairs["value"], "")
+    special = reduce(or_, (F.contains(values, F.lit(plain)) for plain, _ in ESCAPES))
+    all_plain = ~special & ~F.exists(pairs, lambda pair: ~pair["key"].rlike(PLAIN_NAME))
+    body = F.when(all_plain, F.transform(pairs, simple)).otherwise(F.transform(pairs, escaped))
+    return F.concat(F.lit("{"), F.array_join(body, ", "), F.lit("}"))
 
 
 def text(labels: Column) -> Column:
     """The text form of a label set, names in order."""
-    return text_of_pairs(canonical(labels))
+    return F.transform(F.array(canonical(labels)), text_of_pairs)[0]
 
 
 def valid_plain_name(name: Column) -> Column:
