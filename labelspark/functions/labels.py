@@ -55,9 +55,9 @@ def stored(labels: Column, name: str) -> Column:
     return labels[name]
 
 
-def effective(labels: Column, external: Column, name: str) -> Column:
+def effective(own: Column, external: Column, name: str) -> Column:
     """The value a matcher sees: the external label if set, else the stored one."""
-    return F.coalesce(F.nullif(external[name], F.lit("")), labels[name])
+    return F.coalesce(F.nullif(external[name], F.lit("")), own)
 
 
 def overlay(labels: Column, external: Column) -> Column:

@@ -56,6 +56,11 @@ def bounded(df: DataFrame, after: int, until: int) -> DataFrame:
     if "ts" in df.columns:
         inside &= (F.col("ts") >= ntz(after + 1)) & (F.col("ts") < ntz(until + 1))
     if "day" in df.columns:
-        first, last = (EPOCH.date() + timedelta(days=ms // 86_400_000) for ms in (after + 1, until))
-        inside &= F.col("day").between(F.lit(first), F.lit(last))
+        inside &= days(after + 1, until)
     return df.filter(inside)
+
+
+def days(start: int, end: int) -> Column:
+    """The days of a range, both ends included, as a condition on the column ``day``."""
+    first, last = (EPOCH.date() + timedelta(days=ms // 86_400_000) for ms in (start, end))
+    return F.col("day").between(F.lit(first), F.lit(last))

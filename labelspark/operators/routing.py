@@ -93,8 +93,7 @@ def effective_condition(df: DataFrame, chosen: Selector) -> Column:
     """Matchers on what a routed row shows: external label if set, else stored."""
     external = F.col("external_labels")
     return all_of(
-        m.accepts(F.coalesce(F.nullif(external[m.name], F.lit("")), stored_column(df, m.name)))
-        for m in chosen
+        m.accepts(L.effective(stored_column(df, m.name), external, m.name)) for m in chosen
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from labelspark.functions import labels as L
 from labelspark.functions.steps import SAMPLES_PER_CHUNK
-from labelspark.functions.times import bounded, floor_div
+from labelspark.functions.times import bounded, days, floor_div
 from labelspark.operators.align import KEYS, MAX_BLOCK_MS, hashed
 
 SAMPLE = "struct<ts_ms:bigint,value:double>"
@@ -24,17 +24,18 @@ def labels_back(df: DataFrame) -> DataFrame:
 
 
 def in_range(df: DataFrame, start: int, end: int) -> DataFrame:
-    """Samples between two times, both inclusive."""
+    """Samples between two times, both inclusive; of a series table, the series alive then."""
     if end < start:
         raise ValueError("max_time must be greater than or equal to min_time")
-    return bounded(df, start - 1, end)
+    return bounded(df, start - 1, end) if "ts_ms" in df.columns else overlapping(df, start, end)
 
 
 def overlapping(series: DataFrame, start: int, end: int) -> DataFrame:
     """Rows of a series table that have been alive within a range."""
     if end < start:
         raise ValueError("max_time must be greater than or equal to min_time")
-    return series.filter((F.col("first_ts") <= end) & (F.col("last_ts") >= start))
+    alive = (F.col("first_ts") <= end) & (F.col("last_ts") >= start)
+    return series.filter(alive & days(start, end) if "day" in series.columns else alive)
 
 
 def series_table(samples: DataFrame, keys=KEYS) -> DataFrame:
@@ -51,6 +52,7 @@ def series_metadata(samples: DataFrame, keys=KEYS) -> DataFrame:
 
 def skip_empty(series: DataFrame) -> DataFrame:
     """Nested series without missing ones and without those that hold no sample."""
+    require_matrix(series)
     return series.filter(F.col("labels").isNotNull() & (F.coalesce(F.size("samples"), F.lit(0)) > 0))
 
 
@@ -80,6 +82,8 @@ def nest(df: DataFrame, keys=KEYS) -> DataFrame:
 
 
 def unnest(series: DataFrame) -> DataFrame:
+    """One row per sample again."""
+    require_matrix(series)
     kept = [c for c in series.columns if c != "samples"]
     return series.select(*kept, F.inline("samples"))
 

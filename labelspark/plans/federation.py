@@ -27,6 +27,8 @@ from labelspark.sources.store import SERIES_ID
 class Federation:
     """Samples of several sources seen as one.
 
+    In place of samples a series table serves metadata and label requests.
+
     ``samples(source, labels, ts_ms, value)``, ``sources(source,
     external_labels)``.  ``dropped`` are labels taken out of every answer.
     ``external_names`` may list the label names that sources own, see

@@ -294,7 +294,7 @@ def test_series_in_label_order_with_limit(spark):
 
 
 def test_time_range(spark):
-    df = samples(spark, [("s", {}, t, t) for t in (999, 1000, 1500, 2000, 2001)])
+    df = samples(spark, [("s", {"a": "b"}, t, t) for t in (999, 1000, 1500, 2000, 2001)])
     assert {r.ts_ms for r in series.in_range(df, 1000, 2000).collect()} == {1000, 1500, 2000}
     for call in (series.in_range, series.overlapping):
         with pytest.raises(ValueError):

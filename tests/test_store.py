@@ -146,6 +146,15 @@ def test_series_table_serves_discovery(spark, stored):
     assert [r.name for r in names.collect()] == ["__name__", "job", "region"]
     values = discovery.label_values(table, owners, "job", selector(("region", "=", "us"), ("job", "!=", "j0")))
     assert [r.value for r in values.collect()] == ["j1", "j2"]
+    by_table = Federation(table, owners)
+    by_samples = Federation(store.read_samples(spark, f"{stored}/samples"), owners)
+    chosen = selector(("region", "=", "us"), ("job", "!=", "j0"))
+    for fed in (by_table, by_samples):
+        assert fed.series_metadata(chosen, T0 + 1001, T0 + DAY - 1).count() == 4
+        assert fed.series_metadata(chosen, T0 + 2001, T0 + DAY - 1).count() == 0
+        assert fed.label_names(chosen, T0 + 4 * DAY, T0 + 5 * DAY).count() == 0
+    shown = plan(series.in_range(table, T0, T0 + 10))
+    assert "PartitionFilters: [isnotnull(day" in shown
 
 
 def test_work_by_series_id(spark, stored):
