@@ -66,6 +66,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is worked out once, also inside the lambda functions of ``use``."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def hex_digest(text: str) -> str:
     return hashlib.sha256(text.encode()).hexdigest()
 

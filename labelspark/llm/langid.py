@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from labelspark.llm.common import keyed, map_text, slices
+from labelspark.llm.common import cut, keyed, map_text, slices
 
 UNKNOWN = "und"
 WORDS = re.compile(r"[^\W\d_]+")
@@ -113,7 +113,7 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     lang_col: str = "lang",
-    rows_per_lang: int = 4000,
+    rows_per_lang: int = 2000,
     max_words: int = 50_000,
     max_grams: int = 50_000,
 ) -> Model:
@@ -132,33 +132,34 @@ def fit(
             seen: Counter = Counter()
             for part in slices(batch):
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    for word, n in Counter(words_of(text)).items():
-                        seen[lang, True, word] += n
-                        for gram in grams_of(word):
-                            seen[lang, False, gram] += n
-            keys = list(seen)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "lang": pa.array([k[0] for k in keys], pa.string()),
-                    "is_word": pa.array([k[1] for k in keys], pa.bool_()),
-                    "token": pa.array([k[2] for k in keys], pa.string()),
-                    "n": pa.array([seen[k] for k in keys], pa.int64()),
-                }
-            )
+                    seen.update((lang, word) for word in words_of(text))
+            yield counted(seen)
 
+    def spell(batches):
+        for batch in batches:
+            seen: Counter = Counter()
+            for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for gram in grams_of(word):
+                    seen[lang, gram] += n
+            yield counted(seen)
+
+    def counted(seen: Counter) -> pa.RecordBatch:
+        langs, tokens = zip(*seen, strict=True) if seen else ((), ())
+        columns = [pa.array(langs, pa.string()), pa.array(tokens, pa.string()), pa.array(list(seen.values()), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, ["lang", "token", "n"])
+
+    schema = "lang string, token string, n bigint"
     sample = sampled(named, rows_per_lang).filter("text IS NOT NULL").select("lang", "text")
-    counts = sample.mapInArrow(count, "lang string, is_word boolean, token string, n bigint")
-    tokens = (
-        counts.groupBy("is_word", "token", "lang")
-        .agg(F.sum("n").alias("n"))
-        .groupBy("is_word", "token")
-        .agg(F.sum("n").alias("n"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by_lang"))
-        .filter("n > 1 OR NOT is_word")
-    )
-    found = {
-        kind: tokens.filter(F.col("is_word") == kind).orderBy(F.desc("n"), "token").limit(most).collect()
-        for kind, most in ((True, max_words), (False, max_grams))
-    }
+    words = cut(sample.mapInArrow(count, schema).groupBy("lang", "token").agg(F.sum("n").alias("n")))
+    grams = words.mapInArrow(spell, schema)
+
+    def most(counts: DataFrame, least: int, rows: int) -> list:
+        by_token = counts.groupBy("token", "lang").agg(F.sum("n").alias("n")).groupBy("token")
+        entries = F.map_from_entries(F.collect_list(F.struct("lang", "n")))
+        tokens = by_token.agg(F.sum("n").alias("n"), entries.alias("by_lang")).filter(F.col("n") >= least)
+        return tokens.orderBy(F.desc("n"), "token").limit(rows).collect()
+
+    found = {True: most(words, 2, max_words), False: most(grams, 1, max_grams)}
     langs = sorted({lang for rows in found.values() for r in rows for lang in r["by_lang"]})
     model, scores = Model(langs), []
     for kind, rows in found.items():

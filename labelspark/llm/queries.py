@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelspark.llm import langid
+from labelspark.llm import bpe, langid, mixing, secrets, sharding, simhash
 from labelspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +24,32 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.summary(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@query(sharding.oracle())
+def op5_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query(mixing.oracle())
+def op9_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mixed(docs, keep_text=False).select("row.doc_id", "row.source", "copy", "shuffle_key")
+
+
+@query()
+def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
