@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelspark.llm import bpe, langid, mixing, secrets, sharding, simhash
+from labelspark.llm import bpe, html_text, langid, mixing, quality, secrets, sharding, simhash, winnowing
 from labelspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 @query()
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.summary(secrets.scan(table(spark, sf_dir, "documents")))
@@ -39,6 +44,16 @@ def op5_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
 
+@query(quality.oracle())
+def op6_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnowing.compared(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
