@@ -54,15 +54,20 @@ def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
         yield batch.slice(at, rows)
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows, written once to the folder that all executors share, with their lineage cut.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    The folder is ``spark.checkpoint.dir`` of the session. Where that is unset, as in tests, it
-    lies below the warehouse, which is shared storage as well.
+    Where that is unset, as in tests, it is one below the warehouse, which is shared storage as well.
     """
-    spark = df.sparkSession
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
+    own = spark.conf.get("spark.checkpoint.dir", None)
+    return (own or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows, written once to the shared folder, with their lineage cut."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelspark.llm import bpe, html_text, langid, mixing, quality, secrets, sharding, simhash, winnowing
+from labelspark.llm import bpe, html_text, langid, mixing, pii, quality, secrets, sharding, simhash, winnowing
 from labelspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,11 @@ def query(sql: str | None = None):
     return register
 
 
+@query()
+def op1_pii_tagger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 @query()
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
