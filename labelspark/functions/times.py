@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPOCH = datetime(1970, 1, 1)
 
+# The bounds of a 64-bit time, and of what a timestamp or day can hold.
+LEAST, MOST = -(2**63), 2**63 - 1
+FIRST_MS, LAST_MS = ((t - EPOCH) // timedelta(milliseconds=1) for t in (datetime.min, datetime.max))
+
 
 def from_millis(ms: Column) -> Column:
     return F.timestamp_millis(ms)
@@ -45,22 +50,34 @@ def ceil_div(value: Column, by: int | Column) -> Column:
     return -floor_div(-value, by)
 
 
-def bounded(df: DataFrame, after: int, until: int) -> DataFrame:
-    """Samples with a time in ``(after, until]``.
+def bounded(df: DataFrame, after: int | None, until: int | None) -> DataFrame:
+    """Samples with a time in ``(after, until]``; an end that is None or at the bound of a 64-bit number is open.
 
     The same is said of a raw timestamp column ``ts`` and of a partition column
     ``day`` if the table has them, so that the scan can skip the rest.
     """
-    time = F.col("ts_ms")
-    inside = (time > after) & (time <= until)
+    start = None if after is None or after < LEAST else after + 1
+    end = None if until is None or until >= MOST else until
+    inside = []
+    if start is not None:
+        inside.append(F.col("ts_ms") >= start if start <= MOST else F.lit(False))
+    if end is not None:
+        inside.append(F.col("ts_ms") <= end if end >= LEAST else F.lit(False))
     if "ts" in df.columns:
-        inside &= (F.col("ts") >= ntz(after + 1)) & (F.col("ts") < ntz(until + 1))
+        if start is not None and FIRST_MS <= start <= LAST_MS:
+            inside.append(F.col("ts") >= ntz(start))
+        if end is not None and FIRST_MS <= end < LAST_MS:
+            inside.append(F.col("ts") < ntz(end + 1))
     if "day" in df.columns:
-        inside &= days(after + 1, until)
-    return df.filter(inside)
-
-
-def days(start: int, end: int) -> Column:
-    """The days of a range, both ends included, as a condition on the column ``day``."""
-    first, last = (EPOCH.date() + timedelta(days=ms // 86_400_000) for ms in (start, end))
-    return F.col("day").between(F.lit(first), F.lit(last))
+        inside += days(start, end)
+    return df.filter(reduce(Column.__and__, inside)) if inside else df
+
+
+def days(start: int | None, end: int | None) -> list[Column]:
+    """The days of a range, both ends included, as conditions on the column ``day``; open ends have none."""
+    day, found = F.col("day"), []
+    if start is not None and FIRST_MS <= start <= LAST_MS:
+        found.append(day >= F.lit(EPOCH.date() + timedelta(days=start // 86_400_000)))
+    if end is not None and FIRST_MS <= end <= LAST_MS:
+        found.append(day <= F.lit(EPOCH.date() + timedelta(days=end // 86_400_000)))
+    return found

@@ -11,8 +11,6 @@ series, bounded by the grid, meet in one window.
 
 from __future__ import annotations
 
-from math import gcd
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -88,36 +86,70 @@ def range_select(
     return on_grid.select(*keys, (F.lit(start) + slot * step).alias("ts_ms"), "value")
 
 
-def _block_ms(step: int, window: int) -> int:
-    """A block length that divides step and window, not above MAX_BLOCK_MS."""
-    common = gcd(step, window)
-    parts = -(-common // MAX_BLOCK_MS)
-    while common % parts:
-        parts += 1
-    return common // parts
+def answered(df, start: int, end: int, step: int, lookback: int, keys=KEYS) -> DataFrame:
+    """The keys of the series that `range_select` would answer for; no samples are kept."""
+    points = _check_grid(start, end, step, lookback)
+    ts = F.col("ts_ms")
+    seen = bounded(df, start - lookback, start + (points - 1) * step)
+    slot = F.greatest(ceil_div(ts - start, step), F.lit(0).cast("bigint"))
+    return seen.filter(floor_div(ts + (lookback - 1 - start), step) >= slot).select(*keys).distinct()
+
 
+class Blocks:
+    """Time blocks whose edges hold all edges of the windows, whatever step and window have in common.
+
+    Windows begin and end at ``start + i * step`` or at ``start + i * step - window``.  These two kinds of edges cut
+    each step into two parts (one if the window is a multiple of the step), and each part is cut evenly so that no
+    block is longer than MAX_BLOCK_MS.  Block ``per_step * i`` ends at grid time ``i``, whose window is the
+    ``per_window`` blocks up to that one.
+    """
 
-def _counter_blocks(df: DataFrame, start: int, end: int, step: int, window: int, keys) -> DataFrame:
+    def __init__(self, start: int, step: int, window: int) -> None:
+        self.start, self.step = start, step
+        whole, rest = divmod(window, step)
+        self.lengths = [step - rest, rest] if rest else [step]
+        self.pieces = [-(-length // MAX_BLOCK_MS) for length in self.lengths]
+        self.per_step = sum(self.pieces)
+        self.per_window = whole * self.per_step + (self.pieces[1] if rest else 0)
+
+    def number(self, ts: Column) -> Column:
+        interval = ceil_div(ts - self.start, self.step) - 1
+        inside = ts - self.start - interval * self.step  # 1 to step
+        first, n = self.lengths[0], self.pieces[0]
+        place = ceil_div(inside * n, first)
+        if len(self.lengths) > 1:
+            later = ceil_div((inside - first) * self.pieces[1], self.lengths[1]) + n
+            place = F.when(inside <= first, place).otherwise(later)
+        return interval * self.per_step + place
+
+
+def _counter_blocks(
+    df: DataFrame, start: int, end: int, step: int, window: int, keys, tiebreak: str | None = None
+) -> DataFrame:
     """Counter samples summed up per series and time block, with the series hash.
 
-    Block ``k`` covers ``(start + (k-1)*b, start + k*b]``.  ``gain`` is the
-    increase from the first to the last sample of the block, with a fall of the
-    value taken as a restart from zero; ``before_*`` is the last sample but one.
+    ``gain`` is the increase from the first to the last sample of the block,
+    with a fall of the value taken as a restart from zero; ``before_*`` is the
+    last sample but one.  Increases that are no finite numbers are counted apart.
     """
     points = _check_grid(start, end, step, window)
-    block, ts = _block_ms(step, window), F.col("ts_ms")
     df, keys = hashed(df, keys)
     seen = bounded(df, start - window, start + (points - 1) * step)
-    seen = seen.withColumn("k", ceil_div(ts - start, block))
-    in_block = Window.partitionBy(*keys, "k").orderBy("ts_ms")
+    seen = seen.withColumn("k", Blocks(start, step, window).number(F.col("ts_ms")))
+    in_block = Window.partitionBy(*keys, "k").orderBy("ts_ms", *([tiebreak] if tiebreak else []))
+    if tiebreak:
+        following = F.lead("ts_ms").over(in_block)
+        seen = seen.withColumn("_next", following).filter("_next IS NULL OR _next > ts_ms")
     pairs = seen.select(
         *keys,
         "k",
         "ts_ms",
         "value",
+        *([tiebreak] if tiebreak else []),
         F.lag("ts_ms").over(in_block).alias("before_ts"),
         F.lag("value").over(in_block).alias("before_value"),
     )
+    gains = _sums(_rise(F.col("before_value"), F.col("value")), F.sum)
     return pairs.groupBy(*keys, "k").agg(
         F.min("ts_ms").alias("first_ts"),
         F.min_by("value", "ts_ms").alias("first_value"),
@@ -125,7 +157,39 @@ def _counter_blocks(df: DataFrame, start: int, end: int, step: int, window: int,
         F.max_by("value", "ts_ms").alias("last_value"),
         F.max_by("before_ts", "ts_ms").alias("before_ts"),
         F.max_by("before_value", "ts_ms").alias("before_value"),
-        F.coalesce(F.sum(_rise(F.col("before_value"), F.col("value"))), F.lit(0.0)).alias("gain"),
+        gains.alias("gain"),
+    )
+
+
+INFINITY = float("inf")
+#: Of a set of numbers: the sum of the finite ones, and how many are not a number, positive and negative infinity.
+PARTS = ("finite", "nan", "up", "down")
+TOTAL = "struct<finite: double, nan: bigint, up: bigint, down: bigint>"
+
+
+def _sums(value: Column, total) -> Column:
+    finite = value.isNotNull() & ~F.isnan(value) & (F.abs(value) < INFINITY)
+    found = {
+        "finite": F.coalesce(total(F.when(finite, value).otherwise(0.0)), F.lit(0.0)),
+        "nan": F.coalesce(total(F.isnan(value).cast("bigint")), F.lit(0)),
+        "up": F.coalesce(total((value == INFINITY).cast("bigint")), F.lit(0)),
+        "down": F.coalesce(total((value == -INFINITY).cast("bigint")), F.lit(0)),
+    }
+    return F.struct(*[found[p].alias(p) for p in PARTS])
+
+
+def _combined(a: Column, b: Column, sign: int = 1) -> Column:
+    return F.struct(*[(a[p] + sign * b[p]).alias(p) for p in PARTS])
+
+
+def _number(parts: Column) -> Column:
+    """What adding up the numbers would give."""
+    unclear = (parts["nan"] > 0) | ((parts["up"] > 0) & (parts["down"] > 0))
+    return (
+        F.when(unclear, float("nan"))
+        .when(parts["up"] > 0, INFINITY)
+        .when(parts["down"] > 0, -INFINITY)
+        .otherwise(parts["finite"])
     )
 
 
@@ -134,21 +198,26 @@ def _rise(before: Column, after: Column) -> Column:
     return F.when(after >= before, after - before).when(after < before, after)
 
 
-def counter_rate(df, start: int, end: int, step: int, window: int, keys=KEYS) -> DataFrame:
+def counter_rate(
+    df, start: int, end: int, step: int, window: int, keys=KEYS, tiebreak: str | None = None
+) -> DataFrame:
     """Increase per second over the trailing window, at each grid time.
 
     From the first to the last sample in the window, with restarts corrected
-    and no extrapolation to the window's edges; needs two samples.
+    and no extrapolation to the window's edges; needs two samples.  A value that
+    is no finite number shows in the windows that hold it, and in no other.
     """
     points = _check_grid(start, end, step, window)
-    block = _block_ms(step, window)
-    per_step, per_window = step // block, window // block
+    blocks = Blocks(start, step, window)
+    per_step, per_window = blocks.per_step, blocks.per_window
     k = F.col("k")
     in_series = Window.partitionBy("_hash", *keys).orderBy("k")
-    blocks = _counter_blocks(df, start, end, step, window, keys)
-    crossing = F.coalesce(_rise(F.lag("last_value").over(in_series), F.col("first_value")), F.lit(0.0))
-    blocks = blocks.withColumn("gain_with_crossing", F.col("gain") + crossing)
-    blocks = blocks.withColumn("total", F.sum("gain_with_crossing").over(in_series))
+    blocks = _counter_blocks(df, start, end, step, window, keys, tiebreak)
+    crossing = _rise(F.lag("last_value").over(in_series), F.col("first_value"))
+    blocks = blocks.withColumn("crossing", crossing)
+    blocks = blocks.withColumn("with_crossing", _combined(F.col("gain"), _sums(F.col("crossing"), lambda c: c)))
+    running = [F.sum(F.col("with_crossing")[p]).over(in_series).alias(p) for p in PARTS]
+    blocks = blocks.withColumn("total", F.struct(*running))
 
     # Grid time i sees the blocks i*per_step - per_window + 1 .. i*per_step.
     # A block is the last one seen until its successor is, and the first one
@@ -158,20 +227,21 @@ def counter_rate(df, start: int, end: int, step: int, window: int, keys=KEYS) ->
     closes = F.least(floor_div(k + (per_window - 1), per_step), F.lit(points - 1).cast("bigint"))
     succ = floor_div(F.lead("k").over(in_series) - 1, per_step)
     pred = floor_div(F.lag("k").over(in_series) + (per_window - 1), per_step)
+    no_total = F.lit(None).cast(TOTAL)
     as_last = F.struct(
         opens.alias("from"),
         F.least(closes, F.coalesce(succ, closes)).alias("until"),
         F.col("total"),
         F.col("last_ts"),
-        F.lit(None).cast("double").alias("total_at_first"),
+        no_total.alias("total_at_first"),
         F.lit(None).cast("bigint").alias("first_ts"),
     )
     as_first = F.struct(
         F.greatest(opens, F.coalesce(pred + 1, opens)).alias("from"),
         closes.alias("until"),
-        F.lit(None).cast("double").alias("total"),
+        no_total.alias("total"),
         F.lit(None).cast("bigint").alias("last_ts"),
-        (F.col("total") - F.col("gain")).alias("total_at_first"),
+        _combined(F.col("total"), F.col("gain"), -1).alias("total_at_first"),
         F.col("first_ts"),
     )
     roles = blocks.select("_hash", *keys, as_last.alias("as_last"), as_first.alias("as_first"))
@@ -184,17 +254,19 @@ def counter_rate(df, start: int, end: int, step: int, window: int, keys=KEYS) ->
     return ends.filter("last_ts > first_ts").select(
         *keys,
         (F.lit(start) + F.col("slot") * step).alias("ts_ms"),
-        ((F.col("total") - F.col("total_at_first")) / seconds).alias("value"),
+        (_number(_combined(F.col("total"), F.col("total_at_first"), -1)) / seconds).alias("value"),
     )
 
 
-def counter_irate(df, start: int, end: int, step: int, window: int, keys=KEYS) -> DataFrame:
+def counter_irate(
+    df, start: int, end: int, step: int, window: int, keys=KEYS, tiebreak: str | None = None
+) -> DataFrame:
     """Increase per second between the last two samples in the window, at each grid time."""
     points = _check_grid(start, end, step, window)
-    block = _block_ms(step, window)
-    per_step, per_window = step // block, window // block
+    blocks = Blocks(start, step, window)
+    per_step, per_window = blocks.per_step, blocks.per_window
     in_series = Window.partitionBy("_hash", *keys).orderBy("k")
-    blocks = _counter_blocks(df, start, end, step, window, keys)
+    blocks = _counter_blocks(df, start, end, step, window, keys, tiebreak)
     k = F.col("k")
     opens = F.greatest(ceil_div(k, per_step), F.lit(0).cast("bigint"))
     closes = F.least(floor_div(k + (per_window - 1), per_step), F.lit(points - 1).cast("bigint"))

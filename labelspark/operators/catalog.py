@@ -20,7 +20,7 @@ FALLBACK_LABEL = "query-backend"
 def lookback_range(now_ms: int, lookback_ms: int) -> tuple[int, int] | None:
     """``(now - lookback, now)``; no bounds for a lookback of zero."""
     if lookback_ms < 0:
-        raise ValueError("lookback must be greater than or equal to zero")
+        raise ValueError("a lookback reaches back, so it is not negative")
     return (now_ms - lookback_ms, now_ms) if lookback_ms else None
 
 
@@ -36,7 +36,7 @@ def check_names(names: Sequence[str]) -> None:
         except UnicodeEncodeError:
             valid = False
         if not valid:
-            raise ValueError(f"invalid announced label name {name!r}")
+            raise ValueError(f"{name!r} can be no label name")
 
 
 def announced_pairs(df: DataFrame, names: Sequence[str], *carry: str) -> DataFrame:

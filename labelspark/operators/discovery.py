@@ -57,7 +57,7 @@ def label_values(
     read; the others are.  A dropped label has no values.
     """
     if label == "":
-        raise ValueError("label name parameter cannot be empty")
+        raise ValueError("a label needs a name")
     own = F.coalesce(F.col("external_labels")[label], F.lit(""))
     configured = routed(sources, chosen).filter(own != "").select(own.alias("value"))
     if label in L.drop_set(dropped, replica):

@@ -19,7 +19,7 @@ from labelspark.operators.matchers import Selector, all_of, matching, selector,
 BROADCAST_ROWS = 50_000
 BROADCAST_BYTES = 32 * 2**20
 
-# Copies of each row of a larger source table in the join to its samples, a power of two.
+# Least copies of each row of a larger source table in the join to its samples, a power of two.
 SALTS = 32
 
 
@@ -46,13 +46,27 @@ def unrouted(sources: DataFrame, *selectors: Selector) -> DataFrame:
 
 
 def fits_broadcast(sources: DataFrame) -> bool:
-    """Whether the source table is small enough to be sent to every executor.
-
-    Fetches one number per row, and at most one row more than the bound.
-    """
+    """Whether the source table is small enough to be sent to every executor; fetches its count and size."""
     size = F.octet_length("source") + F.coalesce(F.octet_length(F.to_json("external_labels")), F.lit(0))
-    sizes = [row[0] or 0 for row in sources.select(size).take(BROADCAST_ROWS + 1)]
-    return len(sizes) <= BROADCAST_ROWS and sum(sizes) <= BROADCAST_BYTES
+    rows, total = sources.agg(F.count("*"), F.sum(size)).first()
+    return rows <= BROADCAST_ROWS and (total or 0) <= BROADCAST_BYTES
+
+
+def owned_names(sources: DataFrame) -> frozenset[str]:
+    """Every label name that some source owns."""
+    names = sources.select(F.explode(F.map_keys("external_labels")).alias("name")).distinct()
+    return frozenset(row["name"] for row in names.collect())
+
+
+def known_externals(sources: DataFrame) -> DataFrame:
+    """The source table with missing external labels as the empty set."""
+    return sources.withColumn("external_labels", F.coalesce("external_labels", L.no_labels()))
+
+
+def _salts(df: DataFrame) -> int:
+    """A power of two that follows the number of shuffle partitions, which a user sets by the size of the data."""
+    wanted = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(SALTS, 1 << (wanted - 1).bit_length())
 
 
 def by_source(df: DataFrame, sources: DataFrame, how: str = "inner", *, small: bool) -> DataFrame:
@@ -67,16 +81,20 @@ def by_source(df: DataFrame, sources: DataFrame, how: str = "inner", *, small: b
     if small:
         return df.join(F.broadcast(sources), "source", how)
     plain = [f.name for f in df.schema if f.name != "source" and isinstance(f.dataType, AtomicType)]
-    spread_on = next(([c] for c in ("ts_ms", "labels_c") if c in df.columns), plain or [F.lit(0)])
-    salted_rows = df.withColumn("_salt", F.hash(*spread_on).bitwiseAND(SALTS - 1))
-    copies = sources.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    spread_on = next(([c] for c in ("ts_ms", "labels_c") if c in df.columns), plain)
+    if not spread_on and "labels" in df.columns:
+        spread_on = [L.canonical(F.col("labels"))]
+    salts = _salts(df)
+    salted_rows = df.withColumn("_salt", F.hash(*(spread_on or [F.lit(0)])).bitwiseAND(salts - 1))
+    copies = sources.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted_rows.join(copies, ["source", "_salt"], how).drop("_salt")
 
 
 def keep_routed(df: DataFrame, sources: DataFrame, *selectors: Selector, small: bool | None = None) -> DataFrame:
     """Rows of the routed sources only, without reading their labels."""
-    small = fits_broadcast(sources) if small is None else small
-    return by_source(df, routed(sources, *selectors).select("source"), "left_semi", small=small)
+    chosen = routed(sources, *selectors).select("source", "external_labels")
+    small = fits_broadcast(chosen) if small is None else small
+    return by_source(df, chosen.select("source"), "left_semi", small=small)
 
 
 def attach_external(df: DataFrame, sources: DataFrame, *, small: bool | None = None) -> DataFrame:
@@ -86,7 +104,7 @@ def attach_external(df: DataFrame, sources: DataFrame, *, small: bool | None = N
     size is checked.
     """
     small = fits_broadcast(sources) if small is None else small
-    return by_source(df, sources.select("source", "external_labels"), small=small)
+    return by_source(df, known_externals(sources.select("source", "external_labels")), small=small)
 
 
 def effective_condition(df: DataFrame, chosen: Selector) -> Column:
@@ -108,20 +126,22 @@ def federate(
 ) -> DataFrame:
     """Rows of all sources that fit the selector, with ``external_labels``.
 
-    ``external_names`` may list every label name that some source owns.
-    Matchers on other names then become plain filters that reach the scan.
-    Without the list each matcher is checked after the join.
+    ``external_names`` may list label names that are owned by sources; names that
+    the source table has besides are added.  Matchers on other names then become
+    plain filters that reach the scan.  Without the list each matcher is checked
+    after the join.  Whether the sources are broadcast hangs on the routed ones
+    alone, so that few routed sources prune the others' partitions however many
+    there are.
 
     A source left with no matcher of its own once external ones are taken out
     is read whole (``on_empty="no filter"``) or for all its named series
     (``"all"``).
     """
-    owned = None if external_names is None else set(external_names)
+    owned = None if external_names is None else owned_names(sources) | set(external_names)
     plain = Selector(*(m for m in chosen if owned is not None and m.name not in owned))
     mixed = Selector(*(m for m in chosen if m not in plain))
     if plain:
         df = matching(df, plain)
-    small = fits_broadcast(sources) if small is None else small
     joined = attach_external(df, routed(sources, mixed), small=small)
     if mixed:
         joined = joined.filter(effective_condition(joined, mixed))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelspark.functions import labels as L
 from labelspark.functions.steps import SAMPLES_PER_CHUNK
-from labelspark.functions.times import bounded, days, floor_div
+from labelspark.functions.times import LEAST, MOST, bounded, days, floor_div
 from labelspark.operators.align import KEYS, MAX_BLOCK_MS, hashed
 
 SAMPLE = "struct<ts_ms:bigint,value:double>"
@@ -23,19 +25,33 @@ def labels_back(df: DataFrame) -> DataFrame:
     return df.withColumn("labels", F.map_from_entries("labels_c"))
 
 
-def in_range(df: DataFrame, start: int, end: int) -> DataFrame:
-    """Samples between two times, both inclusive; of a series table, the series alive then."""
-    if end < start:
-        raise ValueError("max_time must be greater than or equal to min_time")
-    return bounded(df, start - 1, end) if "ts_ms" in df.columns else overlapping(df, start, end)
+def check_range(start: int | None, end: int | None) -> None:
+    if start is not None and end is not None and end < start:
+        raise ValueError(f"the range ends ({end}) before it starts ({start})")
+
 
+def in_range(df: DataFrame, start: int | None, end: int | None) -> DataFrame:
+    """Samples between two times, both inclusive; of a series table, the series alive then.
+
+    Either end may be left open by None or by the bound of a 64-bit number.
+    """
+    check_range(start, end)
+    if "ts_ms" in df.columns:
+        return bounded(df, None if start is None else start - 1, end)
+    return overlapping(df, start, end)
 
-def overlapping(series: DataFrame, start: int, end: int) -> DataFrame:
-    """Rows of a series table that have been alive within a range."""
-    if end < start:
-        raise ValueError("max_time must be greater than or equal to min_time")
-    alive = (F.col("first_ts") <= end) & (F.col("last_ts") >= start)
-    return series.filter(alive & days(start, end) if "day" in series.columns else alive)
+
+def overlapping(series: DataFrame, start: int | None, end: int | None) -> DataFrame:
+    """Rows of a series table that have been alive within a range; its ends may be open."""
+    check_range(start, end)
+    start = None if start is None or start <= LEAST else start
+    end = None if end is None or end >= MOST else end
+    alive = days(start, end) if "day" in series.columns else []
+    if end is not None:
+        alive.append(F.col("first_ts") <= end)
+    if start is not None:
+        alive.append(F.col("last_ts") >= start)
+    return series.filter(reduce(Column.__and__, alive)) if alive else series
 
 
 def series_table(samples: DataFrame, keys=KEYS) -> DataFrame:
@@ -155,12 +171,6 @@ def chunks_of_series(chunks: DataFrame, keys=KEYS) -> DataFrame:
     return chunks.groupBy(*keys).agg(F.sort_array(F.collect_list(chunk)).alias("chunks"))
 
 
-def sorted_series(df: DataFrame) -> DataFrame:
-    """Series by their final labels; the source only decides between equal ones."""
-    by = ["labels_f", "source", *[c for c in ("ts_ms", "chunk") if c in df.columns]]
-    return df.withColumn("labels_f", L.canonical(F.col("labels"))).orderBy(*by).drop("labels_f")
-
-
 def limit_series(series: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` of the sorted series; no limit if not positive.
 

@@ -56,24 +56,24 @@ class Federation:
 
     @cached_property
     def small(self) -> bool:
-        """Whether the source table may be broadcast, looked up once."""
+        """Whether the whole source table may be broadcast to finish results, looked up once."""
         return fits_broadcast(self.sources)
 
-    def _hits(self, chosen: Selector, samples: DataFrame | None = None) -> DataFrame:
-        hits = federate(
+    def hits(self, chosen: Selector, samples: DataFrame | None = None) -> DataFrame:
+        """Samples of the routed sources that fit the selector, with the identity of their series."""
+        found = federate(
             self.samples if samples is None else samples,
             self.sources,
             chosen,
             external_names=self.external_names,
-            small=self.small,
         )
-        return hits if self.series_labels is not None else series.with_identity(hits)
+        return found if self.series_labels is not None else series.with_identity(found)
 
     @property
     def keys(self) -> tuple[str, ...]:
         return align.KEYS if self.series_labels is None else ("source", *SERIES_ID)
 
-    def _finish(self, df: DataFrame, replica: Iterable[str] = ()) -> DataFrame:
+    def finish(self, df: DataFrame, replica: Iterable[str] = ()) -> DataFrame:
         """From stored identity to final labels; both are looked up for results only."""
         if self.series_labels is None:
             stored = series.labels_back(df)
@@ -87,16 +87,16 @@ class Federation:
     def series_metadata(
         self,
         chosen: Selector,
-        start: int,
-        end: int,
+        start: int | None = None,
+        end: int | None = None,
         *,
         replica: Iterable[str] = (),
         limit: int = 0,
     ) -> DataFrame:
-        """Label sets with a sample in the range, in label order."""
+        """Label sets with a sample in the range, in label order; an end that is None is open."""
         require_own_matcher(self.sources, chosen)
-        hits = self._hits(chosen, series.in_range(self.samples, start, end))
-        found = self._finish(series.series_metadata(hits, self.keys), replica)
+        hits = self.hits(chosen, series.in_range(self.samples, start, end))
+        found = self.finish(series.series_metadata(hits, self.keys), replica)
         return series.limit_series(found, limit).select("source", "labels")
 
     def select_series(
@@ -114,21 +114,19 @@ class Federation:
 
         The step is the first one given, raised to keep within the point cap.
         """
-        if end < start:
-            raise ValueError("max_time must be greater than or equal to min_time")
+        series.check_range(start, end)
         require_own_matcher(self.sources, chosen)
         step_ns = steps.plan_step(start, end, hint_ms, step_ms, self.fallback_step_ns, self.max_points)
-        on_grid = align.range_select(
-            self._hits(chosen),
-            start,
-            end,
-            steps.grid_step_ms(step_ns),
-            self.lookback_ms,
-            self.keys,
-            self.tiebreak,
-        )
+        step = steps.grid_step_ms(step_ns)
+        hits = self.hits(chosen)
+        if limit > 0:
+            # The first series are found by their keys alone; samples are aligned and chunked for these only.
+            answered = align.answered(hits, start, end, step, self.lookback_ms, self.keys)
+            first = series.limit_series(self.finish(answered, replica), limit).select(*self.keys)
+            hits = hits.join(first, list(self.keys), "left_semi")
+        on_grid = align.range_select(hits, start, end, step, self.lookback_ms, self.keys, self.tiebreak)
         chunks = series.chunks_of_series(series.chunk_grid(on_grid, self.keys), self.keys)
-        return series.limit_series(self._finish(chunks, replica), limit).select("source", "labels", "chunks")
+        return series.limit_series(self.finish(chunks, replica), limit).select("source", "labels", "chunks")
 
     # -- label requests ----------------------------------------------------
 
@@ -147,7 +145,6 @@ class Federation:
             dropped=self.dropped,
             replica=replica,
             external_names=self.external_names,
-            small=self.small,
         )
 
     def label_values(
@@ -167,17 +164,16 @@ class Federation:
             dropped=self.dropped,
             replica=replica,
             external_names=self.external_names,
-            small=self.small,
         )
 
     def _between(self, start: int | None, end: int | None) -> DataFrame:
-        return self.samples if start is None or end is None else series.in_range(self.samples, start, end)
+        return series.in_range(self.samples, start, end)
 
     # -- queries: no order, no limit, replica labels stay --------------------
 
     def query(self, chosen: Selector, at_s: int, lookback_ms: int | None = None) -> DataFrame:
         """Latest sample per series at one time (whole seconds)."""
-        hits = self._hits(chosen)
+        hits = self.hits(chosen)
         lookback = self.lookback_ms if lookback_ms is None else lookback_ms
         return self.answer(align.instant_select(hits, at_s * 1000, lookback, self.keys, self.tiebreak))
 
@@ -188,7 +184,7 @@ class Federation:
         lookback = self.lookback_ms if lookback_ms is None else lookback_ms
         return self.answer(
             align.range_select(
-                self._hits(chosen),
+                self.hits(chosen),
                 start_s * 1000,
                 end_s * 1000,
                 step_s * 1000,
@@ -199,12 +195,14 @@ class Federation:
         )
 
     def rate(self, chosen: Selector, start_s: int, end_s: int, step_s: int, window_ms: int) -> DataFrame:
-        hits = self._hits(chosen)
-        return self.answer(align.counter_rate(hits, start_s * 1000, end_s * 1000, step_s * 1000, window_ms, self.keys))
+        grid = (start_s * 1000, end_s * 1000, step_s * 1000)
+        hits = self.hits(chosen)
+        return self.answer(align.counter_rate(hits, *grid, window_ms, self.keys, self.tiebreak))
 
     def irate(self, chosen: Selector, start_s: int, end_s: int, step_s: int, window_ms: int) -> DataFrame:
-        hits = self._hits(chosen)
-        return self.answer(align.counter_irate(hits, start_s * 1000, end_s * 1000, step_s * 1000, window_ms, self.keys))
+        grid = (start_s * 1000, end_s * 1000, step_s * 1000)
+        hits = self.hits(chosen)
+        return self.answer(align.counter_irate(hits, *grid, window_ms, self.keys, self.tiebreak))
 
     def answer(self, vector: DataFrame) -> DataFrame:
         """Rows of an instant or range answer with final labels.
@@ -213,7 +211,7 @@ class Federation:
         is; nested series are refused.
         """
         series.require_instant(vector)
-        return self._finish(vector).select("source", "labels", "ts_ms", "value")
+        return self.finish(vector).select("source", "labels", "ts_ms", "value")
 
     def scalar(self, value: Column, ts_ms: int, *selectors: Selector) -> DataFrame:
         return scalar_rows(self.sources, value, ts_ms, *selectors)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from labelspark.functions import labels as L
 from labelspark.operators import catalog, discovery, series
 from labelspark.operators.matchers import selector
+from labelspark.plans.federation import Federation
 from labelspark.plans.registry import query
 from labelspark.plans.queries.routing import supplier_sources
 from labelspark.plans.tables import (
@@ -18,6 +19,7 @@ from labelspark.plans.tables import (
     SQL_EXTERNAL,
     SQL_SUPPLIERS,
     SQL_VALUES,
+    START,
     STORED_TEXT,
     SUPPLIER_TEXT,
     sql_text,
@@ -79,9 +81,29 @@ def label_values_routed(t):
     )
 
 
-@query(f"WITH {SQL_VALUES} SELECT replica AS value FROM s WHERE false")
+@query(
+    f"WITH {SQL_VALUES} SELECT 'event_type' AS label, event_type AS value FROM s GROUP BY ALL "
+    "UNION ALL SELECT 'user', usr FROM s GROUP BY ALL"
+)
 def label_values_dropped(t):
-    return discovery.label_values(t.values(), t.sources(), "replica", replica=["replica"])
+    """Values of three labels, of which the dropped one has none."""
+    found = [
+        discovery.label_values(t.values(), t.sources(), label, replica=["replica"]).select(
+            F.lit(label).alias("label"), "value"
+        )
+        for label in ("event_type", "replica", "user")
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
+@query(
+    f"WITH {SQL_BOTH}, {SQL_EXTERNAL}, "
+    + SQL_NAMES.format(where=f"ts_ms >= {START + 29 * DAY} AND event_type = 'click'", dropped="'__tenant_id__'")
+)
+def label_names_since(t):
+    """Only the start of the range is given."""
+    fed = Federation(t.samples(), t.sources(), ("__tenant_id__",), external_names=EXTERNAL_NAMES)
+    return fed.label_names(selector(("event_type", "=", "click")), start=START + 29 * DAY)
 
 
 @query(f"WITH {SQL_BOTH} SELECT DISTINCT source, {STORED_TEXT} AS labels_s FROM s")

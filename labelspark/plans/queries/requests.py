@@ -7,6 +7,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from labelspark.functions import labels as L
+from labelspark.operators.catalog import MAX_TIME, MIN_TIME
 from labelspark.operators.matchers import selector
 from labelspark.operators.projection import with_text
 from labelspark.operators.series import limit_series, unnest
@@ -26,6 +27,7 @@ from labelspark.plans.tables import (
     SQL_TOTALS,
     SQL_VALUES,
     START,
+    STORED_TEXT,
 )
 from labelspark.sources.store import read_samples, read_series, series_labels, write_samples, write_series
 from labelspark.streaming.versions import shared_dir
@@ -174,7 +176,7 @@ def composed_query(t):
     high = selector(("__name__", "=", "event_value"), ("region", "=", "eu"))
     other = selector(("__name__", "=", "events_total"), ("prometheus", "!=", "prom-0"), ("region", "=~", ".+"))
     fed = federation(t).routed_for(high, other)
-    return fed._hits(high).groupBy("source", F.col("labels")["event_type"].alias("event_type")).agg(
+    return fed.hits(high).groupBy("source", F.col("labels")["event_type"].alias("event_type")).agg(
         F.max("value").alias("high")
     )
 
@@ -191,4 +193,83 @@ def series_limit_long(t):
     key = F.map_filter("labels", lambda name, _: name.isin("__name__", "event_type", "prometheus"))
     few = t.samples().select("source", L.canonical(key).alias("labels_c")).distinct()
     fed = federation(t)
-    return flat(limit_series(fed._finish(few), 7))
+    return flat(limit_series(fed.finish(few), 7))
+
+
+SQL_STORED_PAIRS = """list_filter([['__name__', metric], ['__tenant_id__', tenant], ['event_type', event_type],
+    ['prometheus', prom], ['replica', replica], ['user', usr]], lambda p: p[2] IS NOT NULL)"""
+SQL_METADATA = f"""WITH {SQL_BOTH}, {SQL_EXTERNAL}, m AS (
+      SELECT DISTINCT source, metric, tenant, event_type, prom, replica, usr, ext_prom, ext_region
+      FROM s JOIN x USING (source) WHERE {SQL_NOT_VIEW})
+    SELECT source, {FINAL_TEXT} AS labels_s FROM m"""
+
+
+@query(SQL_METADATA)
+def metadata_unbounded(t):
+    """The bounds that a store advertises for unlimited times."""
+    return flat(federation(t).series_metadata(NOT_VIEW, MIN_TIME, MAX_TIME))
+
+
+@query(SQL_METADATA)
+def names_unlisted_external(t):
+    """A list of external names that misses one: the source table knows better."""
+    fed = replace(federation(t), external_names=frozenset({"prometheus"}))
+    return flat(fed.series_metadata(NOT_VIEW, START, END))
+
+
+@query(
+    f"""WITH {SQL_VALUES}, {SQL_EXTERNAL}, m AS (
+      SELECT DISTINCT source, metric, tenant, event_type, prom, replica, usr, ext_prom, ext_region FROM s JOIN x USING (source))
+    SELECT source, {FINAL_TEXT} AS labels_s FROM m"""
+)
+def null_external(t):
+    """A source whose external labels are null has none."""
+    empty = F.size("external_labels") == 0
+    gaps = t.sources().withColumn("external_labels", F.when(~empty, F.col("external_labels")))
+    fed = replace(federation(t), sources=gaps)
+    return flat(fed.series_metadata(selector(("__name__", "=", "event_value")), START, END))
+
+
+@query(
+    f"""WITH {SQL_BOTH.replace("s AS (SELECT * FROM v", "a AS (SELECT * FROM v")}, {SQL_EXTERNAL},
+    s AS (SELECT a.* FROM a JOIN x USING (source) WHERE {SQL_NOT_VIEW}), {sql_grid(SERIES, STEP, LOOKBACK)},
+    k AS (SELECT DISTINCT {SERIES}, ext_prom, ext_region FROM g JOIN x USING (source)),
+    l AS (SELECT * FROM k ORDER BY {SQL_PAIRS}, source, {SQL_STORED_PAIRS} LIMIT 40),
+    n AS (SELECT *, (row_number() OVER (PARTITION BY {SERIES} ORDER BY at_ms) - 1) // 120 AS chunk FROM g)
+    SELECT source, {FINAL_TEXT} AS labels_s, chunk, at_ms AS ts_ms, value,
+           min(at_ms) OVER (PARTITION BY {SERIES}, chunk) AS min_time,
+           max(at_ms) OVER (PARTITION BY {SERIES}, chunk) AS max_time
+    FROM n SEMI JOIN l ON {" AND ".join(f"n.{c} IS NOT DISTINCT FROM l.{c}" for c in SERIES.split(", "))} JOIN x USING (source)"""
+)
+def series_select_limit(t):
+    """The first series are chosen by their labels before any samples are chunked."""
+    found = federation(t).select_series(NOT_VIEW, START, END, limit=40)
+    chunks = with_text(found).select("source", "labels_s", F.posexplode("chunks").alias("chunk", "c"))
+    rows = chunks.select("source", "labels_s", F.col("chunk").cast("bigint").alias("chunk"), "c.*")
+    return unnest(rows)
+
+
+@query(
+    f"""WITH {SQL_BOTH}, {SQL_EXTERNAL}, m AS (
+      SELECT DISTINCT source, metric, tenant, event_type, prom, replica, usr, ext_prom, ext_region
+      FROM s JOIN x USING (source) WHERE {SQL_NOT_VIEW}),
+    o AS (SELECT source, {FINAL_TEXT} AS labels_s, row_number() OVER (ORDER BY {SQL_PAIRS}, source) - 1 AS place
+      FROM (SELECT DISTINCT source, metric, event_type, prom, usr, ext_prom, ext_region FROM m))
+    SELECT source, labels_s, place FROM o WHERE place < 100"""
+)
+def series_places(t):
+    """The place of each of the first series in the order of the answer itself."""
+    found = federation(t).series_metadata(NOT_VIEW, START, END)
+    unlike = found.select("source", L.canonical(F.col("labels")).alias("labels_c")).distinct()
+    first = limit_series(unlike.withColumn("labels", F.map_from_entries("labels_c")), 100)
+    return flat(first.coalesce(1).withColumn("place", F.monotonically_increasing_id()), "place")
+
+
+@query(f"WITH {SQL_BOTH} SELECT event_id, source, {STORED_TEXT} AS labels_s, ts_ms, value FROM s")
+def store_append(t):
+    """A store that is written in two halves by day holds both."""
+    place, half = f"{shared_dir(t.spark)}/samples", START + 15 * DAY
+    write_samples(t.samples().filter(F.col("ts_ms") < half), place)
+    write_samples(t.samples().filter(F.col("ts_ms") >= half), place)
+    stored_text = L.text(F.col("labels")).alias("labels_s")
+    return read_samples(t.spark, place).select("event_id", "source", stored_text, "ts_ms", "value")

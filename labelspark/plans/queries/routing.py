@@ -145,13 +145,19 @@ def federated_union_all(t):
 
 
 @query(
-    f"WITH {SQL_VALUES}, {SQL_EXTERNAL} SELECT event_id, source FROM s JOIN x USING (source) WHERE ext_region = 'mars'"
+    f"WITH {SQL_VALUES}, {SQL_EXTERNAL} SELECT r AS region, count(event_id) AS n FROM (VALUES ('mars'), ('eu')) g(r) "
+    "LEFT JOIN (SELECT event_id, ext_region FROM s JOIN x USING (source)) ON ext_region = r GROUP BY ALL"
 )
 def no_route(t):
-    """No source accepts the matcher: an empty answer, not an error."""
-    chosen = selector(("region", "=", "mars"), ("__name__", "=", "event_value"))
+    """Where no source accepts the matcher the answer is empty and no error, beside one that has a route."""
     owners = t.sources().filter(F.col("external_labels")["region"].isNotNull())
-    return routing.federate(t.values(), owners, chosen).select("event_id", "source")
+
+    def count(region):
+        chosen = selector(("region", "=", region), ("__name__", "=", "event_value"))
+        hits = routing.federate(t.values(), owners, chosen)
+        return hits.agg(F.count("*").alias("n")).select(F.lit(region).alias("region"), "n")
+
+    return count("mars").unionByName(count("eu"))
 
 
 @query(f"WITH {SQL_BOTH} SELECT source, metric, count(*) AS n FROM s WHERE usr <> '' GROUP BY ALL")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from labelspark.operators.projection import with_text
 from labelspark.plans.queries.discovery import ANNOUNCED, SQL_ANNOUNCED
 from labelspark.plans.queries.requests import NOT_VIEW, SQL_NOT_VIEW
 from labelspark.plans.registry import query
-from labelspark.plans.tables import DROPPED, END, EXTERNAL_NAMES, FINAL_TEXT, SQL_EXTERNAL, SQL_VALUES, Tables
+from labelspark.plans.tables import DAY, DROPPED, END, EXTERNAL_NAMES, FINAL_TEXT, SQL_EXTERNAL, SQL_VALUES, Tables
 from labelspark.streaming.attach import stream_attach
-from labelspark.streaming.refresh import announced_at, stream_announced
+from labelspark.streaming.refresh import announced_at, refresh_announced, stream_announced
 from labelspark.streaming.versions import VersionedTable, shared_dir
 
 
@@ -49,3 +51,32 @@ def stream_label(t):
         once=True,
     ).awaitTermination()
     return with_text(t.spark.read.parquet(f"{place}/out")).select("event_id", "source", "labels_s", "ts_ms", "value")
+
+
+@query(f"WITH {SQL_VALUES}, " + SQL_ANNOUNCED.format(by="source,", where=""))
+def stream_resume(t):
+    """A second run with a checkpoint of its own goes on where the first one ended."""
+    place = shared_dir(t.spark)
+    table = VersionedTable(t.spark, f"{place}/announced")
+    early = F.col("event_type").isin("click", "view")
+    for run, part in enumerate((early, ~early)):
+        arriving = Arriving(t.spark, t.sf_dir).values().filter(part)
+        stream_announced(arriving, ANNOUNCED, table, f"{place}/checkpoint-{run}", once=True).awaitTermination()
+    return announced_at(table.current(), END, 0, "source").select("source", "labels_s")
+
+
+@query(
+    f"WITH {SQL_VALUES}, "
+    + SQL_ANNOUNCED.format(by="source,", where=f"WHERE source <> 'src-2' AND ts_ms BETWEEN {END - 10 * DAY} AND {END}")
+)
+def refresh_partial(t):
+    """One of four sources fails; the labels of the others are there all the same."""
+    table = VersionedTable(t.spark, f"{shared_dir(t.spark)}/announced")
+
+    def read(name):
+        samples = t.values().filter(F.col("source") == name)
+        return samples.withColumn("ts_ms", F.when(F.lit(name) == "src-2", F.raise_error(F.lit("gone"))).otherwise(F.col("ts_ms")))
+
+    readers = {name: (lambda n=name: read(n)) for name in ("src-0", "src-1", "src-2", "src-3")}
+    refresh_announced(readers, ANNOUNCED, table, END, 10 * DAY, seconds=600)
+    return announced_at(table.current(), END, 10 * DAY, "source").select("source", "labels_s")

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from labelspark.functions import labels as L
 
+# Fixed value: the name of the source where none is configured.
 DEFAULT_SOURCE = "backend"
 CONFIG_TYPE = "global struct<external_labels: map<string,string>>"
 

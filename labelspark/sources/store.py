@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from labelspark.functions import labels as L
@@ -62,53 +62,59 @@ def with_series_id(samples: DataFrame) -> DataFrame:
     return samples.withColumn("id_hi", F.xxhash64(pairs)).withColumn("id_lo", F.xxhash64(F.lit(1), pairs))
 
 
-def write_samples(samples: DataFrame, path: str, hot: Sequence[str] = (L.METRIC_NAME,)) -> None:
+# How a write treats what is stored: add to it, replace the (source, day) partitions written to, or replace all.
+MODES = ("append", "partitions", "all")
+
+
+def _writer(df: DataFrame, mode: str) -> DataFrameWriter:
+    if mode not in MODES:
+        raise ValueError(f"mode must be one of {MODES}")
+    if mode == "partitions":
+        return df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    return df.write.mode("append" if mode == "append" else "overwrite").option("partitionOverwriteMode", "static")
+
+
+def write_samples(
+    samples: DataFrame, path: str, hot: Sequence[str] = (L.METRIC_NAME,), *, mode: str = "append"
+) -> None:
     """Store samples by source and day, labels cleaned, with series ids, sorted within files.
 
+    ``mode`` says what becomes of the samples already there, see `MODES`.
+
     The rebalance lets Spark cut large (source, day) groups into several
     files of even size and put small ones together.
     """
     clean = samples.withColumn("labels", L.normalize(F.col("labels"))).withColumn("day", day_of(F.col("ts_ms")))
     clean = promote(with_series_id(clean), hot)
     hot_columns = ["name" if n == L.METRIC_NAME else f"label_{n}" for n in hot]
-    (
-        clean.hint("rebalance", "source", "day")
-        .sortWithinPartitions("source", "day", *hot_columns, *SERIES_ID, "ts_ms")
-        .write.mode("overwrite")
-        .partitionBy("source", "day")
-        .parquet(path)
+    ordered = clean.hint("rebalance", "source", "day").sortWithinPartitions(
+        "source", "day", *hot_columns, *SERIES_ID, "ts_ms"
     )
+    _writer(ordered, mode).partitionBy("source", "day").parquet(path)
 
 
-def write_chunks(chunks: DataFrame, path: str) -> None:
+def write_chunks(chunks: DataFrame, path: str, *, mode: str = "append") -> None:
     """Store chunks by source; a source with much data gets several files."""
-    chunks.hint("rebalance", "source").write.mode("overwrite").partitionBy("source").parquet(path)
+    _writer(chunks.hint("rebalance", "source"), mode).partitionBy("source").parquet(path)
 
 
 def read_samples(
     spark: SparkSession, path: str, after: int | None = None, until: int | None = None
 ) -> DataFrame:
-    """Stored samples in ``(after, until]``; only the days of the range are listed."""
-    samples = spark.read.option("mergeSchema", "false").parquet(path)
-    return samples if after is None or until is None else bounded(samples, after, until)
+    """Stored samples in ``(after, until]``, either end open if None; only the days of the range are read."""
+    return bounded(spark.read.option("mergeSchema", "false").parquet(path), after, until)
 
 
-def write_series(samples: DataFrame, path: str) -> None:
-    """The series table of stored samples: one row per source, day and label set.
+def write_series(samples: DataFrame, path: str, *, mode: str = "append") -> None:
+    """The series table of stored samples: one row per source, day and label set (and per write, if appended).
 
     Label discovery and metadata read this instead of samples.  Fails if two
     label sets of a source have the same id.
     """
     days = with_identity(samples).withColumn("day", day_of(F.col("ts_ms")))
     rows = series_table(days, keys=("source", "day", *SERIES_ID, "labels_c"))
-    (
-        rows.withColumn("labels", F.map_from_entries("labels_c"))
-        .drop("labels_c")
-        .hint("rebalance", "source", "day")
-        .write.mode("overwrite")
-        .partitionBy("source", "day")
-        .parquet(path)
-    )
+    named = rows.withColumn("labels", F.map_from_entries("labels_c")).drop("labels_c")
+    _writer(named.hint("rebalance", "source", "day"), mode).partitionBy("source", "day").parquet(path)
     named = read_series(samples.sparkSession, path)
     clashes = series_labels(named, F.count("*").alias("sets")).filter("sets > 1").take(1)
     if clashes:

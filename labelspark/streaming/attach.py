@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import DataFrame
@@ -11,7 +12,9 @@ from labelspark.operators.matchers import Selector
 from labelspark.operators.projection import finish_labels
 from labelspark.operators.routing import federate
 from labelspark.streaming.refresh import EXTERNAL_EVERY, refresh_external
-from labelspark.streaming.versions import VersionedTable
+from labelspark.streaming.versions import VersionedTable, run_of
+
+log = logging.getLogger(__name__)
 
 
 def stream_attach(
@@ -24,25 +27,32 @@ def stream_attach(
     read_sources: Callable[[], DataFrame] | None = None,
     dropped: Iterable[str] = (),
     external_names: Iterable[str] | None = None,
+    on_error: Callable[[str], None] = log.error,
     once: bool = False,
     every: str = EXTERNAL_EVERY,
 ) -> StreamingQuery:
     """Route arriving samples and give them their final labels.
 
     The source table is looked up for every batch, after a refresh if
-    ``read_sources`` is given.  Output goes to one folder per batch, so a
-    batch that runs again replaces its own rows only.
+    ``read_sources`` is given; a refresh that fails is handed to ``on_error``
+    and the last good table is used.  Output goes to one folder per run and batch, so a
+    batch that runs again replaces its own rows only, and a run with a new
+    checkpoint those of no other run.
     """
     dropped = tuple(dropped)
 
     def label(batch: DataFrame, batch_id: int) -> None:
         if read_sources is not None:
-            refresh_external(sources, read_sources)
+            error = refresh_external(sources, read_sources)
+            if error is not None:
+                on_error(error)
         known = sources.current()
         if known is None:
             raise ValueError("the source table has no version yet")
         hits = federate(batch, known, chosen, external_names=external_names)
-        finish_labels(hits, dropped).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        finish_labels(hits, dropped).write.mode("overwrite").parquet(
+            f"{out}/run={run_of(sources.spark, checkpoint)}/batch={batch_id}"
+        )
 
     writer = samples.writeStream.foreachBatch(label).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if once else {"processingTime": every}

@@ -4,24 +4,28 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from labelspark.operators.catalog import announced_pairs, as_label_sets, check_names, lookback_range, within_lookback
-from labelspark.streaming.versions import VersionedTable
+from labelspark.sources.config import split_tenants
+from labelspark.streaming.versions import VersionedTable, run_of
 
 # How often the two are refreshed.
 ANNOUNCED_EVERY = "1 minute"
 EXTERNAL_EVERY = "30 seconds"
+SECONDS_PER_SOURCE = 5.0
+
+SEEN = "label string, value string, last_seen bigint, source string"
 
 
 class AllSourcesFailed(RuntimeError):
     def __init__(self, failures: Sequence[tuple[str, str]]) -> None:
         super().__init__(
-            "all announced label sources failed: " + "; ".join(f"{name}: {error}" for name, error in failures)
+            "no source could tell its labels: " + "; ".join(f"{name}: {error}" for name, error in failures)
         )
         self.failures = list(failures)
 
@@ -44,20 +48,22 @@ def stream_announced(
 ) -> StreamingQuery:
     """Follow a stream of samples and keep the announced labels in a table.
 
-    Each batch is merged with the last version before it; the version is the
-    number of the batch, so a batch that runs again replaces what it wrote.
-    Late samples do no harm, as only the latest time counts.
+    Each batch is merged with the last version before it.  A batch that runs
+    again replaces what it wrote; a run with a new checkpoint goes on after the
+    last version.  Late samples do no harm, as only the latest time counts.
     """
     check_names(names)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        run = run_of(table.spark, checkpoint)
+        version = table.version_of(run, batch_id)
         seen = last_seen(batch, names)
-        before = table.at(table.last_version(below=batch_id))
+        before = table.at(table.last_version(below=version))
         if before is not None:
             seen = before.unionByName(seen).groupBy("source", "label", "value").agg(
                 F.max("last_seen").alias("last_seen")
             )
-        table.write(seen, batch_id)
+        table.write(seen, version, run, batch_id)
 
     writer = samples.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if once else {"processingTime": every}
@@ -65,10 +71,13 @@ def stream_announced(
 
 
 def announced_at(seen: DataFrame, now_ms: int, lookback_ms: int = 0, *by: str) -> DataFrame:
-    """The label sets seen within the lookback, distinct and sorted by text."""
+    """The label sets seen since the lookback began, distinct and sorted by text.
+
+    A label is known by its last time only, so one that has also been seen after ``now`` stays.
+    """
     bounds = lookback_range(now_ms, lookback_ms)
     if bounds is not None:
-        seen = seen.filter(F.col("last_seen").between(*bounds))
+        seen = seen.filter(F.col("last_seen") >= bounds[0])
     sets = as_label_sets(seen.select(*by, "label", "value").distinct())
     return sets.select(*by, "labels", "labels_s").orderBy("labels_s", *by)
 
@@ -81,15 +90,17 @@ def refresh_announced(
     lookback_ms: int = 0,
     *,
     at_once: int = 4,
+    seconds: float = SECONDS_PER_SOURCE,
 ) -> list[tuple[str, str]]:
     """Read the announced labels of separate sources anew and replace the table.
 
-    A source that fails is left out and reported as ``(source, error)``.  If
-    all fail the table stays as it was and `AllSourcesFailed` is raised.  Each
-    source is written for itself first, so that its failure shows there.
+    A source that fails, or takes longer than ``seconds``, is left out and reported as
+    ``(source, error)``.  If all fail the table stays as it was and `AllSourcesFailed` is
+    raised.  Each source is written for itself first, so that its failure shows there.
+    A first load without any label is refused.
     """
     if not readers:
-        raise ValueError("no announced label sources configured")
+        raise ValueError("there is no source to ask for its labels")
     lookback_range(now_ms, lookback_ms)
     version = table.last_version()
     version = 0 if version is None else version + 1
@@ -107,21 +118,47 @@ def refresh_announced(
             return name, part, str(error)
         return name, part, None
 
-    with ThreadPoolExecutor(at_once) as pool:
-        done = list(pool.map(read_one, readers, range(len(readers))))
+    pool = ThreadPoolExecutor(at_once)
+    asked = [(name, pool.submit(read_one, name, place)) for place, name in enumerate(readers)]
+    done = []
+    for name, answer in asked:
+        try:
+            done.append(answer.result(timeout=seconds))
+        except TimeoutError:
+            done.append((name, "", f"no answer within {seconds:g} s"))
+    pool.shutdown(wait=False, cancel_futures=True)
     failures = [(name, error) for name, _, error in done if error is not None]
     parts = [part for _, part, error in done if error is None]
     if not parts:
         raise AllSourcesFailed(failures)
-    frames = [table.spark.read.parquet(part) for part in parts]
-    table.write(reduce(DataFrame.unionByName, frames), version)
+    found = table.spark.read.schema(SEEN).parquet(*parts)
+    if version == 0 and found.isEmpty():
+        raise ValueError("the first load found no label at all")
+    table.write(found, version)
     return failures
 
 
+def tenant_readers(
+    fields: DataFrame, read: Callable[[str], DataFrame], field: str = "tenant_field"
+) -> dict[str, Callable[[], DataFrame]]:
+    """A reader per tenant of a ``a|b`` field, for `refresh_announced`; no tenant, one default source.
+
+    ``read`` gives the samples of a tenant.  Tenants are configured, so there are few.
+    """
+    tenants = split_tenants(fields, field).select("tenant").distinct().orderBy("tenant").collect()
+    return {row["tenant"]: partial(read, row["tenant"]) for row in tenants}
+
+
 def refresh_external(table: VersionedTable, read: Callable[[], DataFrame]) -> str | None:
-    """Read the source table anew; on failure keep the last good one and return the error."""
+    """Read the source table anew; on failure keep the last good one and return the error.
+
+    A first load without any external label is refused.
+    """
     try:
-        table.replace(read())
+        found = read()
+        if table.last_version() is None and found.filter(F.size("external_labels") > 0).isEmpty():
+            raise ValueError("the first load found no external labels")
+        table.replace(found)
     except Exception as error:  # the former version stays current
         if table.last_version() is None:
             raise

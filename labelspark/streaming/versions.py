@@ -2,12 +2,13 @@
 
 A version counts once its commit record is written, after its data.  Readers
 take the highest committed version, so a failed or half-done refresh changes
-nothing, and writing a version again replaces it.
+nothing.  A commit record names the run and batch that wrote the version: a batch
+that runs again replaces what it wrote, and a new run goes on after the last
+version, whatever its batches are numbered.  One writer at a time.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from dataclasses import dataclass
 
@@ -15,28 +16,35 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+COMMIT = "version bigint, rows bigint, run string, batch bigint"
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster names for checkpoints.
+    """A new folder below ``spark.checkpoint.dir``, which all executors share.
 
-    Only a session on one machine may go without and gets a temporary folder.
+    Where that is not set it lies below the warehouse, which they share as well.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="labelspark-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage, if it is there."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 @dataclass(frozen=True)
 class VersionedTable:
+    """``keep`` versions stay readable after a newer one is written; older ones are removed."""
+
     spark: SparkSession
     path: str
+    keep: int = 5
 
     def _commits(self) -> DataFrame | None:
         try:
-            return self.spark.read.schema("version bigint, rows bigint").parquet(f"{self.path}/commits")
+            return self.spark.read.schema(COMMIT).parquet(f"{self.path}/commits")
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
@@ -50,17 +58,35 @@ class VersionedTable:
             commits = commits.filter(F.col("version") < below)
         return commits.agg(F.max("version")).first()[0]
 
+    def version_of(self, run: str, batch: int) -> int:
+        """The version that a batch of a run has written already, else the next one."""
+        commits = self._commits()
+        if commits is None:
+            return 0
+        mine = F.max(F.when((F.col("run") == run) & (F.col("batch") == batch), F.col("version")))
+        own, last = commits.agg(mine, F.max("version")).first()
+        return own if own is not None else 0 if last is None else last + 1
+
     def at(self, version: int | None) -> DataFrame | None:
         return None if version is None else self.spark.read.parquet(f"{self.path}/data/v{version}")
 
     def current(self) -> DataFrame | None:
         return self.at(self.last_version())
 
-    def write(self, df: DataFrame, version: int) -> None:
+    def write(self, df: DataFrame, version: int, run: str | None = None, batch: int | None = None) -> None:
         data = f"{self.path}/data/v{version}"
         df.write.mode("overwrite").parquet(data)
         record = self.spark.read.parquet(data).agg(F.count("*").alias("rows"))
+        record = record.withColumns({"run": F.lit(run).cast("string"), "batch": F.lit(batch).cast("bigint")})
         record.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/commits/version={version}")
+        self._forget(version - self.keep)
+
+    def _forget(self, last: int) -> None:
+        """Remove the versions up to ``last``: first their records, then their data."""
+        old = [] if last < 0 else self._commits().filter(F.col("version") <= last).select("version").collect()
+        for folder in ("commits/version=", "data/v", "parts/v"):
+            for row in old:
+                remove(self.spark, f"{self.path}/{folder}{row['version']}")
 
     def replace(self, df: DataFrame) -> int:
         """Write the next version and make it the current one."""
@@ -68,3 +94,8 @@ class VersionedTable:
         version = 0 if last is None else last + 1
         self.write(df, version)
         return version
+
+
+def run_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id of a streaming run; it stays with the checkpoint, so a restart has the same and a new checkpoint another."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]

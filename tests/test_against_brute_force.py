@@ -98,11 +98,38 @@ def test_counters(spark, grid, most, monkeypatch):
     assert answers(align.counter_irate(df, *grid)) == last
 
 
-@pytest.mark.parametrize("step,window,most", [(100, 300, 3_600_000), (7, 5, 3), (86_400_000, 604_800_000, 3_600_000), (60_000, 300_000, 7_000)])
-def test_blocks_divide_step_and_window(monkeypatch, step, window, most):
+@pytest.mark.parametrize(
+    "step,window,most", [(100, 300, 3_600_000), (7, 5, 3), (5, 7, 2), (60, 300, 7), (97, 250, 10), (97, 250, 1000)]
+)
+def test_windows_are_made_of_whole_blocks(spark, monkeypatch, step, window, most):
     monkeypatch.setattr(align, "MAX_BLOCK_MS", most)
-    block = align._block_ms(step, window)
-    assert step % block == window % block == 0 and block <= most
+    start, points = 1000, 6
+    blocks = align.Blocks(start, step, window)
+    times = spark.range(start - window - step, start + points * step).withColumn("k", blocks.number(F.col("id")))
+    by_time = {r.id: r.k for r in times.collect()}
+    for i in range(points):
+        at = start + i * step
+        inside = {by_time[t] for t in range(at - window + 1, at + 1)}
+        assert max(inside) == i * blocks.per_step and min(inside) > i * blocks.per_step - blocks.per_window
+        assert by_time[at - window] <= i * blocks.per_step - blocks.per_window
+        assert by_time.get(at + 1, i * blocks.per_step + 1) > i * blocks.per_step
+    held = {}
+    for t, k in by_time.items():
+        held.setdefault(k, []).append(t)
+    assert max(len(ts) for ts in held.values()) <= most
+
+
+def test_readings_of_one_time_and_readings_that_are_no_numbers(spark):
+    rows = [("s", {"n": "a"}, t, v, s) for t, v, s in ((1000, 1.0, 0), (2000, 100.0, 0), (2000, 5.0, 1), (3000, 7.0, 0))]
+    ties = identified(spark, [r[:4] for r in rows]).withColumn("seq", F.when(F.col("value") == 5, 1).otherwise(0))
+    assert answers(align.counter_rate(ties, 3000, 3000, 1000, 5000, tiebreak="seq")) == {("a", 3000): 3.0}
+    assert answers(align.counter_irate(ties, 3000, 3000, 1000, 5000, tiebreak="seq")) == {("a", 3000): 2.0}
+    for odd in (float("nan"), float("inf")):
+        points = [("s", {"n": "a"}, t * 1000, odd if t == 5 else float(t)) for t in range(1, 41)]
+        got = answers(align.counter_rate(identified(spark, points), 10_000, 40_000, 5000, 5000))
+        assert {t: v for (_, t), v in got.items()} == {t: 1.0 for t in range(10_000, 40_001, 5000)}
+        held = answers(align.counter_rate(identified(spark, points), 6000, 6000, 5000, 5000))["a", 6000]
+        assert held != held or held == float("inf")
 
 
 def test_one_hot_series(spark):

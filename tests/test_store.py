@@ -87,7 +87,7 @@ def test_routing_prunes_source_partitions(spark, stored):
     assert "dynamicpruning" in plan(kept) and kept.count() == len(ROWS) // 2
 
 
-@pytest.mark.parametrize("bounds", [{}, {"BROADCAST_ROWS": 3}, {"BROADCAST_BYTES": 10}])
+@pytest.mark.parametrize("bounds", [{}, {"BROADCAST_ROWS": 1}, {"BROADCAST_BYTES": 10}])
 def test_answers_do_not_hang_on_a_broadcast(spark, stored, bounds, monkeypatch):
     """Past the bounds the source table is joined by salted shuffle, with the same rows."""
     for name, value in bounds.items():
@@ -109,6 +109,49 @@ def test_answers_do_not_hang_on_a_broadcast(spark, stored, bounds, monkeypatch):
         assert routing.keep_routed(df, owners, chosen).count() == len(ROWS) // 2
 
 
+def test_one_routed_source_of_many_prunes(spark, stored):
+    """The size of the whole source table does not matter, only that of its routed part."""
+    many = spark.range(routing.BROADCAST_ROWS + 10).select(
+        F.concat(F.lit("src-"), "id").alias("source"),
+        F.create_map(F.lit("region"), F.when(F.col("id") == 1, "eu").otherwise("us")).alias("external_labels"),
+    )
+    df = store.read_samples(spark, f"{stored}/samples")
+    with setting(spark, spark_sql_autoBroadcastJoinThreshold="-1", spark_sql_adaptive_autoBroadcastJoinThreshold="-1"):
+        hits = routing.federate(df, many, selector(("region", "=", "eu"), ("__name__", "=", "up")), external_names={"region"})
+        assert {r.source for r in hits.collect()} == {"src-1"}
+        shown = plan(hits)
+        assert "dynamicpruningexpression(source" in shown and "dynamicpruningexpression(true)" not in shown
+
+
+def test_writes_add_or_replace_partitions(spark, tmp_path):
+    path = str(tmp_path / "samples")
+    first = [("a", {"__name__": "up"}, T0 + d * DAY, 1.0) for d in range(3)]
+    store.write_samples(samples(spark, first), path)
+    store.write_samples(samples(spark, [("b", {"__name__": "up"}, T0, 2.0)]), path)
+    assert store.read_samples(spark, path).count() == 4
+    store.write_samples(samples(spark, [("a", {"__name__": "up"}, T0 + DAY + 5, 3.0)]), path, mode="partitions")
+    got = {(r.source, r.ts_ms, r.value) for r in store.read_samples(spark, path).collect()}
+    assert got == {("a", T0, 1.0), ("a", T0 + DAY + 5, 3.0), ("a", T0 + 2 * DAY, 1.0), ("b", T0, 2.0)}
+    assert store.read_samples(spark, path, after=T0).count() == 2
+    assert store.read_samples(spark, path, until=T0).count() == 2
+    store.write_samples(samples(spark, first[:1]), path, mode="all")
+    assert store.read_samples(spark, path).count() == 1
+    with pytest.raises(ValueError):
+        store.write_samples(samples(spark, first), path, mode="other")
+
+
+def test_ranges_with_open_ends(spark, stored):
+    least, most = -(2**63), 2**63 - 1
+    df = store.read_samples(spark, f"{stored}/samples")
+    table = store.read_series(spark, f"{stored}/series")
+    for frame in (df, table):
+        assert series.in_range(frame, least, most).count() == series.in_range(frame, None, None).count() == frame.count()
+        assert series.in_range(frame, 10**14, None).count() == series.in_range(frame, None, -(10**17)).count() == 0
+        assert series.in_range(frame, -(10**17), 10**17).count() == frame.count()
+    fed = Federation(df, config.literal_sources(spark, OWNERS))
+    assert fed.label_names(start=10**14).count() == 0 and fed.label_names(end=T0 - 1).count() == 0
+
+
 def test_no_cross_product_and_aggregation_before_the_shuffle(spark, stored):
     df = series.with_identity(store.read_samples(spark, f"{stored}/samples"))
     end = T0 + 3 * DAY

@@ -12,6 +12,7 @@ from labelspark.streaming.refresh import (
     refresh_announced,
     refresh_external,
     stream_announced,
+    tenant_readers,
 )
 from labelspark.streaming.versions import VersionedTable, shared_dir
 from tests.helpers import SAMPLES, samples, sources
@@ -37,7 +38,7 @@ def table(spark, tmp_path):
 
 
 def failing():
-    raise OSError("empty ring")
+    raise OSError("no answer")
 
 
 def test_versions(spark, table):
@@ -69,7 +70,7 @@ def test_shared_dir_follows_the_session(spark):
 def test_failed_sources_are_skipped(spark, table):
     readers = {"tenant-a": lambda: samples(spark, [row("x", "prom-a", 1)]), "tenant-b": failing}
     failures = refresh_announced(readers, ["prometheus"], table, now_ms=10)
-    assert [name for name, _ in failures] == ["tenant-b"] and "empty ring" in failures[0][1]
+    assert [name for name, _ in failures] == ["tenant-b"] and "no answer" in failures[0][1]
     assert told(announced_at(table.current(), 10)) == ['{prometheus="prom-a"}']
 
 
@@ -84,7 +85,7 @@ def test_a_source_that_fails_while_read_is_skipped(spark, table):
 
 def test_the_former_sets_stay_if_all_fail(spark, table):
     refresh_announced({"tenant-a": lambda: samples(spark, [row("x", "prom-a", 1)])}, ["prometheus"], table, 10)
-    with pytest.raises(AllSourcesFailed, match="tenant-a: empty ring") as raised:
+    with pytest.raises(AllSourcesFailed, match="tenant-a: no answer") as raised:
         refresh_announced({"tenant-a": failing}, ["prometheus"], table, 10)
     assert [name for name, _ in raised.value.failures] == ["tenant-a"]
     assert told(announced_at(table.current(), 10)) == ['{prometheus="prom-a"}']
@@ -136,13 +137,52 @@ def test_stream_of_announcements(spark, table, tmp_path):
     before = table.last_version()
     run()
     assert table.last_version() == before
+    landing, checkpoint = str(tmp_path / "more"), str(tmp_path / "other checkpoint")
+    arrive(spark, landing, [row("a", "p9", 7 * HOUR)])
+    run()
+    assert table.last_version() == before + 1
+    assert {r.value for r in table.current().collect()} == {"p1", "p2", "p9", "z1"}
+
+
+def test_old_versions_are_removed(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "table"), keep=2)
+    for n in range(1, 6):
+        table.replace(spark.range(n))
+    assert (table.last_version(), table.current().count(), table.at(3).count()) == (4, 5, 4)
+    assert sorted(p.name for p in (tmp_path / "table" / "data").iterdir()) == ["v3", "v4"]
+
+
+def test_a_label_also_seen_later_stays(spark, table):
+    seen = spark.createDataFrame([("a", "l", "v", 11 * HOUR)], "source string, label string, value string, last_seen bigint")
+    assert told(announced_at(seen, 10 * HOUR, HOUR)) == ['{l="v"}']
+
+
+def test_a_hanging_source_is_given_up(spark, table):
+    from time import sleep
+
+    readers = {"a": lambda: samples(spark, [row("x", "p", 1)]), "b": lambda: sleep(20)}
+    failures = refresh_announced(readers, ["prometheus"], table, 10, seconds=8)
+    assert [name for name, _ in failures] == ["b"] and told(announced_at(table.current(), 10)) == ['{prometheus="p"}']
+
+
+def test_an_empty_first_load_is_refused(spark, table):
+    with pytest.raises(ValueError):
+        refresh_announced({"a": lambda: samples(spark, [])}, ["prometheus"], table, 10)
+    with pytest.raises(ValueError):
+        refresh_external(table, lambda: sources(spark, {"a": {}}))
+
+
+def test_a_reader_per_tenant(spark):
+    fields = spark.createDataFrame([("b|a",), ("a| c",)], "tenant_field string")
+    readers = tenant_readers(fields, lambda tenant: tenant.upper())
+    assert {t: read() for t, read in readers.items()} == {"a": "A", "b": "B", "c": "C"}
 
 
 def test_external_labels_are_refreshed_or_kept(spark, table):
     with pytest.raises(OSError):
         refresh_external(table, failing)
     assert refresh_external(table, lambda: sources(spark, {"a": {"region": "eu"}})) is None
-    assert "empty ring" in refresh_external(table, failing)
+    assert "no answer" in refresh_external(table, failing)
     assert table.current().first().external_labels == {"region": "eu"}
     assert refresh_external(table, lambda: sources(spark, {"a": {"region": "us"}})) is None
     assert table.current().first().external_labels == {"region": "us"}
@@ -166,7 +206,11 @@ def test_labels_on_arriving_samples(spark, table, tmp_path):
     for t in (1, 2, 3):
         arrive(spark, landing, [row("a", "z", t, "zone"), row("b", "z", t, "zone")])
         run()
+    checkpoint, regions = str(tmp_path / "another"), iter(["us", "us", "us"])
+    landing = str(tmp_path / "later")
+    arrive(spark, landing, [row("a", "z", 4, "zone")])
+    run()
     got = {r.ts_ms: (r.source, r.labels) for r in spark.read.parquet(out).collect()}
     assert got == {
-        t: ("a", {"__name__": "up", "region": region}) for t, region in ((1, "eu"), (2, "eu"), (3, "us"))
+        t: ("a", {"__name__": "up", "region": region}) for t, region in ((1, "eu"), (2, "eu"), (3, "us"), (4, "us"))
     }
