@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from labelspark.llm.bktree import Forest, Labels
 from labelspark.llm.common import cut, keyed, map_text
-from labelspark.llm.components import components
+from labelspark.llm.components import components, sendable
 
 SHINGLE = 4
 RADIUS = 4
@@ -133,7 +133,7 @@ def links(points: DataFrame, *, radius: int = RADIUS, blocks: int | None = None,
     pairs = trees.select("tree", "fp", F.col("role").cast("bigint").alias("role")).mapInArrow(
         lambda batches: linked(batches, radius), "a bigint, b bigint"
     )
-    return pairs.distinct()
+    return pairs
 
 
 def split(dealt: DataFrame, large: DataFrame, tree_rows: int) -> DataFrame:
@@ -156,11 +156,14 @@ def grouped(prints: DataFrame, pick: Column, *, radius: int = RADIUS) -> DataFra
     ``prints`` is read several times; give it with its lineage cut. Null picks come last.
     """
     points = prints.groupBy("fp").agg(F.min(pick).alias("least"))
-    roots = components(links(points.select("fp"), radius=radius))
-    joined = points.join(roots, points["fp"] == roots["node"], "left").drop("node")
-    # The tables of roots are cut so that a root that is hot may be split where it is joined.
-    of_root = cut(joined.filter("root IS NOT NULL").groupBy("root").agg(F.min("least").alias("shared")))
-    return cut(joined.join(of_root, "root", "left").select("fp", F.coalesce("shared", "least").alias("picked")))
+    roots, rows = components(links(points.select("fp"), radius=radius))
+    roots = sendable(roots, rows)
+    joined = points.join(roots, points["fp"] == roots["node"], "left").withColumn("root", F.coalesce("root", "fp"))
+    # Only linked fingerprints share; their roots hold one row each.
+    linked_roots = roots.select("root").distinct()
+    of_root = joined.join(sendable(linked_roots, rows), "root", "left_semi").groupBy("root").agg(F.min("least").alias("shared"))
+    found = joined.join(sendable(of_root, rows), "root", "left")
+    return cut(found.select("fp", F.coalesce("shared", "least").alias("picked")))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
