@@ -190,7 +190,7 @@ def gain(block: Block) -> int:
     score = -NOTHING - (HARD if block.around else 0) + (IN_MAIN if block.in_main else 0)
     score -= LINKS if links > 0.6 else SOME_LINKS if links > 0.3 else 0
     if links <= 0.3:
-        score += LONG_TEXT if words >= 15 else SOME_TEXT if words >= 6 else 0
+        score += LONG_TEXT if words >= 10 else SOME_TEXT if words >= 6 else 0
     if ENDS.search(block.text):
         score += SENTENCE
     if words < 40 and not block.in_main and NOTICES.search(block.text):

@@ -1,0 +1,395 @@
+"""Personal data, secrets, quality rules, winnowing, language and encoding, against plain Python."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import random
+import re
+
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+from labelspark.llm import bilstm, bpe, langid, pii, quality, secrets, winnowing
+from tests.llm.conftest import ODD
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def by_id(df):
+    return {r["doc_id"]: r for r in df.collect()}
+
+
+def clashing(df):
+    """Extra columns with the names that operators give their own."""
+    for name in ("spans", "base", "score", "words", "lines", "kept", "row", "copy", "fp", "block", "fingerprint", "ids"):
+        df = df.withColumn(name, F.lit("x"))
+    return df
+
+
+# -- personal data
+
+
+def plain_pii(text):
+    found = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            found.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in m[0] if c.isdigit()]
+        doubled = sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(reversed(d)))
+        if 14 <= len(d) <= 19 and doubled % 10 == 0:
+            found.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 10 <= sum(c.isdigit() for c in m[0]) <= 15:
+            found.append((m.start(), 3, m.end()))
+    return sorted(found)
+
+
+PII = [
+    "mail a.b+c@x-y.example.com, or a@b.c_d@e.f and x@y then @a.b q@w..e",
+    "ip 10.0.0.1 256.1.1.1 1.2.3.4.5.6.7.8 01.002.3.4 1.2.3",
+    "card 4111 1111 1111 1111 and 4111-1111-1111-1112, 79927398713 4539 1488 0343 6467 1",
+    "call +1 (415) 555-2671. or +4930123456 +1 +123456789012345678 +((1) 2",
+    "é\U0001f600 x@y.zz 4111111111111111",
+]
+
+
+def test_base_patterns_match_plain_search():
+    draw = random.Random(3)
+    texts = PII + ["".join(draw.choice("ab1239 .@+-()_%é\n") for _ in range(draw.randint(0, 80))) for _ in range(3000)]
+    for text in texts:
+        assert pii.base_spans(text) == plain_pii(text), text
+
+
+def test_long_runs_take_linear_time():
+    for run in ("a" * 200_000 + "@", "1" * 200_000, "+1" + "(" * 200_000, "a@" * 50_000, "1." * 100_000):
+        assert pii.base_spans(run) in ([], pii.base_spans(run))
+
+
+def test_gradients():
+    draw = np.random.default_rng(0)
+    ids, gold = draw.integers(0, bilstm.CHARS, (3, 7)), np.zeros((3, 7), int)
+    gold[0, 2:4], gold[1, :2] = (1, 2), (5, 6)
+    params = {k: v.astype(np.float64) for k, v in bilstm.initial(1).items()}
+    _, found = bilstm.gradients(params, ids, gold)
+    for name in params:
+        at = np.unravel_index(np.argmax(np.abs(found[name])), found[name].shape)
+        sides = []
+        for step in (1e-2, -1e-2):
+            moved = {k: v.copy() for k, v in params.items()}
+            moved[name][at] += step
+            sides.append(bilstm.gradients(moved, ids, gold)[0])
+        assert found[name][at] == pytest.approx((sides[0] - sides[1]) / 2e-2, abs=2e-3)
+
+
+def test_windows_cover_all_digits_and_reconcile():
+    points = np.frombuffer((" " * 500 + "7" + " " * 300).encode("utf-32-le"), np.uint32)
+    assert [s for s in pii.windows_of(points)] == [432, 480]
+    whole, cut_left, cut_right = (10, 0, 30, 19.0, False, False), (48, 0, 60, 9.0, True, False), (40, 0, 48, 7.0, False, True)
+    assert [s[:3] for s in pii.reconciled([whole, whole])] == [(10, 0, 30)]
+    assert [s[:3] for s in pii.reconciled([cut_right, cut_left])] == [(40, 0, 60)]
+    better, worse = (5, 2, 20, 14.5, False, False), (15, 1, 24, 8.0, False, False)
+    assert [s[:3] for s in pii.reconciled([worse, better])] == [(5, 2, 20)]
+
+
+def test_tagger_learns_and_base_spans_stay(spark, documents):
+    draw = random.Random(5)
+    word = lambda: "".join(draw.choice("aeinorst") for _ in range(draw.randint(2, 9)))
+    texts = []
+    for i in range(400):
+        held = draw.choice([f"{word()}{i}@{word()}.com", f"10.{i % 256}.3.77", "4111 1111 1111 1111", f"+1 (555) 010-{1000 + i}", f"{i}"])
+        texts.append(" ".join([*(word() for _ in range(12)), held, *(word() for _ in range(12))]))
+    docs = clashing(documents(texts + ODD))
+    params = pii.fit(docs, epochs=6)
+    found = pii.learned_spans(texts, params)
+    base = [pii.base_spans(t) for t in texts]
+    hits = sum(len({s[:3] for s in f} & set(b)) for f, b in zip(found, base, strict=True))
+    assert hits >= 0.8 * sum(map(len, base))
+    rows = by_id(pii.find(docs, params))
+    assert len(rows) == len(texts) + len(ODD)
+    for i, spans in enumerate(base):
+        assert rows[i]["base_sha256"] == sha(pii.joined(spans))
+        assert set(filter(None, pii.joined(spans).split(","))) <= set(rows[i]["spans"].split(","))
+    assert rows[len(texts)]["spans"] == "" and rows[len(texts)]["base_sha256"] == sha("")
+
+
+def test_pii_of_nothing(spark, documents):
+    assert pii.detect(documents([])).count() == 0
+    assert pii.fit(documents(["no digits at all"])) is None
+    assert by_id(pii.detect(documents(ODD)))[0]["n_card"] == 0
+
+
+# -- secrets
+
+
+def plain_secrets(text):
+    base = []
+    for m in re.finditer(secrets.ASSIGN, text, re.ASCII):
+        if len(m[1]) >= 8:
+            base.append((m.start(), 0, "assign", m.end()))
+    base += [(m.start(), 1, "access", m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    base += [(m.start(), 2, "hex", m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    more = []
+    for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
+        value = m[0]
+        if any(re.fullmatch(a, value) for a in secrets.ALLOWED):
+            continue
+        hot = []
+        for k in range(len(value) - 19):
+            part = value[k : k + 20]
+            bits = -sum(part.count(c) / 20 * math.log2(part.count(c) / 20) for c in set(part))
+            if (set(part) <= set(secrets.HEX_DIGITS) and bits >= 3.0 - 1e-9) or (re.search("[0-9]", part) and bits >= 3.9 - 1e-9):
+                hot.append(k)
+        if hot and not any(b[0] < m.start() + hot[-1] + 20 and b[3] > m.start() + hot[0] for b in base):
+            more.append((m.start() + hot[0], 3, "entropy", m.start() + hot[-1] + 20))
+    return sorted(base), sorted(base + more)
+
+
+def secret_texts():
+    draw = random.Random(9)
+    key = lambda n, of: "".join(draw.choice(of) for _ in range(n))
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    texts = [
+        'password = "hunter2hunter2" Passwd:abc TOKEN: token: abcdefgh api_key=secret=abcdefghij',
+        "ſecret=abcdefghij toKen:'ab+/_.=-cd'",
+        "AKIAIOSFODNN7XAMPL1 AKIA12 xAKIAABCDEFGHIJKLM",
+        "ü 0123456789abcdef0123456789abcdef and 0123456789ABCDEF0123",
+        "aaaaaaaaaaaaaaaaaaaaaaaa1 abcdefghijklmnopqrstuvwxyz0123456789 internationalizationlocalization",
+    ]
+    texts += [f"è see {key(draw.randint(18, 60), b64)} and {key(30, '0123456789abcdefABCDEF')} or {key(25, 'ab1')}" for _ in range(120)]
+    texts += ["".join(draw.choice("tokensecret=:'\" abc12AKIA-") for _ in range(60)) for _ in range(200)]
+    return texts + ODD
+
+
+def test_secrets_match_plain_python(spark, documents):
+    texts = secret_texts()
+    rows = by_id(secrets.summary(secrets.scan(clashing(documents(texts)))))
+    assert len(rows) == len(texts)
+    joined = lambda spans: ",".join(f"{k}:{s}:{e}" for s, _, k, e in spans)
+    found = 0
+    for i, text in enumerate(texts):
+        base, spans = plain_secrets(text or "")
+        assert rows[i]["spans"] == joined(spans), text
+        assert rows[i]["base_sha256"] == sha(joined(base))
+        assert [rows[i][f"n_{k}"] for k in secrets.KINDS[:3]] == [sum(b[2] == k for b in base) for k in secrets.KINDS[:3]]
+        found += len(spans) - len(base)
+    assert found > 50
+
+
+def test_redaction(spark, documents):
+    texts = secret_texts()
+    docs = clashing(documents(texts))
+    out = secrets.redacted(docs, chars_col="n_chars")
+    assert out.columns == docs.columns and dict(out.dtypes) == dict(docs.dtypes)
+    for i, row in by_id(out).items():
+        text = texts[i]
+        wanted, at = "", 0
+        for start, _, _, end in plain_secrets(text or "")[1]:
+            if start >= at:
+                wanted += text[at:start] + "[SECRET]"
+            at = max(at, end)
+        assert row["text"] == (None if text is None else wanted + text[at:])
+        assert row["n_chars"] == (None if text is None else len(row["text"]))
+        assert row["spans"] == "x"
+
+
+# -- quality
+
+
+def plain_quality(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    grams = [tuple(words[i : i + 5]) for i in range(len(words) - 4)]
+    held = {i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(5)}
+    return len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(held)
+
+
+def test_quality_matches_plain_python(spark, documents):
+    draw = random.Random(4)
+    texts = ["a b c d e a b c d e", "a a a a a a a", "x\ny\nx\n\n \nx", "# * $ %", "a b c d e f a b c d e", "LOUD TEXT " * 6]
+    texts += [" ".join(draw.choice("abc") + draw.choice(["", "\n", "#"]) for _ in range(draw.randint(0, 60))) for _ in range(150)]
+    texts += [t for t in ODD if t is None or len(t) < 1000] + ["A clean text of more than ten words, that nothing speaks against."]
+    rows = by_id(quality.judged(clashing(documents(texts))))
+    assert len(rows) == len(texts)
+    for i, text in enumerate(texts):
+        row = rows[i]
+        found = tuple(row[c] for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"))
+        assert found == plain_quality(text or ""), text
+        assert row["base_failed"] == (found[0] < 10 or 100 * found[4] > 20 * found[0])
+        assert not (row["base_failed"] and row["kept"])
+    assert rows[len(texts) - 1]["kept"] and quality.judged(documents([])).count() == 0
+
+
+def test_cascade_order_changes_no_verdict(spark, documents):
+    stats = quality.statistics(documents(["LOUD TEXT", "fine text", "# # #", "123", "..."]))
+    found = quality.estimates(stats)
+    assert [e.rejected for e in found][:2] == [0.6, 0.2]
+    worth = [next(e.worth for e in found if e.rule == r) for r in quality.ordered(found)]
+    assert worth == sorted(worth, reverse=True)
+    for order in (quality.ordered(found), list(quality.RULES), list(reversed(quality.RULES))):
+        assert [r[0] for r in stats.orderBy("doc_id").select(quality.verdict(order)).collect()] == [False, True, False, False, False]
+
+
+# -- winnowing
+
+
+def plain_winnow(text, gram=winnowing.GRAM, window=winnowing.WINDOW):
+    points = winnowing.code_points(text)
+    if not len(points):
+        return []
+    with np.errstate(over="ignore"):
+        hashes = [int(winnowing.rolled(points[i : i + gram], gram)[0]) for i in range(max(1, len(points) - gram + 1))]
+    out = []
+    for i in range(max(1, len(hashes) - window + 1)):
+        part = hashes[i : i + window]
+        at = i + max(k for k, h in enumerate(part) if h == min(part))
+        if not out or out[-1] != (at, hashes[at]):
+            out.append((at, hashes[at]))
+    return out
+
+
+@pytest.mark.parametrize("gram,window", [(16, 16), (1, 1), (5, 3), (7, 10), (25, 4)])
+def test_winnow_matches_plain_search(gram, window):
+    draw = random.Random(gram)
+    for _ in range(60):
+        text = "".join(draw.choice("abé\U0001f600") for _ in range(draw.randint(0, 90)))
+        places, hashes = winnowing.winnow(winnowing.code_points(text), gram, window)
+        assert list(zip(places.tolist(), hashes.tolist(), strict=True)) == plain_winnow(text, gram, window)
+
+
+def test_shared_passages_are_always_found():
+    draw = random.Random(1)
+    some = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    for _ in range(200):
+        passage = some(winnowing.GRAM + winnowing.WINDOW - 1)
+        a, b = (winnowing.winnow(winnowing.code_points(some(draw.randint(0, 99)) + passage + some(30)))[1] for _ in "ab")
+        assert len(np.intersect1d(a, b))
+
+
+@pytest.mark.parametrize("block_rows", [2000, 3, 1])
+def test_edited_and_next_texts(spark, documents, block_rows):
+    draw = random.Random(2)
+    texts = [t or "" for t in ODD] + ["".join(draw.choice("abcd \n") for _ in range(draw.randint(0, 300))) for _ in range(40)]
+    ids = draw.sample(range(1000), len(texts))
+    docs = clashing(documents([(i, t or None, "en", "s") for i, t in zip(ids, texts, strict=True)])).repartition(5)
+    rows = by_id(winnowing.compared(docs, block_rows=block_rows))
+    ordered = sorted(zip(ids, texts, strict=True))
+    assert len(rows) == len(ordered)
+    for n, (i, text) in enumerate(ordered):
+        after = ordered[(n + 1) % len(ordered)][1]
+        quarter = len(text) // 4
+        edited = text[: len(text) - quarter] + after[:quarter]
+        assert (rows[i]["n_chars"], rows[i]["edited_sha256"]) == (len(text), sha(edited))
+        own, other, following = ({h for _, h in plain_winnow(t)} for t in (text, edited, after)) if len(text) < 999 else (set(),) * 3
+        if len(text) < 999 and len(after) < 999:
+            like = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+            assert rows[i]["near_edited"] == pytest.approx(like(own, other))
+            assert rows[i]["near_next"] == pytest.approx(like(own, following))
+    prints = {}
+    for (i, text) in ordered:
+        assert prints.setdefault(text, rows[i]["fingerprint"]) == rows[i]["fingerprint"]
+    assert len(set(prints.values())) == len(prints)
+
+
+def test_winnowing_of_few_and_odd_rows(spark, documents):
+    assert winnowing.compared(documents([])).count() == 0
+    alone = winnowing.compared(documents([(None, "only text, of one document", "en", "s")])).first()
+    assert alone["doc_id"] is None and alone["near_next"] == 1.0
+    same = documents([(7, t, "en", "s") for t in ("bb", "a", "a", None)] + [(None, "x", "en", "s")])
+    assert sorted(r["n_chars"] for r in winnowing.compared(same, block_rows=1).collect()) == [0, 1, 1, 1, 2]
+
+
+# -- language
+
+VOCABULARY = {"en": "the of and to in is that it was for", "de": "der die und das ist nicht ein zu von mit", "fr": "le la et les des est une dans que pour"}
+
+
+def language_rows(n):
+    draw = random.Random(6)
+    rows = []
+    for i in range(n):
+        lang = draw.choice(list(VOCABULARY))
+        words = VOCABULARY[lang].split()
+        made = ["".join(draw.choice(words) for _ in range(draw.randint(1, 3))) for _ in range(draw.randint(5, 40))]
+        rows.append((i, " ".join(made), lang, "s"))
+    return rows
+
+
+def test_language_of_held_out_texts(spark, documents):
+    import zlib
+
+    rows = language_rows(400)
+    odd = [(1000, None, "en", "s"), (1001, "12 !? \U0001f600", "en", "s"), (1002, "", None, "s"), (None, "the and of", None, "s")]
+    found = by_id(langid.identify(clashing(documents(rows + odd))))
+    assert len(found) == len(rows) + len(odd)
+    outside = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5 == 0]
+    assert all(found[r[0]]["held_out"] == (zlib.crc32(str(r[0]).encode()) % 5 == 0) for r in rows)
+    assert sum(found[r[0]]["lang_pred"] == r[2] for r in outside) >= 0.97 * len(outside)
+    for i in (1000, 1001, 1002):
+        assert (found[i]["lang_pred"], found[i]["score"]) == ("und", 0.0)
+    assert found[None]["lang_pred"] == "en" and found[None]["held_out"] is False
+
+
+def test_language_learns_only_from_the_rest(spark, documents):
+    import zlib
+
+    rows = language_rows(60)
+    secret = [(i, "zzyzx", "xx", "s") for i in range(2000, 2100) if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert langid.fit(documents(rows + secret)).langs == ["de", "en", "fr"]
+    assert langid.fit(documents([])).langs == []
+    assert langid.identify(documents([(1, "the text", None, "s")])).first()["lang_pred"] == "und"
+
+
+def test_backoff_takes_the_longest_known_gram():
+    model = langid.Model(["a", "b"], {"known": 0}, {"^": 1, "^x": 2, "xy": 3, "y": 4, "$": 5, "y$": 6})
+    model.scores = np.array([[9.0, -9], [1, -1], [2, -2], [3, -3], [4, -4], [5, -5], [6, -6]])
+    assert model.unseen("xy").tolist() == [(2 + 3 + 6 + 5) / 4, -(2 + 3 + 6 + 5) / 4]
+    assert model.unseen("q").tolist() == [(1 + 5) / 2, -(1 + 5) / 2]
+    assert langid.Scorer(model).predict("Known")[0] == "a"
+
+
+def test_accepted_keeps_columns(spark, documents):
+    rows = language_rows(80)
+    docs = clashing(documents(rows + [(900, "123", "en", "s"), (901, None, "en", "s")]))
+    kept = langid.accepted(docs)
+    assert kept.columns == docs.columns and {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows}
+
+
+# -- encoding
+
+
+def test_encoding_equals_the_tokenizers_library(spark, documents):
+    from tokenizers import Tokenizer
+
+    theirs = Tokenizer.from_file(PATH)
+    draw = random.Random(1)
+    letters = "aAbZ éÉß Σςσ İıſK 't've'LL d́é   \u0085\x1c\x1d\n\t0१½Ⅳ²_-!!??\U0001f916\U0001f469‍中文字ไทย﻿​<|endoftext|>İǅﬁ"
+    texts = [t for t in ODD if t is not None] + ["<|endoftext|>hi <|startoftext|>", "ab" * 700 + " x", "'S I'LL don't", "x" * 511 + " " + "y" * 513]
+    texts += ["".join(draw.choice(letters) for _ in range(draw.randint(0, 40))) for _ in range(1500)]
+    vocabulary = bpe.Vocabulary(PATH)
+    encoder = bpe.Encoder(vocabulary)
+    wanted = {}
+    for i, text in enumerate(texts):
+        ids = theirs.encode(text, add_special_tokens=False).ids
+        decoded = theirs.decode(ids, skip_special_tokens=False)
+        assert encoder.encode(text) == (ids, decoded), text
+        assert bpe.decode(vocabulary, ids) == decoded
+        wanted[i] = (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), sha(decoded))
+    rows = by_id(bpe.digests(clashing(documents(texts)), PATH))
+    assert {i: tuple(r)[1:] for i, r in rows.items()} == wanted
+    assert by_id(bpe.encode(documents([None, "a cat"]), PATH))[0]["ids"] == []
+    assert bpe.digests(documents([]), PATH).count() == 0
+
+
+def test_long_words_take_the_other_way_to_the_same_ids():
+    vocabulary, draw = bpe.Vocabulary(PATH), random.Random(8)
+    for _ in range(200):
+        word = "".join(draw.choice("theinersation") for _ in range(draw.randint(1, 60))).encode()
+        assert vocabulary.encode_long(word) == vocabulary.encode_word(word)
