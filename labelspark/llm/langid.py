@@ -163,7 +163,7 @@ def fit(
     langs = sorted({lang for rows in found.values() for r in rows for lang in r["by_lang"]})
     model, scores = Model(langs), []
     for kind, rows in found.items():
-        n = np.array([[r["by_lang"].get(lang, 0) for lang in langs] for r in rows], dtype=float).reshape(-1, len(langs))
+        n = np.array([[r["by_lang"].get(lang, 0) for lang in langs] for r in rows], dtype=float).reshape(len(rows), len(langs))
         logs = np.log((n + 0.5) / (n.sum(axis=0) + 0.5 * max(1, len(rows))))
         logs -= logs.mean(axis=1, keepdims=True) if langs else 0
         at = sum(map(len, scores))
