@@ -7,6 +7,7 @@ from dataclasses import dataclass, replace
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from labelspark.functions import steps
 from labelspark.operators import align, discovery, series
@@ -20,7 +21,14 @@ from labelspark.operators.routing import (
     routed,
     scalar_rows,
 )
-from labelspark.sources.store import SERIES_ID
+from labelspark.sources.store import SERIES_ID, series_labels
+
+# Up to so many series, the ids of a selector are broadcast to the samples: 64 MB at most.
+BROADCAST_IDS = 1_000_000
+
+# Start and end of a request in milliseconds; None leaves an end open.
+Span = tuple[int | None, int | None]
+OPEN: Span = (None, None)
 
 
 @dataclass(frozen=True)
@@ -34,10 +42,10 @@ class Federation:
     ``external_names`` may list the label names that sources own, see
     `routing.federate`.
 
-    Stored samples carry series ids; given ``series_labels`` (from
-    `store.series_labels`) the work is done by id, and labels are looked up for
-    results only.  Samples are then read without their label map as far as
-    hot label columns answer the matchers.
+    Stored samples carry series ids; given the ``series`` table beside them
+    (`store.read_series`) the work is done by id: a selector is resolved on the
+    series that were alive in the request's days, samples are read for the ids
+    found, without their label map, and labels are looked up for results only.
     """
 
     samples: DataFrame
@@ -48,7 +56,7 @@ class Federation:
     max_points: int = steps.MAX_POINTS
     lookback_ms: int = steps.LOOKBACK_MS
     tiebreak: str | None = None
-    series_labels: DataFrame | None = None
+    series: DataFrame | None = None
 
     def routed_for(self, *selectors: Selector) -> Federation:
         """Only the sources that every selector of a composed expression accepts."""
@@ -59,26 +67,41 @@ class Federation:
         """Whether the whole source table may be broadcast to finish results, looked up once."""
         return fits_broadcast(self.sources)
 
-    def hits(self, chosen: Selector, samples: DataFrame | None = None) -> DataFrame:
+    def _alive(self, chosen: Selector, span: Span) -> DataFrame:
+        """Rows of the series table that fit the selector and were alive in a range."""
+        alive = series.overlapping(self.series, *span)
+        return federate(alive, self.sources, chosen, external_names=self.external_names)
+
+    def hits(self, chosen: Selector, samples: DataFrame | None = None, span: Span = OPEN) -> DataFrame:
         """Samples of the routed sources that fit the selector, with the identity of their series."""
+        if self.series is not None:
+            ids = self._alive(chosen, span).select(*self.keys).distinct()
+            few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+            rows = self.samples if samples is None else samples
+            return rows.join(F.broadcast(ids) if few else ids, list(self.keys), "left_semi")
         found = federate(
             self.samples if samples is None else samples,
             self.sources,
             chosen,
             external_names=self.external_names,
         )
-        return found if self.series_labels is not None else series.with_identity(found)
+        return series.with_identity(found)
 
     @property
     def keys(self) -> tuple[str, ...]:
-        return align.KEYS if self.series_labels is None else ("source", *SERIES_ID)
+        return align.KEYS if self.series is None else ("source", *SERIES_ID)
 
-    def finish(self, df: DataFrame, replica: Iterable[str] = ()) -> DataFrame:
-        """From stored identity to final labels; both are looked up for results only."""
-        if self.series_labels is None:
+    def finish(
+        self, df: DataFrame, replica: Iterable[str] = (), chosen: Selector = Selector(), span: Span = OPEN
+    ) -> DataFrame:
+        """From stored identity to final labels; both are looked up for results only.
+
+        Selector and range, if given, bound what is read of the series table.
+        """
+        if self.series is None:
             stored = series.labels_back(df)
         else:
-            stored = df.join(self.series_labels, list(self.keys))
+            stored = df.join(series_labels(self._alive(chosen, span)), list(self.keys))
         named = attach_external(stored, self.sources, small=self.small)
         return finish_labels(named, self.dropped, replica)
 
@@ -95,8 +118,8 @@ class Federation:
     ) -> DataFrame:
         """Label sets with a sample in the range, in label order; an end that is None is open."""
         require_own_matcher(self.sources, chosen)
-        hits = self.hits(chosen, series.in_range(self.samples, start, end))
-        found = self.finish(series.series_metadata(hits, self.keys), replica)
+        hits = self.hits(chosen, series.in_range(self.samples, start, end), (start, end))
+        found = self.finish(series.series_metadata(hits, self.keys), replica, chosen, (start, end))
         return series.limit_series(found, limit).select("source", "labels")
 
     def select_series(
@@ -118,15 +141,17 @@ class Federation:
         require_own_matcher(self.sources, chosen)
         step_ns = steps.plan_step(start, end, hint_ms, step_ms, self.fallback_step_ns, self.max_points)
         step = steps.grid_step_ms(step_ns)
-        hits = self.hits(chosen)
+        span = (start - self.lookback_ms, end)
+        hits = self.hits(chosen, span=span)
         if limit > 0:
             # The first series are found by their keys alone; samples are aligned and chunked for these only.
             answered = align.answered(hits, start, end, step, self.lookback_ms, self.keys)
-            first = series.limit_series(self.finish(answered, replica), limit).select(*self.keys)
+            first = series.limit_series(self.finish(answered, replica, chosen, span), limit).select(*self.keys)
             hits = hits.join(first, list(self.keys), "left_semi")
         on_grid = align.range_select(hits, start, end, step, self.lookback_ms, self.keys, self.tiebreak)
         chunks = series.chunks_of_series(series.chunk_grid(on_grid, self.keys), self.keys)
-        return series.limit_series(self.finish(chunks, replica), limit).select("source", "labels", "chunks")
+        named = self.finish(chunks, replica, chosen, span)
+        return series.limit_series(named, limit).select("source", "labels", "chunks")
 
     # -- label requests ----------------------------------------------------
 
@@ -173,45 +198,38 @@ class Federation:
 
     def query(self, chosen: Selector, at_s: int, lookback_ms: int | None = None) -> DataFrame:
         """Latest sample per series at one time (whole seconds)."""
-        hits = self.hits(chosen)
         lookback = self.lookback_ms if lookback_ms is None else lookback_ms
-        return self.answer(align.instant_select(hits, at_s * 1000, lookback, self.keys, self.tiebreak))
+        span = (at_s * 1000 - lookback, at_s * 1000)
+        hits = self.hits(chosen, span=span)
+        return self.answer(align.instant_select(hits, at_s * 1000, lookback, self.keys, self.tiebreak), chosen, span)
 
     def query_range(
         self, chosen: Selector, start_s: int, end_s: int, step_s: int, lookback_ms: int | None = None
     ) -> DataFrame:
         """Latest sample per series at each step; the step is taken as given."""
         lookback = self.lookback_ms if lookback_ms is None else lookback_ms
-        return self.answer(
-            align.range_select(
-                self.hits(chosen),
-                start_s * 1000,
-                end_s * 1000,
-                step_s * 1000,
-                lookback,
-                self.keys,
-                self.tiebreak,
-            )
-        )
+        grid, span = (start_s * 1000, end_s * 1000, step_s * 1000), (start_s * 1000 - lookback, end_s * 1000)
+        hits = self.hits(chosen, span=span)
+        return self.answer(align.range_select(hits, *grid, lookback, self.keys, self.tiebreak), chosen, span)
 
     def rate(self, chosen: Selector, start_s: int, end_s: int, step_s: int, window_ms: int) -> DataFrame:
-        grid = (start_s * 1000, end_s * 1000, step_s * 1000)
-        hits = self.hits(chosen)
-        return self.answer(align.counter_rate(hits, *grid, window_ms, self.keys, self.tiebreak))
+        grid, span = (start_s * 1000, end_s * 1000, step_s * 1000), (start_s * 1000 - window_ms, end_s * 1000)
+        hits = self.hits(chosen, span=span)
+        return self.answer(align.counter_rate(hits, *grid, window_ms, self.keys, self.tiebreak), chosen, span)
 
     def irate(self, chosen: Selector, start_s: int, end_s: int, step_s: int, window_ms: int) -> DataFrame:
-        grid = (start_s * 1000, end_s * 1000, step_s * 1000)
-        hits = self.hits(chosen)
-        return self.answer(align.counter_irate(hits, *grid, window_ms, self.keys, self.tiebreak))
+        grid, span = (start_s * 1000, end_s * 1000, step_s * 1000), (start_s * 1000 - window_ms, end_s * 1000)
+        hits = self.hits(chosen, span=span)
+        return self.answer(align.counter_irate(hits, *grid, window_ms, self.keys, self.tiebreak), chosen, span)
 
-    def answer(self, vector: DataFrame) -> DataFrame:
+    def answer(self, vector: DataFrame, chosen: Selector = Selector(), span: Span = OPEN) -> DataFrame:
         """Rows of an instant or range answer with final labels.
 
         Takes an instant frame (one sample per series) or a range frame as it
         is; nested series are refused.
         """
         series.require_instant(vector)
-        return self.finish(vector).select("source", "labels", "ts_ms", "value")
+        return self.finish(vector, (), chosen, span).select("source", "labels", "ts_ms", "value")
 
     def scalar(self, value: Column, ts_ms: int, *selectors: Selector) -> DataFrame:
         return scalar_rows(self.sources, value, ts_ms, *selectors)

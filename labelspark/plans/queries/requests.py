@@ -29,7 +29,7 @@ from labelspark.plans.tables import (
     START,
     STORED_TEXT,
 )
-from labelspark.sources.store import read_samples, read_series, series_labels, write_samples, write_series
+from labelspark.sources.store import read_samples, read_series, write_samples, write_series
 from labelspark.streaming.versions import shared_dir
 
 NOT_VIEW = selector(("__name__", "=", "event_value"), ("region", "=", "eu"), ("event_type", "!=", "view"))
@@ -82,18 +82,22 @@ def series_limit(t):
     return flat(federation(t).series_metadata(NOT_VIEW, START, END, limit=300))
 
 
-@query(
-    f"""WITH {SQL_BOTH.replace("s AS (SELECT * FROM v", "a AS (SELECT * FROM v")}, {SQL_EXTERNAL},
+SQL_SELECT = f"""WITH {SQL_BOTH.replace("s AS (SELECT * FROM v", "a AS (SELECT * FROM v")}, {SQL_EXTERNAL},
     s AS (SELECT a.* FROM a JOIN x USING (source) WHERE {SQL_NOT_VIEW}), {sql_grid(SERIES, STEP, LOOKBACK)},
     n AS (SELECT *, (row_number() OVER (PARTITION BY {SERIES} ORDER BY at_ms) - 1) // 120 AS chunk FROM g)
     SELECT source, {FINAL_TEXT} AS labels_s, chunk, at_ms AS ts_ms, value,
            min(at_ms) OVER (PARTITION BY {SERIES}, chunk) AS min_time,
            max(at_ms) OVER (PARTITION BY {SERIES}, chunk) AS max_time
     FROM n JOIN x USING (source)"""
-)
+
+
+@query(SQL_SELECT)
 def series_select(t):
     """A series request: routed, aligned to the capped step, chunked, in label order."""
-    found = federation(t).select_series(NOT_VIEW, START, END)
+    return flat_chunks(federation(t).select_series(NOT_VIEW, START, END))
+
+
+def flat_chunks(found):
     chunks = with_text(found).select("source", "labels_s", F.posexplode("chunks").alias("chunk", "c"))
     rows = chunks.select("source", "labels_s", F.col("chunk").cast("bigint").alias("chunk"), "c.*")
     return unnest(rows)
@@ -156,7 +160,7 @@ def stored(t):
 def stored_rate(t):
     """The same from stored samples: by series id, with labels from the series table."""
     samples, table = stored(t)
-    return rates(replace(federation(t, samples=samples), series_labels=series_labels(table)))
+    return rates(replace(federation(t, samples=samples), series=table))
 
 
 @query(f"WITH {SQL_BOTH}, {SQL_EXTERNAL}, " + SQL_NAMES.format(where="true", dropped="'__tenant_id__', 'replica'"))
@@ -243,10 +247,14 @@ def null_external(t):
 )
 def series_select_limit(t):
     """The first series are chosen by their labels before any samples are chunked."""
-    found = federation(t).select_series(NOT_VIEW, START, END, limit=40)
-    chunks = with_text(found).select("source", "labels_s", F.posexplode("chunks").alias("chunk", "c"))
-    rows = chunks.select("source", "labels_s", F.col("chunk").cast("bigint").alias("chunk"), "c.*")
-    return unnest(rows)
+    return flat_chunks(federation(t).select_series(NOT_VIEW, START, END, limit=40))
+
+
+@query(SQL_SELECT)
+def stored_select(t):
+    """The series request from stored samples: the selector is resolved on the series table."""
+    samples, table = stored(t)
+    return flat_chunks(replace(federation(t, samples=samples), series=table).select_series(NOT_VIEW, START, END))
 
 
 @query(

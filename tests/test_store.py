@@ -203,11 +203,11 @@ def test_series_table_serves_discovery(spark, stored):
 def test_work_by_series_id(spark, stored):
     """With ids in place of label lists all requests answer the same, and the label map is not read."""
     df = store.read_samples(spark, f"{stored}/samples")
-    by_id = store.series_labels(store.read_series(spark, f"{stored}/series"))
-    assert by_id.count() == 4 * 2 * 3
+    table = store.read_series(spark, f"{stored}/series")
+    assert store.series_labels(table).count() == 4 * 2 * 3
     owners = config.literal_sources(spark, OWNERS)
     plain = Federation(df, owners, external_names=frozenset({"region"}))
-    slim = Federation(df, owners, external_names=frozenset({"region"}), series_labels=by_id)
+    slim = Federation(df, owners, external_names=frozenset({"region"}), series=table)
     chosen = selector(("region", "=", "eu"), ("__name__", "=", "up"), ("job", "!=", "j0"))
     first, last, step = T0 // 1000, T0 // 1000 + 3 * 86_400, 43_200
 
@@ -227,6 +227,8 @@ def test_work_by_series_id(spark, stored):
     scans = [line for line in plan(slim.rate(chosen, first, last, step, 2 * DAY)).split("\n") if "ReadSchema" in line]
     assert any("value:double" in line for line in scans)
     assert all("labels" not in line.replace("label_", "") for line in scans if "value:double" in line)
+    filters = [line for line in plan(slim.query(chosen, last, DAY)).split("\n") if "PartitionFilters" in line]
+    assert len(filters) >= 2 and all("day" in line for line in filters)
 
 
 def test_sources_table(spark, tmp_path):
