@@ -39,7 +39,7 @@ def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
-@query()
+@query(secrets.oracle())
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.summary(secrets.scan(table(spark, sf_dir, "documents")))
 

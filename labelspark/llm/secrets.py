@@ -241,3 +241,62 @@ def redacted(docs: DataFrame, *, text_col: str = "text", chars_col: str | None =
         return own.alias(name)
 
     return new.select(*[column(c) for c in docs.columns])
+
+
+def oracle() -> str:
+    """DuckDB's form of the registered query."""
+
+    def either(word: str) -> str:
+        return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+    inner = ASSIGN.split("(?i:")[1].split(")")[0]
+    assign = ASSIGN.replace(f"(?i:{inner})", "(?:" + "|".join(either(w) for w in inner.split("|")) + ")").replace("'", "''")
+    listed = "|".join(f"(?:{a})" for a in ALLOWED)
+    return rf"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS text FROM documents
+), found AS (
+    SELECT doc_id, 0 AS place, 'assign' AS kind, regexp_extract_all(text, '{assign}') AS hits, string_split_regex(text, '{assign}') AS gaps FROM d
+    UNION ALL SELECT doc_id, 1, 'access', regexp_extract_all(text, '{ACCESS}'), string_split_regex(text, '{ACCESS}') FROM d
+    UNION ALL SELECT doc_id, 2, 'hex', regexp_extract_all(text, '{HEX}'), string_split_regex(text, '{HEX}') FROM d
+    UNION ALL SELECT doc_id, 3, 'entropy', regexp_extract_all(text, '[A-Za-z0-9+/_=-]{{{WINDOW},}}'),
+        string_split_regex(text, '[A-Za-z0-9+/_=-]{{{WINDOW},}}') FROM d
+), numbered AS (
+    SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM found WHERE len(hits) > 0
+), placed AS (
+    SELECT doc_id, place, kind, hits[i] AS value,
+        CAST(list_sum(list_transform(gaps[1:i], lambda g: length(g))) + list_sum(list_transform(hits[1:i], lambda h: length(h)))
+            - length(hits[i]) AS BIGINT) AS start
+    FROM numbered
+), base AS (
+    SELECT doc_id, place, kind, start, start + length(value) AS stop FROM placed
+    WHERE place < 3 AND (place > 0 OR length(regexp_extract(value, '{assign}', 1)) >= {ASSIGN_LEAST})
+), windows AS (
+    SELECT doc_id, start, unnest(range(0, length(value) - {WINDOW - 1})) AS k, value FROM placed
+    WHERE place = 3 AND NOT regexp_full_match(value, '{listed}')
+), chars AS (
+    SELECT doc_id, start, k, substr(value, k + 1, {WINDOW}) AS part, unnest(string_split(substr(value, k + 1, {WINDOW}), '')) AS c FROM windows
+), counts AS (
+    SELECT doc_id, start, k, part, c, count(*) AS n FROM chars GROUP BY ALL
+), sums AS (
+    SELECT doc_id, start, k, part, sum(CAST(round(n * log2(n) * {UNIT}) AS BIGINT)) AS total FROM counts GROUP BY ALL
+), hot AS (
+    SELECT doc_id, start + min(k) AS start, start + max(k) + {WINDOW} AS stop FROM sums
+    WHERE (regexp_full_match(part, '[0-9a-fA-F]+') AND total <= {_most(LEAST_BITS["hex"])})
+        OR (regexp_matches(part, '[0-9]') AND total <= {_most(LEAST_BITS["mixed"])})
+    GROUP BY doc_id, sums.start
+), spans AS (
+    SELECT * FROM base
+    UNION ALL
+    SELECT doc_id, 3, 'entropy', start, stop FROM hot
+    WHERE NOT EXISTS (SELECT 1 FROM base b WHERE b.doc_id = hot.doc_id AND b.start < hot.stop AND b.stop > hot.start)
+), shown AS (
+    SELECT doc_id, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access, count(*) FILTER (place = 2) AS n_hex,
+        string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) FILTER (place < 3) AS base_s,
+        string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans
+    FROM spans GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+    sha256(coalesce(base_s, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM d LEFT JOIN shown USING (doc_id)
+"""
