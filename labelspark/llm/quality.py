@@ -103,9 +103,9 @@ class Estimate:
         return self.rejected / self.seconds
 
 
-def estimates(stats: DataFrame, rules: tuple[Rule, ...] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Estimate]:
-    """Cost and selectivity of each rule on at most ``sample_rows`` rows, those of the least hashed ids."""
-    sample = cut(stats.orderBy(F.xxhash64("doc_id")).limit(sample_rows))
+def estimates(stats: DataFrame, rules: tuple[Rule, ...] = RULES) -> list[Estimate]:
+    """Cost and selectivity of each rule on the statistics of a sample."""
+    sample = cut(stats)
 
     def run(rule: Rule) -> tuple[float, float]:
         begun = time.perf_counter()
@@ -139,8 +139,8 @@ def judged(docs: DataFrame, *, rules: tuple[Rule, ...] = RULES, id_col: str = "d
     """
     named = keyed(docs, id_col, text_col)
     ids = named.select("doc_id").orderBy(F.xxhash64("doc_id")).limit(sample_rows).distinct()
-    sample = statistics(named.join(F.broadcast(ids), "doc_id", "left_semi"))
-    order = ordered(estimates(sample, rules, sample_rows))
+    sample = named.join(F.broadcast(ids), "doc_id", "left_semi").limit(sample_rows)
+    order = ordered(estimates(statistics(sample), rules))
     failed = F.expr("n_words < 10 OR 100 * n_repeat_words > 20 * n_words")
     return (
         statistics(named)
