@@ -24,6 +24,7 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 DROPPED = frozenset(
     "script style title template noscript svg math iframe object canvas audio video select textarea button head".split()
 )
+HEAD = frozenset("base link meta noscript script style template title".split())
 RAW = frozenset("script style title textarea iframe noscript".split())
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
@@ -47,10 +48,12 @@ MARKED = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion sidebar aside nav navbar navigation "
     "menu breadcrumb breadcrumbs masthead footer cookie cookies consent gdpr popup modal overlay comment comments respond disqus "
     "replies share sharing social related recommended newsletter subscribe signup login pagination pager widget toolbar copyright "
-    "skip notice notices".split()
+    "skip notice notices alert banner disclaimer".split()
 )
+#: Beginnings of further names of that kind, such as commentlist.
+MARKED_STARTS = ("comment", "advert", "sidebar", "cookie", "newsletter", "breadcrumb", "sponsor", "footer", "navig", "popup")
 #: Names that only tell outside an article, and names that speak for one.
-MARKED_OUTSIDE = frozenset("header banner alert search form top bottom legal".split())
+MARKED_OUTSIDE = frozenset("header search form top bottom legal".split())
 OWN = frozenset("article content post entry story main".split())
 
 TOKEN = re.compile(
@@ -98,7 +101,9 @@ def marked(tag: str, given: str, in_main: bool) -> bool:
     if found.get("role", "") in ROLES:
         return True
     names = {n.lower() for key in ("class", "id") for n in NAMES.findall(found.get(key, ""))}
-    return bool(names & MARKED) or bool(names & MARKED_OUTSIDE) and not in_main and not names & OWN
+    if names & MARKED or any(n.startswith(MARKED_STARTS) for n in names):
+        return True
+    return bool(names & MARKED_OUTSIDE) and not in_main and not names & OWN
 
 
 def blocks_of(page: str) -> list[Block]:
@@ -160,7 +165,7 @@ def blocks_of(page: str) -> list[Block]:
             if tag == "hr" and not dropped:
                 close()
             continue
-        if tag in ("body", "main", "article") and dropped and any(s[0] == "head" for s in stack):
+        if dropped and tag not in HEAD and any(s[0] == "head" for s in stack):
             del stack[next(i for i, s in enumerate(stack) if s[0] == "head") :]  # a head that was not closed
             dropped = 0
         if tag in BLOCKS and not dropped:

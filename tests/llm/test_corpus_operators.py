@@ -230,6 +230,14 @@ def test_article_without_what_surrounds_it():
     assert html_text.main_text(ARTICLE).split("\n\n") == wanted
 
 
+def test_marks_of_other_names():
+    text = "Some words of an article, which go on for quite a while, and then they end."
+    for mark in ('class="commentlist"', 'id="adverts-top"', 'class="site-footer"', 'role="navigation"', "hidden", 'style="display: none"', 'class="infoBanner"'):
+        page = f"<head><title>x</title><div><p>{text}</p></div><div {mark}><p>{text.upper()}</p></div><p>{text}</p>"
+        assert html_text.main_text(page) == f"{text}\n\n{text}", mark
+    assert html_text.main_text(f"<article><header><h1>Head</h1></header><p>{text}</p><footer>x</footer></article>") == f"Head\n\n{text}"
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     for row in html_text.extract(pages).join(pages.drop("url"), "page_id").collect():
