@@ -137,17 +137,22 @@ def chunk_raw(
     """
     order = ["ts_ms", *([tiebreak] if tiebreak else [])]
     df, keys = hashed(df, keys)
-    blocked = df.withColumn("block", floor_div(F.col("ts_ms"), block_ms))
+    # Never null, or the join would filter only one of its sides and the other could not be reused.
+    block = F.coalesce(floor_div(F.col("ts_ms"), block_ms), F.lit(0).cast("bigint"))
+    blocked = df.filter("ts_ms IS NOT NULL").withColumn("block", block)
+    in_block = Window.partitionBy(*keys, "block").orderBy(*order)
+    numbered = blocked.withColumn("_row", F.row_number().over(in_block))
     earlier = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    # The last row is taken with its value, so that both sides of the join need the same columns and Spark
+    # reads and shuffles the samples once for both.
     offsets = (
-        blocked.groupBy(*keys, "block")
-        .agg(F.count("*").alias("_n"))
-        .select(*keys, "block", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+        numbered.groupBy(*keys, "block")
+        .agg(F.max(F.struct("_row", "value")).alias("_last"))
+        .select(*keys, "block", F.coalesce(F.sum("_last._row").over(earlier), F.lit(0)).alias("_offset"))
     )
-    in_block = Window.partitionBy(*keys, "block").orderBy(*order)
     placed = (
-        blocked.join(offsets, [*keys, "block"])
-        .withColumn("_place", F.col("_offset") + F.row_number().over(in_block) - 1)
+        numbered.join(offsets, [*keys, "block"])
+        .withColumn("_place", F.col("_offset") + F.col("_row") - 1)
         .withColumn("chunk", floor_div(F.col("_place"), size))
     )
     sample = F.struct("_place", F.struct("ts_ms", "value").alias("sample"))

@@ -170,6 +170,15 @@ def test_no_cross_product_and_aggregation_before_the_shuffle(spark, stored):
     assert "partial_max_by" in plan(align.instant_select(df, end, DAY))
 
 
+def test_chunks_read_the_samples_once(spark, stored):
+    df = series.with_identity(store.read_samples(spark, f"{stored}/samples"))
+    with setting(spark, spark_sql_autoBroadcastJoinThreshold="-1", spark_sql_adaptive_autoBroadcastJoinThreshold="-1"):
+        chunks = series.chunk_raw(df)
+        assert sum(len(r.samples) for r in chunks.collect()) == len(ROWS)
+        final = plan(chunks).split("Initial Plan")[0]
+    assert "ReusedExchange" in final and final.count("Scan parquet") == 1
+
+
 def test_metadata_reads_no_values(spark, stored):
     df = series.with_identity(store.read_samples(spark, f"{stored}/samples"))
     read = plan(series.series_metadata(df)).split("ReadSchema")[1].split("\n")[0]
