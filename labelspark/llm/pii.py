@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from labelspark.llm import bilstm
 from labelspark.llm.bilstm import KINDS, LABELS
-from labelspark.llm.common import hex_digest, keyed, map_text, slices
+from labelspark.llm.common import cut, hex_digest, keyed, map_text, slices
 
 # The patterns. Possessive and anchored at the start of a run, which finds the same matches in linear time.
 EMAIL = regex.compile(r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++")
@@ -188,7 +188,7 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", trai
                 )
 
     sample = named.join(F.broadcast(ids), "doc_id", "left_semi").select("text")
-    windows = sample.mapInArrow(run, "chars string, labels binary").distinct()
+    windows = cut(sample.mapInArrow(run, "chars string, labels binary").distinct())
     windows = windows.withColumn("some", F.hex("labels").rlike("[1-9]"))
     order = (F.xxhash64("chars"), F.col("chars"), F.col("labels"))
     rows = [r for some in (True, False) for r in windows.filter(F.col("some") == some).orderBy(*order).limit(train_windows // 2).collect()]
