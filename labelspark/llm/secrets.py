@@ -174,20 +174,25 @@ def ordered(spans: Column) -> Column:
     )
 
 
+def reached(s: Column) -> Column:
+    """Up to where the spans of ``base``, which are in order, cover a span from its start without a gap."""
+    return F.aggregate(
+        "base", s["start"], lambda at, b: F.when(b["start"] <= at, F.greatest(at, b["end"])).otherwise(at)
+    )
+
+
 def with_spans(df: DataFrame, text: Column, *, allowed: tuple[str, ...] = ALLOWED) -> DataFrame:
     """Adds ``base`` and ``spans``: arrays of (start, kind, end) in order; ``spans`` has the suspect strings, too.
 
-    Suspect strings that touch a base span are left out, as that secret is found already.
+    Suspect strings that lie wholly within base spans are left out, as that secret is found already. One that reaches
+    beyond them stays, as it may hold another secret.
     """
     assigned = F.filter(
         located(text, ASSIGN, "assign"), lambda s: F.length(F.regexp_extract(s["value"], ASSIGN, 1)) >= ASSIGN_LEAST
     )
     base = F.concat(assigned, located(text, ACCESS, "access"), located(text, HEX, "hex"))
     plain = F.transform(base, lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    more = F.filter(
-        uneven(text, allowed),
-        lambda s: ~F.exists(F.col("base"), lambda b: (b["start"] < s["end"]) & (b["end"] > s["start"])),
-    )
+    more = F.filter(uneven(text, allowed), lambda s: reached(s) < s["end"])
     return df.withColumn("base", ordered(plain)).withColumn("spans", ordered(F.concat("base", more)))
 
 
