@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from functools import partial
+from itertools import islice
+from time import monotonic
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,8 @@ from labelspark.streaming.versions import VersionedTable, run_of
 # How often the two are refreshed.
 ANNOUNCED_EVERY = "1 minute"
 EXTERNAL_EVERY = "30 seconds"
-SECONDS_PER_SOURCE = 5.0
+#: A source is read by a whole Spark job, so its limit is that of a job, not that of one fetch.
+SECONDS_PER_SOURCE = 600.0
 
 SEEN = "label string, value string, last_seen bigint, source string"
 
@@ -94,13 +97,15 @@ def refresh_announced(
 ) -> list[tuple[str, str]]:
     """Read the announced labels of separate sources anew and replace the table.
 
-    A source that fails, or takes longer than ``seconds``, is left out and reported as
-    ``(source, error)``.  If all fail the table stays as it was and `AllSourcesFailed` is
+    A source that fails, or takes longer than ``seconds`` from its own start, is left out and
+    reported as ``(source, error)``; one given up no longer counts among the ``at_once``.  If all fail the table stays as it was and `AllSourcesFailed` is
     raised.  Each source is written for itself first, so that its failure shows there.
     A first load without any label is refused.
     """
     if not readers:
         raise ValueError("there is no source to ask for its labels")
+    if at_once < 1:
+        raise ValueError("at least one source must be read at a time")
     lookback_range(now_ms, lookback_ms)
     version = table.last_version()
     version = 0 if version is None else version + 1
@@ -118,15 +123,23 @@ def refresh_announced(
             return name, part, str(error)
         return name, part, None
 
-    pool = ThreadPoolExecutor(at_once)
-    asked = [(name, pool.submit(read_one, name, place)) for place, name in enumerate(readers)]
-    done = []
-    for name, answer in asked:
-        try:
-            done.append(answer.result(timeout=seconds))
-        except TimeoutError:
-            done.append((name, "", f"no answer within {seconds:g} s"))
-    pool.shutdown(wait=False, cancel_futures=True)
+    pool = ThreadPoolExecutor(len(readers))
+    waiting = iter(enumerate(readers))
+    begun: dict[Future, tuple[int, str, float]] = {}
+    ended: dict[int, tuple[str, str, str | None]] = {}
+    while len(ended) < len(readers):
+        for place, name in islice(waiting, at_once - len(begun)):
+            begun[pool.submit(read_one, name, place)] = (place, name, monotonic())
+        left = min(at for _, _, at in begun.values()) + seconds - monotonic()
+        answers, _ = wait(begun, timeout=max(0.0, left), return_when=FIRST_COMPLETED)
+        for answer in answers:
+            ended[begun.pop(answer)[0]] = answer.result()
+        for answer, (place, name, at) in list(begun.items()):
+            if monotonic() - at >= seconds and not answer.done():
+                del begun[answer]
+                ended[place] = (name, "", f"no answer within {seconds:g} s")
+    pool.shutdown(wait=False)
+    done = [ended[place] for place in range(len(readers))]
     failures = [(name, error) for name, _, error in done if error is not None]
     parts = [part for _, part, error in done if error is None]
     if not parts:

@@ -165,6 +165,22 @@ def test_a_hanging_source_is_given_up(spark, table):
     assert [name for name, _ in failures] == ["b"] and told(announced_at(table.current(), 10)) == ['{prometheus="p"}']
 
 
+def test_a_source_has_its_limit_from_its_own_start(spark, table):
+    from inspect import signature
+    from threading import Event
+
+    gate = Event()
+    readers = {f"slow-{i}": lambda: gate.wait(60) for i in range(4)}
+    readers |= {f"quick-{i}": lambda i=i: samples(spark, [row("x", f"p{i}", 1)]) for i in range(3)}
+    try:
+        failures = refresh_announced(readers, ["prometheus"], table, 10, seconds=8)
+    finally:
+        gate.set()
+    assert [name for name, _ in failures] == [f"slow-{i}" for i in range(4)]
+    assert told(announced_at(table.current(), 10)) == [f'{{prometheus="p{i}"}}' for i in range(3)]
+    assert signature(refresh_announced).parameters["seconds"].default >= 60
+
+
 def test_an_empty_first_load_is_refused(spark, table):
     with pytest.raises(ValueError):
         refresh_announced({"a": lambda: samples(spark, [])}, ["prometheus"], table, 10)
