@@ -3,6 +3,9 @@
 A page is cut into blocks of text. A classifier weighs each block: what speaks for content is the capacity of its edge from the
 source, what speaks against it that of its edge to the sink. Blocks that follow each other, and blocks of one parent, are
 joined by edges whose capacity is the price of labelling them apart. The minimum cut parts content from the rest.
+
+An element whose class or id speaks against it is a node of its own: its blocks are content only if it is, and that costs
+more the more text the page has outside of it. So such a name on a wrapper of the whole article does not decide alone.
 """
 
 from __future__ import annotations
@@ -10,6 +13,7 @@ from __future__ import annotations
 import html
 import re
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -71,7 +75,10 @@ HARD = 200
 IN_MAIN = 14
 LONG_TEXT, SOME_TEXT, SENTENCE, HEADING = 10, 4, 4, 3
 LINKS, SOME_LINKS, SHORT, NOTHING, NOTICE = 12, 5, 1, 1, 12
-SAME_PARENT, NEAR_PARENT, OTHER_PARENT = 6, 4, 2
+SAME_PARENT, NEAR_PARENT, OTHER_PARENT, ACROSS = 6, 4, 2, 1
+#: What an element costs whose name speaks against it, beside twice what the page has elsewhere; less if its name also speaks for it or it has the page's head.
+NAMED, NAMED_OWN = 20, 6
+NO, BY_NAME, SURELY = range(3)
 
 
 @dataclass
@@ -83,34 +90,56 @@ class Block:
     in_main: bool
     around: bool
     linked: int
+    #: The innermost element marked by its name alone and the outermost article within it, 0 without.
+    mark: int = 0
+    article: int = 0
+
+
+@dataclass
+class Mark:
+    """An element marked by its name alone."""
+
+    above: int
+    own: bool
 
 
 def attributes(text: str) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in ATTRIBUTES.findall(text)}
 
 
-def marked(tag: str, given: str, in_main: bool) -> bool:
-    """Whether an element's name, role or classes say that it surrounds the main text."""
+def named(found: dict[str, str]) -> set[str]:
+    """The words of an element's classes and id."""
+    return {n.lower() for key in ("class", "id") for n in NAMES.findall(found.get(key, ""))}
+
+
+def tells(names: set[str]) -> bool:
+    """Whether a name is one of what surrounds the main text."""
+    return bool(names & MARKED) or any(n.startswith(MARKED_STARTS) for n in names)
+
+
+def marked(tag: str, given: str, in_main: bool) -> int:
+    """Whether an element's tag or role (SURELY) or its classes (BY_NAME) say that it surrounds the main text."""
     if tag in AROUND or (tag == "header" and not in_main):
-        return True
+        return SURELY
     if "=" not in given and "hidden" not in given or tag in ("html", "body", "article", "main"):
-        return False
+        return NO
     found = attributes(given)
     if "hidden" in found or found.get("aria-hidden") == "true" or HIDDEN.search(found.get("style", "")):
-        return True
+        return SURELY
     if found.get("role", "") in ROLES:
-        return True
-    names = {n.lower() for key in ("class", "id") for n in NAMES.findall(found.get(key, ""))}
-    if names & MARKED or any(n.startswith(MARKED_STARTS) for n in names):
-        return True
-    return bool(names & MARKED_OUTSIDE) and not in_main and not names & OWN
+        return SURELY
+    names = named(found)
+    if tells(names) or names & MARKED_OUTSIDE and not in_main and not names & OWN:
+        return BY_NAME
+    return NO
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The blocks with text, in page order; white space within a block is one space."""
+def blocks_of(page: str) -> tuple[list[Block], dict[int, Mark]]:
+    """The blocks with text, in page order, and the elements marked by name; white space within a block is one space."""
     found: list[Block] = []
-    # Open elements: name, number, in the main element, marked, within a link.
-    stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
+    marks: dict[int, Mark] = {}
+    # Open elements: name, number, in the main element, marked, within a link, element marked by name, article in it.
+    stack: list[tuple[str, int, bool, bool, bool, int, int]] = [("", 0, False, False, False, 0, 0)]
     parts: list[str] = []
     number, linked, dropped, at = 0, 0, 0, 0
 
@@ -121,7 +150,7 @@ def blocks_of(page: str) -> list[Block]:
             if text:
                 holding = [s for s in stack if s[0] in BLOCKS or not s[0]]
                 own, parent, above = [*reversed(holding), stack[0], stack[0]][:3]
-                found.append(Block(text, parent[1], above[1], own[0], own[2], own[3] or stack[-1][3], linked))
+                found.append(Block(text, parent[1], above[1], own[0], own[2], own[3] or stack[-1][3], linked, *stack[-1][5:]))
             parts.clear()
         linked = 0
 
@@ -176,15 +205,55 @@ def blocks_of(page: str) -> list[Block]:
             pop(*IMPLIED[tag])
         if match[3].endswith("/") and tag not in BLOCKS and tag not in DROPPED:
             continue
-        _, _, in_main, around, in_link = stack[-1]
+        _, _, in_main, around, in_link, mark, article = stack[-1]
         number += 1
         dropped += tag in DROPPED
-        stack.append(
-            (tag, number, in_main or tag in MAIN, around or marked(tag, match[3], in_main), in_link or tag == "a")
-        )
+        kind = marked(tag, match[3], in_main)
+        if kind == BY_NAME:
+            marks[number] = Mark(mark, bool(named(attributes(match[3])) & OWN))
+            mark, article = number, 0
+        elif mark and tag in MAIN:
+            names = named(attributes(match[3]))
+            if not tells(names) or names & OWN:
+                mark, article = (0, 0) if tag == "main" else (mark, article or number)
+        stack.append((tag, number, in_main or tag in MAIN, around or kind == SURELY, in_link or tag == "a", mark, article))
     if at < len(page) and not dropped:
         parts.append(page[at:])
     close()
+    # A single article ends the mark of the element around it; several may be a list of teasers.
+    articles: dict[int, set[int]] = {}
+    for block in found:
+        if block.mark and block.article:
+            articles.setdefault(block.mark, set()).add(block.article)
+    for block in found:
+        if block.article and len(articles[block.mark]) == 1:
+            block.mark = 0
+    return found, marks
+
+
+def costs(blocks: list[Block], gains: list[int], marks: dict[int, Mark]) -> dict[int, int]:
+    """What each element marked by name costs as content: more, the more speaks for the text outside of it.
+
+    That is the text without a mark or that of one other marked element which is not within it, whichever is greater.
+    """
+    held = dict.fromkeys([0, *marks], 0)
+    for block, g in zip(blocks, gains, strict=True):
+        if not block.around and g > 0:
+            held[block.mark] += g
+    order = list(marks)  # elements within one follow it at once
+    place = {m: i for i, m in enumerate(order)}
+    last = list(range(len(order)))
+    for i in range(len(order) - 1, -1, -1):
+        above = marks[order[i]].above
+        if above:
+            last[place[above]] = max(last[place[above]], last[i])
+    before = [0, *accumulate((held[m] for m in order), max)]
+    after = [0, *accumulate((held[m] for m in reversed(order)), max)][::-1]
+    headed = {b.mark for b in blocks if b.tag == "h1" and not b.around}
+    found = {}
+    for i, m in enumerate(order):
+        rest = max(held[0], before[i], after[last[i] + 1])
+        found[m] = NAMED_OWN + rest // 2 if marks[m].own or m in headed else NAMED + 2 * rest
     return found
 
 
@@ -210,28 +279,35 @@ def gain(block: Block) -> int:
 def smoothness(blocks: list[Block]) -> list[tuple[int, int, int]]:
     """Edges from each block to the next one, and to the next one of the same parent; the nearer in the tree, the dearer.
 
-    A marked element is a boundary already: blocks within are only joined to each other, blocks around it to the next one outside.
+    A marked element is a boundary already: blocks within are joined to each other, blocks around it to the next one outside, and
+    across the boundary at a low price if it is marked by its name alone.
     """
     edges = []
-    last: dict[tuple[bool, int], int] = {}
-    before: dict[bool, int] = {}
+    last: dict[tuple[tuple[bool, int], int], int] = {}
+    before: dict[tuple[bool, int], int] = {}
     for i, block in enumerate(blocks):
-        side = block.around
+        side = (block.around, block.mark)
         if (j := before.get(side)) is not None:
             other = blocks[j]
             near = block.parent in (other.above, other.parent) or other.parent == block.above or block.above == other.above
             edges.append((j, i, SAME_PARENT if other.parent == block.parent else NEAR_PARENT if near else OTHER_PARENT))
         if last.get((side, block.parent), j) != j:
             edges.append((last[side, block.parent], i, NEAR_PARENT))
+        if i and blocks[i - 1].mark != block.mark and not block.around and not blocks[i - 1].around:
+            edges.append((i - 1, i, ACROSS))
         last[side, block.parent] = before[side] = i
     return edges
 
 
 def main_text(page: str) -> str:
     """The blocks on the content side, joined by empty lines."""
-    blocks = blocks_of(page)
-    kept = content_side([gain(b) for b in blocks], smoothness(blocks))
-    return "\n\n".join(b.text for b, keep in zip(blocks, kept, strict=True) if keep)
+    blocks, marks = blocks_of(page)
+    gains = [gain(b) for b in blocks]
+    price = costs(blocks, gains, marks)
+    node = {m: len(blocks) + i for i, m in enumerate(price)}
+    needs = [(i, node[b.mark], HARD) for i, b in enumerate(blocks) if b.mark]
+    kept = content_side(gains + [-c for c in price.values()], smoothness(blocks), needs)
+    return "\n\n".join(b.text for b, keep in zip(blocks, kept[: len(blocks)], strict=True) if keep)
 
 
 def extract(pages: DataFrame, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections import deque
 
 
-def content_side(gain: list[int], edges: list[tuple[int, int, int]]) -> list[bool]:
+def content_side(
+    gain: list[int], edges: list[tuple[int, int, int]], needs: list[tuple[int, int, int]] = []
+) -> list[bool]:
     """Which nodes stay with the source in a minimum cut.
 
     ``gain`` is the source capacity less the sink capacity of each node (what both have in common flows straight
-    through and cuts nothing). ``edges`` are (node, node, capacity), the same both ways. Of several minimum cuts this is the
+    through and cuts nothing). ``edges`` are (node, node, capacity), the same both ways; ``needs`` are those of one way, cut
+    if the first node stays and the second does not. Of several minimum cuts this is the
     one with the most nodes on the source side: only nodes that can still reach the sink are cut off.
     """
     n = len(gain)
@@ -32,6 +35,8 @@ def content_side(gain: list[int], edges: list[tuple[int, int, int]]) -> list[boo
     for a, b, capacity in edges:
         if capacity and a != b:
             link(a, b, capacity, capacity)
+    for a, b, capacity in needs:
+        link(a, b, capacity, 0)
 
     def levels() -> list[int]:
         """Steps from the source along edges with room left."""

@@ -238,6 +238,21 @@ def test_marks_of_other_names():
     assert html_text.main_text(f"<article><header><h1>Head</h1></header><p>{text}</p><footer>x</footer></article>") == f"Head\n\n{text}"
 
 
+def test_names_on_wrappers_do_not_decide_alone():
+    text = "Some words of an article, which go on for quite a while, and then they end."
+    inner = f"<h1>The head</h1><p>{text}</p><p>{text}</p><p>{text}</p>"
+    wanted = "\n\n".join(["The head", text, text, text])
+    around = f'<div class="sidebar"><p>{text.upper()}</p><a href=x>More of it</a></div><div id="comments"><p>{text.upper()}</p></div>'
+    for mark in ('class="content-sidebar-wrap"', 'class="content has-sidebar"', 'id="page" class="menu-open"', 'class="entry-content social-share-on"'):
+        for page in (inner, f"<article>{inner}</article>", f"<main><div>{inner}</div></main>"):
+            assert html_text.main_text(f"<body><div {mark}>{page}{around}</div></body>") == wanted, (mark, page)
+            assert html_text.main_text(f"<body><nav><a href=x>Home</a></nav><div {mark}>{page}</div>{around}</body>") == wanted, (mark, page)
+    teasers = "".join(f'<article><h3><a href=x>Other {i}</a></h3><p>{text.upper()}</p></article>' for i in range(3))
+    assert html_text.main_text(f'<article>{inner}</article><div class="related">{teasers}</div>') == wanted
+    replies = "".join(f'<div class="comment"><p>{text.upper()}</p></div>' for _ in range(40))
+    assert html_text.main_text(f'<div id="page" class="menu-open">{inner}<div id="comments">{replies}</div></div>') == wanted
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     for row in html_text.extract(pages).join(pages.drop("url"), "page_id").collect():
