@@ -1,9 +1,8 @@
 """Personal data in texts: four fixed patterns, and what a tagger learned from them finds besides.
 
-The tagger is a character-level BiLSTM with CRF transitions. It reads overlapping windows of a text; their spans are then
+The tagger is a character-level BiLSTM with CRF transitions. It reads all overlapping windows of a text; their spans are then
 reconciled over the whole text: a span that a window's edge cuts is joined with its rest in the next window, and of
-spans that overlap the set with the greatest total certainty stays. By construction a span holds a digit or an at sign
-(each kind does), so windows without either are all O and are not run through the network.
+spans that overlap the set with the greatest total certainty stays.
 """
 
 from __future__ import annotations
@@ -74,6 +73,12 @@ def windows_of(points: np.ndarray) -> np.ndarray:
     return starts[(starts >= 0) & ((starts == 0) | (starts + WINDOW - STRIDE < len(points)))]
 
 
+def all_windows(points: np.ndarray) -> np.ndarray:
+    """Starts of the windows that cover a text."""
+    starts = np.arange(0, len(points), STRIDE)
+    return starts[(starts == 0) | (starts + WINDOW - STRIDE < len(points))]
+
+
 def cut_out(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Character ids (n, WINDOW) of windows, padded at the text's end."""
     padded = np.concatenate([points, np.full(WINDOW, 0xFFFFFFFF, np.uint32)])
@@ -146,10 +151,8 @@ def learned_spans(texts: list[str], params: dict | None) -> list[list[tuple[int,
         sizes.clear()
 
     for doc, text in enumerate(texts):
-        if "@" not in text and not DIGIT.search(text):
-            continue
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        starts = windows_of(points)
+        starts = all_windows(points)
         for at in range(0, len(starts), 16 * AT_ONCE):
             part = starts[at : at + 16 * AT_ONCE]
             ids.append(cut_out(points, part))
@@ -161,20 +164,22 @@ def learned_spans(texts: list[str], params: dict | None) -> list[list[tuple[int,
     return [reconciled(f) for f in found]
 
 
-def labelled_windows(text: str) -> list[tuple[str, bytes]]:
-    """Windows around digits and at signs with the labels of the base spans."""
+def labelled_windows(text: str) -> list[tuple[str, bytes, bool]]:
+    """All windows with the labels of the base spans, and whether they hold a digit or an at sign."""
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     labels = np.zeros(len(points) + WINDOW, np.uint8)
     for start, kind, end in reversed(base_spans(text)):
         labels[start:end] = 2 * kind + 2
         labels[start] = 2 * kind + 1
-    return [(text[s : s + WINDOW], labels[s : s + WINDOW].tobytes()) for s in windows_of(points).tolist()]
+    near = set(windows_of(points).tolist())
+    return [(text[s : s + WINDOW], labels[s : s + WINDOW].tobytes(), s in near) for s in all_windows(points).tolist()]
 
 
 def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", train_docs: int = 2000, train_windows: int = 3000, epochs: int = 8) -> dict | None:
     """Parameters learned from the base spans of at most ``train_docs`` texts with a digit or an at sign, those of the least hashed ids.
 
-    At most ``train_windows`` windows reach the driver, half of them without a span. None if there is nothing to learn.
+    At most ``train_windows`` windows reach the driver, half of them without a span, and half of these without a digit or an at
+    sign. None if there is nothing to learn.
     """
     named = keyed(docs, id_col, text_col)
     ids = named.filter(F.col("text").rlike("[0-9@]")).select("doc_id").orderBy(F.xxhash64("doc_id")).limit(train_docs).distinct()
@@ -184,14 +189,20 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", trai
             for part in slices(batch):
                 found = [w for t in part.column(0).to_pylist() for w in labelled_windows(t)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([w[0] for w in found], pa.string()), pa.array([w[1] for w in found], pa.binary())], ["chars", "labels"]
+                    [
+                        pa.array([w[0] for w in found], pa.string()),
+                        pa.array([w[1] for w in found], pa.binary()),
+                        pa.array([w[2] for w in found], pa.bool_()),
+                    ],
+                    ["chars", "labels", "near"],
                 )
 
     sample = named.join(F.broadcast(ids), "doc_id", "left_semi").select("text")
-    windows = cut(sample.mapInArrow(run, "chars string, labels binary").distinct())
+    windows = cut(sample.mapInArrow(run, "chars string, labels binary, near boolean").distinct())
     windows = windows.withColumn("some", F.hex("labels").rlike("[1-9]"))
     order = (F.xxhash64("chars"), F.col("chars"), F.col("labels"))
-    rows = [r for some in (True, False) for r in windows.filter(F.col("some") == some).orderBy(*order).limit(train_windows // 2).collect()]
+    parts = ((F.col("some"), train_windows // 2), (~F.col("some") & F.col("near"), train_windows // 4), (~F.col("near"), train_windows // 4))
+    rows = [r for asked, most in parts for r in windows.filter(asked).orderBy(*order).limit(most).collect()]
     if not any(r["some"] for r in rows):
         return None
     padded = [np.frombuffer(r["chars"].encode("utf-32-le"), np.uint32) for r in rows]

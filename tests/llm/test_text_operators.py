@@ -120,6 +120,24 @@ def test_tagger_learns_and_base_spans_stay(spark, documents):
     assert rows[len(texts)]["spans"] == "" and rows[len(texts)]["base_sha256"] == sha("")
 
 
+def test_the_tagger_reads_every_window(monkeypatch):
+    read = []
+
+    def paths(params, ids):
+        read.append(len(ids))
+        labels = np.zeros(ids.shape, int)
+        labels[:, 10], labels[:, 11:20] = 1, 2
+        return labels, np.ones(ids.shape)
+
+    monkeypatch.setattr(bilstm, "best_paths", paths)
+    texts = ["jane.doe (at) mail.com", "x" * 300, "", "y" * 300 + "7"]
+    found = pii.learned_spans(texts, {})
+    assert sum(read) == 1 + 6 + 6 and [len(f) > 0 for f in found] == [True, True, False, True]
+    assert {s[0] for s in found[1]} == {s[0] for s in found[3]}  # whatever digits stand in the neighbourhood
+    kinds = {near for _, _, near in pii.labelled_windows("z" * 300 + " a@b.cd")}
+    assert kinds == {True, False}
+
+
 def test_pii_of_nothing(spark, documents):
     assert pii.detect(documents([])).count() == 0
     assert pii.fit(documents(["no digits at all"])) is None
