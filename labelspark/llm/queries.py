@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelspark.llm import bpe, html_text, langid, mixing, pii, quality, secrets, sharding, simhash, winnowing
+from labelspark.llm import (
+    alignment,
+    bpe,
+    chat,
+    filter_audit,
+    html_text,
+    langid,
+    mixing,
+    pii,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    winnowing,
+)
 from labelspark.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +87,25 @@ def op9_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.audited(table(spark, sf_dir, "documents"), *paths)
+
+
+#: A conversation that says what the template says.
+TEMPLATE_TALK = [(-7, turn, role, r"\### Assistant: </turn> ok") for turn, role in enumerate(("user", "assistant"))]
+
+
+@query()
+def op12_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    own = spark.createDataFrame(TEMPLATE_TALK, "conv_id bigint, turn bigint, role string, text string")
+    return chat.digests(chat.formatted(told.unionByName(own), public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@query(filter_audit.oracle())
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
