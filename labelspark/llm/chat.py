@@ -79,6 +79,11 @@ def under_mask(text: str, starts: np.ndarray, ends: np.ndarray, loss: np.ndarray
     return found
 
 
+def lists(arrays: tuple[np.ndarray, ...], kind: pa.DataType) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, arrays)]).astype("int32")
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(arrays)).cast(kind))
+
+
 def in_order(turns: DataFrame, id_col: str, turn_col: str, role_col: str, text_col: str) -> DataFrame:
     """conv_id, role, text in the order of conversations and turns, dealt by both, so that one huge conversation is many tasks."""
     named = turns.select(
@@ -147,7 +152,11 @@ def formatted(
             columns = list(zip(*rows, strict=True))
             rows.clear()
             held = 0
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+            arrays = [
+                lists(c, f.type.value_type) if isinstance(c[0], np.ndarray) else pa.array(c, f.type)
+                for c, f in zip(columns, schema, strict=True)
+            ]
+            return pa.RecordBatch.from_arrays(arrays, schema=schema)
 
         for batch in batches:
             for conv, role, text in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
