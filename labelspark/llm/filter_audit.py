@@ -117,9 +117,13 @@ def masks(
     part = F.coalesce(F.col(f"`{part_col}`"), F.lit("")).alias("part")
     named = docs.select(F.col(f"`{id_col}`").alias("doc_id"), part, text)
     kind = named.schema["doc_id"].dataType.simpleString()
-    rows = named.mapInArrow(facts, f"doc_id {kind}, part string, mask int, digest binary")
+    rows = named.mapInArrow(facts, f"doc_id {kind}, part string, mask int, digest binary NOT NULL")
     rows = rows.groupBy("digest", "doc_id", "part", "mask").agg(F.count("*").alias("n"))
-    first = rows.groupBy("digest").agg(F.min("doc_id").alias("doc_id")).withColumn("first", F.lit(True))
+    # The smallest row is taken with all its columns and a digest is never null, so that both sides of the join need the same
+    # rows and Spark reads the texts and shuffles their facts once for both.
+    least = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "part", "mask", "n")))
+    first = rows.groupBy("digest").agg(least.alias("least"))
+    first = first.select("digest", F.col("least.doc_id").alias("doc_id"), (F.col("least.n") > 0).alias("first"))
     copy = F.col("first").isNull() & F.col("doc_id").isNotNull()
     marked = rows.join(first, ["digest", "doc_id"], "left").withColumn("copy", copy)
     said = labels.groupBy(F.col("doc_id").alias("doc_id")).agg(
