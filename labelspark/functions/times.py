@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EPOCH = datetime(1970, 1, 1)
+DAY_MS = 86_400_000
 
 # The bounds of a 64-bit time, and of what a timestamp or day can hold.
 LEAST, MOST = -(2**63), 2**63 - 1
@@ -37,7 +38,7 @@ def ntz(ms: int) -> Column:
 
 def day_of(ms: Column) -> Column:
     """The UTC day of a millisecond time."""
-    return F.date_from_unix_date(floor_div(ms, 86_400_000).cast("int"))
+    return F.date_from_unix_date(floor_div(ms, DAY_MS).cast("int"))
 
 
 def floor_div(value: Column, by: int | Column) -> Column:
@@ -77,7 +78,7 @@ def days(start: int | None, end: int | None) -> list[Column]:
     """The days of a range, both ends included, as conditions on the column ``day``; open ends have none."""
     day, found = F.col("day"), []
     if start is not None and FIRST_MS <= start <= LAST_MS:
-        found.append(day >= F.lit(EPOCH.date() + timedelta(days=start // 86_400_000)))
+        found.append(day >= F.lit(EPOCH.date() + timedelta(days=start // DAY_MS)))
     if end is not None and FIRST_MS <= end <= LAST_MS:
-        found.append(day <= F.lit(EPOCH.date() + timedelta(days=end // 86_400_000)))
+        found.append(day <= F.lit(EPOCH.date() + timedelta(days=end // DAY_MS)))
     return found

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from labelspark.functions import labels as L
 from labelspark.functions.steps import SAMPLES_PER_CHUNK
-from labelspark.functions.times import LEAST, MOST, bounded, days, floor_div
+from labelspark.functions.times import DAY_MS, EPOCH, FIRST_MS, LAST_MS, LEAST, MOST, bounded, days, floor_div
 from labelspark.operators.align import KEYS, MAX_BLOCK_MS, hashed
 
 SAMPLE = "struct<ts_ms:bigint,value:double>"
@@ -54,6 +55,41 @@ def overlapping(series: DataFrame, start: int | None, end: int | None) -> DataFr
     return series.filter(reduce(Column.__and__, alive)) if alive else series
 
 
+def _closed(start: int | None, end: int | None) -> tuple[int | None, int | None]:
+    """The ends of a range that bound something."""
+    return None if start is None or start <= FIRST_MS else start, None if end is None or end >= LAST_MS else end
+
+
+def whole_days(start: int | None, end: int | None) -> bool:
+    """Whether a range begins and ends with a day, or is open."""
+    start, end = _closed(start, end)
+    return (start is None or start % DAY_MS == 0) and (end is None or (end + 1) % DAY_MS == 0)
+
+
+def edge_days(start: int | None, end: int | None) -> Column:
+    """True for the days that a range holds in part."""
+    start, end = _closed(start, end)
+    cut = [t for t, whole in ((start, start is None or start % DAY_MS == 0), (end, end is None or (end + 1) % DAY_MS == 0)) if not whole]
+    return F.col("day").isin([EPOCH.date() + timedelta(milliseconds=t) for t in cut])
+
+
+def alive(series: DataFrame, samples: DataFrame, start: int | None, end: int | None, keys: list[str]) -> DataFrame:
+    """Rows of a series table that have a sample within a range.
+
+    The first and the last time of a row are times of samples.  So a row that meets the range and does not reach over
+    both its ends has one inside; only rows that do are looked up among the samples of the range.  A row of one day
+    cannot, unless the range begins and ends in the midst of that day.
+    """
+    met = overlapping(series, start, end)
+    if start is None or end is None:
+        return met
+    if "day" in series.columns and (start // DAY_MS != end // DAY_MS or start % DAY_MS == 0 or (end + 1) % DAY_MS == 0):
+        return met
+    over = (F.col("first_ts") < start) & (F.col("last_ts") > end)
+    inside = in_range(samples, start, end).select(*keys)
+    return met.filter(~over).unionByName(met.filter(over).join(inside, keys, "left_semi"))
+
+
 def series_table(samples: DataFrame, keys=KEYS) -> DataFrame:
     """One row per stored label set: sample count and first and last time."""
     return samples.groupBy(*keys).agg(

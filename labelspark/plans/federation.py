@@ -17,10 +17,12 @@ from labelspark.operators.routing import (
     attach_external,
     federate,
     fits_broadcast,
+    owned_names,
     require_own_matcher,
     routed,
     scalar_rows,
 )
+from labelspark.sources.index import LabelIndex
 from labelspark.sources.store import SERIES_ID, series_labels
 
 # Up to so many series, the ids of a selector are broadcast to the samples: 64 MB at most.
@@ -35,8 +37,6 @@ OPEN: Span = (None, None)
 class Federation:
     """Samples of several sources seen as one.
 
-    In place of samples a series table serves metadata and label requests.
-
     ``samples(source, labels, ts_ms, value)``, ``sources(source,
     external_labels)``.  ``dropped`` are labels taken out of every answer.
     ``external_names`` may list the label names that sources own, see
@@ -46,6 +46,11 @@ class Federation:
     (`store.read_series`) the work is done by id: a selector is resolved on the
     series that were alive in the request's days, samples are read for the ids
     found, without their label map, and labels are looked up for results only.
+    Metadata and label requests are answered from the series table alone; samples are read only
+    where a request lies within one day, for the series that reach over both its ends.
+
+    Given the label ``index`` beside the series table (`index.write_index`), selectors, label names and label values
+    are resolved by it and label maps are read for the series of an answer only.
     """
 
     samples: DataFrame
@@ -57,6 +62,11 @@ class Federation:
     lookback_ms: int = steps.LOOKBACK_MS
     tiebreak: str | None = None
     series: DataFrame | None = None
+    index: LabelIndex | None = None
+
+    def __post_init__(self) -> None:
+        if self.index is not None and self.series is None:
+            raise ValueError("a label index belongs beside a series table")
 
     def routed_for(self, *selectors: Selector) -> Federation:
         """Only the sources that every selector of a composed expression accepts."""
@@ -67,15 +77,31 @@ class Federation:
         """Whether the whole source table may be broadcast to finish results, looked up once."""
         return fits_broadcast(self.sources)
 
-    def _alive(self, chosen: Selector, span: Span) -> DataFrame:
-        """Rows of the series table that fit the selector and were alive in a range."""
-        alive = series.overlapping(self.series, *span)
-        return federate(alive, self.sources, chosen, external_names=self.external_names)
+    @cached_property
+    def owned(self) -> frozenset[str]:
+        """The label names that sources own, looked up once."""
+        return owned_names(self.sources) | (self.external_names or frozenset())
+
+    def _alive(self, chosen: Selector, span: Span, on_empty: str = "all", exact: bool = False) -> DataFrame:
+        """Rows of the series table that fit the selector and were alive in a range.
+
+        Those are the rows whose times meet the range; with ``exact`` the ones that have a sample in it.
+        """
+        if exact:
+            alive = series.alive(self.series, self.samples, *span, list(self.keys))
+        else:
+            alive = series.overlapping(self.series, *span)
+        if self.index is None:
+            return federate(alive, self.sources, chosen, external_names=self.external_names, on_empty=on_empty)
+        found = self.index.between(*span).resolve(
+            self.sources, chosen, owned=self.owned, on_empty=on_empty, small=self.small
+        )
+        return alive.join(found, ["day", *self.keys], "left_semi")
 
     def hits(self, chosen: Selector, samples: DataFrame | None = None, span: Span = OPEN) -> DataFrame:
         """Samples of the routed sources that fit the selector, with the identity of their series."""
         if self.series is not None:
-            ids = self._alive(chosen, span).select(*self.keys).distinct()
+            ids = self._ids(chosen, span)
             few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
             rows = self.samples if samples is None else samples
             return rows.join(F.broadcast(ids) if few else ids, list(self.keys), "left_semi")
@@ -87,6 +113,13 @@ class Federation:
         )
         return series.with_identity(found)
 
+    def _ids(self, chosen: Selector, span: Span) -> DataFrame:
+        """The ids of the series that fit the selector on the days of a range, each once."""
+        if self.index is None:
+            return self._alive(chosen, span).select(*self.keys).distinct()
+        found = self.index.between(*span).resolve(self.sources, chosen, owned=self.owned, small=self.small)
+        return found.select(*self.keys).distinct()
+
     @property
     def keys(self) -> tuple[str, ...]:
         return align.KEYS if self.series is None else ("source", *SERIES_ID)
@@ -118,8 +151,14 @@ class Federation:
     ) -> DataFrame:
         """Label sets with a sample in the range, in label order; an end that is None is open."""
         require_own_matcher(self.sources, chosen)
-        hits = self.hits(chosen, series.in_range(self.samples, start, end), (start, end))
-        found = self.finish(series.series_metadata(hits, self.keys), replica, chosen, (start, end))
+        series.check_range(start, end)
+        if self.series is None:
+            hits = self.hits(chosen, series.in_range(self.samples, start, end), (start, end))
+            found = self.finish(series.series_metadata(hits, self.keys), replica, chosen, (start, end))
+        else:
+            # The rows found have their labels with them.
+            sets = series_labels(self._alive(chosen, (start, end), exact=True))
+            found = finish_labels(attach_external(sets, self.sources, small=self.small), self.dropped, replica)
         return series.limit_series(found, limit).select("source", "labels")
 
     def select_series(
@@ -163,6 +202,11 @@ class Federation:
         *,
         replica: Iterable[str] = (),
     ) -> DataFrame:
+        if self.index is not None:
+            known = self.index.between(start, end)
+            told = known.names(self._exact_ids(chosen, start, end))
+            placed = routed(self.sources, chosen)
+            return discovery.indexed_names(told, placed, dropped=self.dropped, replica=replica, small=self.small)
         return discovery.label_names(
             self._between(start, end),
             self.sources,
@@ -181,6 +225,14 @@ class Federation:
         *,
         replica: Iterable[str] = (),
     ) -> DataFrame:
+        if self.index is not None:
+            configured, others = discovery.owned_values(self.sources, label, chosen, self.dropped, replica)
+            if others is None:
+                return configured
+            told = self.index.between(start, end).values_of(label, self._exact_ids(chosen, start, end))
+            read = routed(others, chosen).select("source", "external_labels")
+            found = attach_external(told, read, small=self.small).select("value")
+            return found.union(configured).distinct().orderBy("value")
         return discovery.label_values(
             self._between(start, end),
             self.sources,
@@ -192,7 +244,26 @@ class Federation:
         )
 
     def _between(self, start: int | None, end: int | None) -> DataFrame:
-        return series.in_range(self.samples, start, end)
+        """What label requests look through: series with a sample in the range, or the samples themselves."""
+        if self.series is None:
+            return series.in_range(self.samples, start, end)
+        return series.alive(self.series, self.samples, start, end, list(self.keys))
+
+    def _exact_ids(self, chosen: Selector, start: int | None, end: int | None) -> DataFrame | None:
+        """source, day and id of the series that fit and have a sample in the range; None for all series of all days."""
+        series.check_range(start, end)
+        if not chosen and series.whole_days(start, end):
+            return None
+        known = self.index.between(start, end)
+        found = known.resolve(self.sources, chosen, owned=self.owned, on_empty="no filter", small=self.small)
+        if series.whole_days(start, end):
+            return found
+        # Only the days at the ends of the range hold series that might lie outside of it.
+        keys = list(self.keys)
+        at_ends = series.edge_days(start, end)
+        alive = series.alive(self.series.filter(at_ends), self.samples, start, end, keys).select("day", *keys).distinct()
+        placed = found.join(alive.withColumn("inside", F.lit(True)), ["day", *keys], "left")
+        return placed.filter(~at_ends | F.col("inside")).drop("inside")
 
     # -- queries: no order, no limit, replica labels stay --------------------
 

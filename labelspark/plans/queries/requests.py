@@ -29,8 +29,9 @@ from labelspark.plans.tables import (
     START,
     STORED_TEXT,
 )
+from labelspark.sources.index import LabelIndex, write_store
 from labelspark.sources.store import read_samples, read_series, write_samples, write_series
-from labelspark.streaming.versions import shared_dir
+from labelspark.sources.folders import shared_dir
 
 NOT_VIEW = selector(("__name__", "=", "event_value"), ("region", "=", "eu"), ("event_type", "!=", "view"))
 SQL_NOT_VIEW = "metric = 'event_value' AND ext_region = 'eu' AND event_type <> 'view'"
@@ -281,3 +282,77 @@ def store_append(t):
     write_samples(t.samples().filter(F.col("ts_ms") >= half), place)
     stored_text = L.text(F.col("labels")).alias("labels_s")
     return read_samples(t.spark, place).select("event_id", "source", stored_text, "ts_ms", "value")
+
+
+# -- the same by a label index
+
+
+def indexed(t, samples=None):
+    """Samples with their series table and label index, in the shared folder."""
+    place = shared_dir(t.spark)
+    write_store(t.samples() if samples is None else samples, place, hot=["__name__", "event_type"])
+    found = read_samples(t.spark, f"{place}/samples", START - 1, END)
+    return replace(
+        federation(t, samples=found),
+        series=read_series(t.spark, f"{place}/series"),
+        index=LabelIndex.read(t.spark, f"{place}/index"),
+    )
+
+
+@query(
+    f"WITH {SQL_BOTH}, {SQL_EXTERNAL}, "
+    + SQL_NAMES.format(
+        where=f"event_type <> 'view' AND usr LIKE 'u1%' AND ts_ms BETWEEN {START + 5 * DAY + 1} AND {START + 20 * DAY + DAY // 3}",
+        dropped="'__tenant_id__', 'replica'",
+    )
+)
+def indexed_names(t):
+    """Label names off the index, for a range that begins and ends within a day."""
+    chosen = selector(("event_type", "!=", "view"), ("user", "=~", "u1.*"))
+    return indexed(t).label_names(chosen, START + 5 * DAY + 1, START + 20 * DAY + DAY // 3)
+
+
+HOURS = (START + 9 * DAY + DAY // 4, START + 9 * DAY + DAY // 2)
+
+
+@query(
+    f"WITH {SQL_BOTH}, {SQL_EXTERNAL} SELECT DISTINCT usr AS value FROM s JOIN x USING (source) "
+    f"WHERE ext_region = 'eu' AND (ext_prom IS NOT NULL OR coalesce(prom, '') <> 'prom-1') "
+    f"AND regexp_full_match(event_type, '.*(lick|rchase)') AND ts_ms BETWEEN {HOURS[0]} AND {HOURS[1]}"
+)
+def indexed_values(t):
+    """Label values off the index; some sources own a label of the selector, others do not; six hours of a day."""
+    chosen = selector(("region", "=", "eu"), ("prometheus", "!=", "prom-1"), ("event_type", "=~", ".*(lick|rchase)"))
+    return indexed(t).label_values("user", chosen, *HOURS)
+
+
+@query(SQL_SELECT)
+def indexed_select(t):
+    """The series request, its selector resolved by postings."""
+    return flat_chunks(indexed(t).select_series(NOT_VIEW, START, END))
+
+
+@query(
+    f"""WITH {SQL_BOTH}, {SQL_EXTERNAL} SELECT event_id, source, metric FROM s JOIN x USING (source)
+    WHERE regexp_full_match(event_type, '.+urchas.') AND NOT regexp_full_match(usr, 'u[0-9]*[3-5]')
+      AND NOT regexp_full_match(coalesce(replica, ''), 'a|c+') AND regexp_full_match(metric, 'event_(value|nothing)')"""
+)
+def matcher_re_dictionary(t):
+    """Patterns are tried on the values of the dictionary; samples are read for the ids found."""
+    chosen = selector(
+        ("event_type", "=~", ".+urchas."), ("user", "!~", "u[0-9]*[3-5]"), ("replica", "!~", "a|c+"),
+        ("__name__", "=~", "event_(value|nothing)"),
+    )
+    return indexed(t).hits(chosen).select("event_id", "source", F.col("name").alias("metric"))
+
+
+@query(
+    f"""WITH {SQL_VALUES}, {SQL_EXTERNAL}, m AS (
+      SELECT DISTINCT source, metric, event_type, ext_prom, ext_region, CAST(NULL AS VARCHAR) AS usr, CAST(NULL AS VARCHAR) AS prom
+      FROM s JOIN x USING (source) WHERE ts_ms BETWEEN {HOURS[0]} AND {HOURS[0] + 900_000})
+    SELECT source, {FINAL_TEXT} AS labels_s FROM m"""
+)
+def metadata_exact(t):
+    """Few series with samples all day long: those that pause for a quarter of an hour are not there for it."""
+    few = t.by_type().drop("labels_c")
+    return flat(indexed(t, few).series_metadata(selector(("__name__", "=", "event_value")), HOURS[0], HOURS[0] + 900_000))

@@ -11,7 +11,8 @@ from labelspark.plans.registry import query
 from labelspark.plans.tables import DAY, DROPPED, END, EXTERNAL_NAMES, FINAL_TEXT, SQL_EXTERNAL, SQL_VALUES, Tables
 from labelspark.streaming.attach import stream_attach
 from labelspark.streaming.refresh import announced_at, refresh_announced, stream_announced
-from labelspark.streaming.versions import VersionedTable, shared_dir
+from labelspark.sources.folders import shared_dir
+from labelspark.streaming.versions import VersionedTable
 
 
 class Arriving(Tables):

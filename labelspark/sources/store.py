@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
@@ -66,7 +67,7 @@ def with_series_id(samples: DataFrame) -> DataFrame:
 MODES = ("append", "partitions", "all")
 
 
-def _writer(df: DataFrame, mode: str) -> DataFrameWriter:
+def writer(df: DataFrame, mode: str) -> DataFrameWriter:
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
     if mode == "partitions":
@@ -84,18 +85,26 @@ def write_samples(
     The rebalance lets Spark cut large (source, day) groups into several
     files of even size and put small ones together.
     """
+    write_clean(clean_samples(samples, hot), path, hot, mode=mode)
+
+
+def clean_samples(samples: DataFrame, hot: Sequence[str] = (L.METRIC_NAME,)) -> DataFrame:
+    """Samples as they are stored: labels cleaned, with day, series id and hot labels."""
     clean = samples.withColumn("labels", L.normalize(F.col("labels"))).withColumn("day", day_of(F.col("ts_ms")))
-    clean = promote(with_series_id(clean), hot)
+    return promote(with_series_id(clean), hot)
+
+
+def write_clean(clean: DataFrame, path: str, hot: Sequence[str] = (L.METRIC_NAME,), *, mode: str = "append") -> None:
     hot_columns = ["name" if n == L.METRIC_NAME else f"label_{n}" for n in hot]
     ordered = clean.hint("rebalance", "source", "day").sortWithinPartitions(
         "source", "day", *hot_columns, *SERIES_ID, "ts_ms"
     )
-    _writer(ordered, mode).partitionBy("source", "day").parquet(path)
+    writer(ordered, mode).partitionBy("source", "day").parquet(path)
 
 
 def write_chunks(chunks: DataFrame, path: str, *, mode: str = "append") -> None:
     """Store chunks by source; a source with much data gets several files."""
-    _writer(chunks.hint("rebalance", "source"), mode).partitionBy("source").parquet(path)
+    writer(chunks.hint("rebalance", "source"), mode).partitionBy("source").parquet(path)
 
 
 def read_samples(
@@ -108,17 +117,47 @@ def read_samples(
 def write_series(samples: DataFrame, path: str, *, mode: str = "append") -> None:
     """The series table of stored samples: one row per source, day and label set (and per write, if appended).
 
-    Label discovery and metadata read this instead of samples.  Fails if two
-    label sets of a source have the same id.
+    Label discovery and metadata read this instead of samples.  Two label
+    sets of a source with the same id are refused before anything is written; of the rows stored already only the ids
+    are read, and the labels of those that are met again.
     """
+    add_series(series_rows(samples), path, mode=mode)
+
+
+def series_rows(samples: DataFrame) -> DataFrame:
+    """The rows of the series table for some samples with ids."""
     days = with_identity(samples).withColumn("day", day_of(F.col("ts_ms")))
     rows = series_table(days, keys=("source", "day", *SERIES_ID, "labels_c"))
-    named = rows.withColumn("labels", F.map_from_entries("labels_c")).drop("labels_c")
-    _writer(named.hint("rebalance", "source", "day"), mode).partitionBy("source", "day").parquet(path)
-    named = read_series(samples.sparkSession, path)
-    clashes = series_labels(named, F.count("*").alias("sets")).filter("sets > 1").take(1)
-    if clashes:
-        raise ValueError(f"two label sets share an id: {clashes[0]}")
+    return rows.withColumn("labels", F.map_from_entries("labels_c")).drop("labels_c")
+
+
+def add_series(rows: DataFrame, path: str, *, mode: str = "append") -> None:
+    _refuse_clashes(rows, None if mode == "all" else stored(rows.sparkSession, path))
+    writer(rows.hint("rebalance", "source", "day"), mode).partitionBy("source", "day").parquet(path)
+
+
+def _refuse_clashes(named: DataFrame, before: DataFrame | None) -> None:
+    """Fails if an id stands for two label sets of a source, among the new rows or beside stored ones."""
+    new = series_labels(named, F.count("*").alias("sets"))
+    clash = new.filter("sets > 1").select("source", *SERIES_ID)
+    if before is not None:
+        keys = ["source", *SERIES_ID]
+        old = before.select(*keys, L.canonical(F.col("labels")).alias("other")).distinct()
+        met = new.join(old, keys).filter(L.canonical(F.col("labels")) != F.col("other"))
+        clash = clash.union(met.select(*keys))
+    found = clash.take(1)
+    if found:
+        raise ValueError(f"two label sets share an id: {found[0]}")
+
+
+def stored(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table below a path; none if nothing has been written there."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:

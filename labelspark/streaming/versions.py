@@ -9,29 +9,15 @@ version, whatever its batches are numbered.  One writer at a time.
 
 from __future__ import annotations
 
-import uuid
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-COMMIT = "version bigint, rows bigint, run string, batch bigint"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """A new folder below ``spark.checkpoint.dir``, which all executors share.
+from labelspark.sources.folders import remove
 
-    Where that is not set it lies below the warehouse, which they share as well.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder of the shared storage, if it is there."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+COMMIT = "version bigint, rows bigint, run string, batch bigint"
 
 
 @dataclass(frozen=True)

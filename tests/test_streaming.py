@@ -14,7 +14,8 @@ from labelspark.streaming.refresh import (
     stream_announced,
     tenant_readers,
 )
-from labelspark.streaming.versions import VersionedTable, shared_dir
+from labelspark.sources.folders import shared_dir
+from labelspark.streaming.versions import VersionedTable
 from tests.helpers import SAMPLES, samples, sources
 
 HOUR = 3_600_000
