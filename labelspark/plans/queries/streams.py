@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from labelspark.operators.projection import with_text
 from labelspark.plans.queries.discovery import ANNOUNCED, SQL_ANNOUNCED
 from labelspark.plans.queries.requests import NOT_VIEW, SQL_NOT_VIEW
 from labelspark.plans.registry import query
-from labelspark.plans.tables import DAY, DROPPED, END, EXTERNAL_NAMES, FINAL_TEXT, SQL_EXTERNAL, SQL_VALUES, Tables
-from labelspark.streaming.attach import stream_attach
-from labelspark.streaming.refresh import announced_at, refresh_announced, stream_announced
-from labelspark.sources.folders import shared_dir
+from labelspark.plans.tables import DAY, DROPPED, END, EXTERNAL_NAMES, FINAL_TEXT, SQL_EXTERNAL, SQL_VALUES, START, Tables
+from labelspark.sources.folders import remove, shared_dir
+from labelspark.streaming.attach import attached, stream_attach
+from labelspark.streaming.expiry import STATE_STORE, living, living_log, stream_living
+from labelspark.streaming.refresh import announced_at, announced_log, refresh_announced, stream_announced
 from labelspark.streaming.versions import VersionedTable
 
 
@@ -51,7 +53,7 @@ def stream_label(t):
         external_names=EXTERNAL_NAMES,
         once=True,
     ).awaitTermination()
-    return with_text(t.spark.read.parquet(f"{place}/out")).select("event_id", "source", "labels_s", "ts_ms", "value")
+    return with_text(attached(t.spark, f"{place}/out").current()).select("event_id", "source", "labels_s", "ts_ms", "value")
 
 
 @query(f"WITH {SQL_VALUES}, " + SQL_ANNOUNCED.format(by="source,", where=""))
@@ -81,3 +83,97 @@ def refresh_partial(t):
     readers = {name: (lambda n=name: read(n)) for name in ("src-0", "src-1", "src-2", "src-3")}
     refresh_announced(readers, ANNOUNCED, table, END, 10 * DAY, seconds=600)
     return announced_at(table.current(), END, 10 * DAY, "source").select("source", "labels_s")
+
+
+# -- batches that come one after the other, run again, or are killed
+
+
+def landed(t, samples, place, files):
+    """Samples as so many files of a landing folder, in the order of their days."""
+    samples.repartitionByRange(files, "ts_ms", "event_id").write.mode("append").parquet(place)
+
+
+def arriving(t, place, per_batch=1):
+    schema = t.spark.read.parquet(place).schema
+    return t.spark.readStream.schema(schema).option("maxFilesPerTrigger", per_batch).parquet(place)
+
+
+SQL_ALL_ANNOUNCED = f"WITH {SQL_VALUES}, " + SQL_ANNOUNCED.format(by="source,", where="")
+
+
+@query(SQL_ALL_ANNOUNCED)
+def stream_compact(t):
+    """Seven batches into a log that merges its parts by twos, then all of them."""
+    place = shared_dir(t.spark)
+    landed(t, t.values(), f"{place}/in", 7)
+    table = announced_log(t.spark, f"{place}/announced", fan=2)
+    stream_announced(arriving(t, f"{place}/in"), ANNOUNCED, table, f"{place}/checkpoint", once=True).awaitTermination()
+    table.compact()
+    return announced_at(table.current(), END, 0, "source").select("source", "labels_s")
+
+
+@query(SQL_ALL_ANNOUNCED)
+def stream_rerun(t):
+    """The last batch runs again after it was committed, and can't be read then: the table stays as it was."""
+    place = shared_dir(t.spark)
+    tables = announced_log(t.spark, f"{place}/log"), VersionedTable(t.spark, f"{place}/versions")
+    told = []
+    for number, table in enumerate(tables):
+        checkpoint = f"{place}/checkpoint-{number}"
+        whole = Arriving(t.spark, t.sf_dir).values()
+        gone = whole.withColumn("ts_ms", F.raise_error(F.lit("gone")).cast("bigint"))
+        for samples in (whole, gone):
+            stream_announced(samples, ANNOUNCED, table, checkpoint, once=True).awaitTermination()
+            remove(t.spark, f"{checkpoint}/commits")
+        told.append(announced_at(table.current(), END, 0, "source").select("source", "labels_s"))
+    return told[0].intersect(told[1])
+
+
+LOOKBACK_DAYS = 3
+
+
+@query(
+    f"""WITH {SQL_VALUES}, e AS (SELECT source, ts_ms, unnest(['event_type', 'user']) AS label, unnest([event_type, usr]) AS value FROM s),
+    m AS (SELECT source, label, value, max(ts_ms) AS last FROM e GROUP BY ALL)
+    SELECT source, '{{' || label || '="' || value || '"}}' AS labels_s FROM m
+    WHERE last + {LOOKBACK_DAYS * DAY} >= (SELECT max(ts_ms) FROM s)"""
+)
+def stream_expiry(t):
+    """Labels leave when their lookback ends: two triggers, the second with samples that come too late."""
+    place, middle = shared_dir(t.spark), START + 20 * DAY
+    table = living_log(t.spark, f"{place}/living")
+    early, late = F.col("ts_ms") < middle, F.col("ts_ms") < START + 2 * DAY
+    kept = t.spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    try:
+        for part in (early, ~early | late):
+            landed(t, t.values().filter(part), f"{place}/in", 1)
+            samples = arriving(t, f"{place}/in")
+            stream_living(samples, ["event_type", "user"], LOOKBACK_DAYS * DAY, table, f"{place}/checkpoint", once=True).awaitTermination()
+    finally:
+        t.spark.conf.set("spark.sql.streaming.stateStore.providerClass", kept)
+    return living(table, "source").select("source", "labels_s")
+
+
+@query(
+    f"WITH {SQL_VALUES}, {SQL_EXTERNAL} SELECT event_id, source, {FINAL_TEXT} AS labels_s, ts_ms, value "
+    f"FROM s JOIN x USING (source) WHERE {SQL_NOT_VIEW}"
+)
+def stream_label_resume(t):
+    """A batch is killed half way and runs again, the last one runs twice; every row is there once, in days."""
+    place = shared_dir(t.spark)
+    sources = VersionedTable(t.spark, f"{place}/sources")
+    landed(t, t.values(), f"{place}/in", 4)
+    killed = F.when(F.col("event_id") % 1000 == 7, F.raise_error(F.lit("killed")).cast("double")).otherwise(F.col("value"))
+    out = attached(t.spark, f"{place}/out", fan=3)
+    for samples in (arriving(t, f"{place}/in").withColumn("value", killed), arriving(t, f"{place}/in"), arriving(t, f"{place}/in")):
+        try:
+            stream_attach(
+                samples, sources, NOT_VIEW, f"{place}/out", f"{place}/checkpoint",
+                read_sources=t.sources, dropped=DROPPED, external_names=EXTERNAL_NAMES, once=True,
+            ).awaitTermination()
+            remove(t.spark, f"{place}/checkpoint/commits/3")
+        except StreamingQueryException:
+            continue
+    out.compact()
+    return with_text(out.current()).select("event_id", "source", "labels_s", "ts_ms", "value")
