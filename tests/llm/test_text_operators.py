@@ -157,19 +157,32 @@ def plain_secrets(text):
     more = []
     for m in re.finditer(r"[A-Za-z0-9+/_=-]{20,}", text):
         value = m[0]
-        if any(re.fullmatch(a, value) for a in secrets.ALLOWED):
-            continue
-        hot = []
-        for k in range(len(value) - 19):
-            part = value[k : k + 20]
-            bits = -sum(part.count(c) / 20 * math.log2(part.count(c) / 20) for c in set(part))
-            if (set(part) <= set(secrets.HEX_DIGITS) and bits >= 3.0 - 1e-9) or (re.search("[0-9]", part) and bits >= 3.9 - 1e-9):
-                hot.append(k)
-        if hot and not any(b[0] < m.start() + hot[-1] + 20 and b[3] > m.start() + hot[0] for b in base):
-            more.append((m.start() + hot[0], 3, "entropy", m.start() + hot[-1] + 20))
+        parts = [p.span() for p in re.finditer("[A-Za-z0-9]+", value) if re.search("|".join(secrets.ALLOWED), p[0], re.IGNORECASE)]
+        hot = [k for k in range(len(value) - 19) if plain_suspect(value[k : k + 20]) and not any(a < k + 20 and b > k for a, b in parts)]
+        while hot:
+            n = next((i for i in range(1, len(hot)) if hot[i] > hot[i - 1] + 20), len(hot))
+            more.append((m.start() + hot[0], 3, "entropy", m.start() + hot[n - 1] + 20))
+            hot = hot[n:]
+    covered = {p for s, _, _, e in base for p in range(s, e)}
+    more = [s for s in more if not covered >= set(range(s[0], s[3]))]
     return sorted(base), sorted(base + more)
 
 
+def plain_suspect(part):
+    bits = -sum(part.count(c) / 20 * math.log2(part.count(c) / 20) for c in set(part)) + 1e-6
+    d, low, up = (len(re.findall(p, part)) for p in ("[0-9]", "[a-z]", "[A-Z]"))
+    others = 20 - d - low - up
+    least = secrets.LEAST_BITS
+    return (
+        (re.fullmatch("[0-9a-fA-F-]+", part) and d and low + up and bits >= least["hex"])
+        or (not up + others and d >= 2 and low and bits >= least["lower"])
+        or (not low + others and d and up and bits >= least["upper"])
+        or (not d + others and low >= 4 and up >= 4 and bits >= least["letters"])
+        or (others <= 3 and d and low >= 2 and up >= 2 and bits >= least["mixed"])
+        or (d and bits >= 3.9)
+    )
+
+
 def secret_texts():
     draw = random.Random(9)
     key = lambda n, of: "".join(draw.choice(of) for _ in range(n))
@@ -181,6 +194,10 @@ def secret_texts():
         "ü 0123456789abcdef0123456789abcdef and 0123456789ABCDEF0123",
         "aaaaaaaaaaaaaaaaaaaaaaaa1 abcdefghijklmnopqrstuvwxyz0123456789 internationalizationlocalization",
     ]
+    live, flat = key(40, b64[:62]), "a1" * 30
+    texts += [f"AKIA{key(16, b64[:26])}/{live}", f"example/{live}", f"/v0123456789/{live}/", f"{live}{flat}{live}", f"{live}-EXAMPLE-{live}x"]
+    texts += [f"{key(8, '0123456789abcdef')}-{key(4, '0123456789abcdef')}-{key(4, '0123456789abcdef')}-{key(4, '0123456789abcdef')}-{key(12, '0123456789abcdef')}" for _ in range(5)]
+    texts += [f"k {key(n, of)}." for n in (20, 24, 32) for of in (b64[:52], b64[26:62], b64[:26] + "234567", b64[:26] + b64[52:62]) for _ in range(6)]
     texts += [f"è see {key(draw.randint(18, 60), b64)} and {key(30, '0123456789abcdefABCDEF')} or {key(25, 'ab1')}" for _ in range(120)]
     texts += ["".join(draw.choice("tokensecret=:'\" abc12AKIA-") for _ in range(60)) for _ in range(200)]
     return texts + ODD
@@ -232,6 +249,39 @@ def test_a_secret_beside_a_base_span_is_found(spark, documents):
     assert [out[i]["text"] for i in range(3)] == ["see [SECRET] ok", "see [SECRET] ok", "at /[SECRET] ok"]
 
 
+def test_most_random_strings_of_each_class_are_found(spark, documents):
+    draw = random.Random(21)
+    upper, lower, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    classes = [
+        ("letters", upper + lower, 32), ("letters", upper + lower, 20), ("upper", upper + digits, 20), ("base32", upper + "234567", 24),
+        ("lower", lower + digits, 24), ("lower", lower + digits, 20), ("base62", upper + lower + digits, 20), ("base64", upper + lower + digits + "+/", 40),
+    ]
+    texts = [f"see {''.join(draw.choice(of) for _ in range(n))} ok" for _, of, n in classes for _ in range(100)]
+    texts += [f"see {'-'.join(''.join(draw.choice('0123456789abcdef') for _ in range(n)) for n in (8, 4, 4, 4, 12))} ok" for _ in range(100)]
+    rows = by_id(secrets.scan(documents(texts)))
+    shares = [sum(any(s["kind"] == "entropy" or s["kind"] == "access" for s in rows[i]["spans"]) for i in range(at, at + 100)) for at in range(0, len(texts), 100)]
+    assert min(shares) >= 90, shares
+
+
+def test_prose_holds_no_suspect_strings(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = secrets.scan(docs).join(docs, "doc_id").collect()
+    found = [r["text"][s["start"] : s["end"]] for r in rows for s in r["spans"] if s["kind"] == "entropy"]
+    assert [f for f in found if f.isalpha() or f.isdigit()] == []
+
+
+def test_the_sql_twin_knows_the_same_secrets(spark, documents, tmp_path):
+    import duckdb
+
+    docs = documents([t for t in secret_texts() if t is None or len(t) < 1000])
+    docs.coalesce(1).write.parquet(f"{tmp_path}/d")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/d/*.parquet')")
+    columns = ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"]
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({secrets.oracle()}) ORDER BY doc_id").fetchall()
+    assert [tuple(r) for r in secrets.summary(secrets.scan(docs)).select(*columns).orderBy("doc_id").collect()] == want
+
+
 # -- quality
 
 
