@@ -39,3 +39,13 @@ def test_any_session_time_zone(spark, duck, name):
 def test_entry(spark):
     assert entry.entry(spark).columns == ["source", "labels_s"]
     assert entry.entry(spark).count() > 0
+
+
+def test_the_entry_works_without_what_the_corpus_operators_import():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    program = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; print(len(e.queries()))"
+    done = subprocess.run([sys.executable, "-c", program], capture_output=True, text=True, cwd=Path(entry.__file__).parent)
+    assert done.returncode == 0 and int(done.stdout) == len(OWN), done.stderr
