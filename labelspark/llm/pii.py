@@ -3,12 +3,17 @@
 The tagger is a character-level BiLSTM with CRF transitions. It reads all overlapping windows of a text; their spans are then
 reconciled over the whole text: a span that a window's edge cuts is joined with its rest in the next window, and of
 spans that overlap the set with the greatest total certainty stays.
+
+It is trained on the matches of the patterns and on changed forms of them that no pattern finds: signs spelt out or in brackets, letters and digits of
+other scripts, numbers with other separators or an extension. How certain a span must be is set on windows kept out of the training.
 """
 
 from __future__ import annotations
 
+import random
 import re
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -28,11 +33,13 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGIT = re.compile(r"[0-9]")
 NO_DIGIT = re.compile(r"[^0-9]+")
 
-WINDOW, STRIDE = 96, 48
+#: Windows share 40 characters with the next one; a span cut by an edge is joined with its rest.
+WINDOW, STRIDE = 256, 216
 #: Windows that are run through the network at a time.
-AT_ONCE = 512
-#: Least mean probability of a learned span's labels.
-SURE = 0.95
+AT_ONCE = 2048
+#: Mean probabilities of a span's labels that are tried as the least, and the share of right spans among those found that one must reach.
+SURES = (0.9, 0.93, 0.95, 0.97, 0.98, 0.99)
+RIGHT = 0.98
 
 Span = tuple[int, int, int]  # start, number of the kind, end
 
@@ -69,7 +76,7 @@ def windows_of(points: np.ndarray) -> np.ndarray:
     if not len(hits):
         return hits
     last = hits // STRIDE * STRIDE
-    starts = np.unique(np.concatenate([last - s for s in range(0, WINDOW, STRIDE)]))
+    starts = np.unique(np.concatenate([(last - s)[hits < last - s + WINDOW] for s in range(0, WINDOW, STRIDE)]))
     return starts[(starts >= 0) & ((starts == 0) | (starts + WINDOW - STRIDE < len(points)))]
 
 
@@ -153,33 +160,94 @@ def learned_spans(texts: list[str], params: dict | None) -> list[list[tuple[int,
     for doc, text in enumerate(texts):
         points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
         starts = all_windows(points)
-        for at in range(0, len(starts), 16 * AT_ONCE):
-            part = starts[at : at + 16 * AT_ONCE]
+        for at in range(0, len(starts), 4 * AT_ONCE):
+            part = starts[at : at + 4 * AT_ONCE]
             ids.append(cut_out(points, part))
             held += [(doc, int(s), len(points)) for s in part]
-            if len(held) >= 16 * AT_ONCE:
+            if len(held) >= 4 * AT_ONCE:
                 run()
     if held:
         run()
-    return [reconciled(f) for f in found]
+    longest = params.get("longest", WINDOW)
+    return [[s for s in reconciled(f) if s[2] - s[0] <= longest] for f in found]
+
+
+ACCENTED = str.maketrans("aeiouncyAEIOU", "áéíöüñçýÀÉÎÖÜ")
+WIDE_SIGNS = str.maketrans({c: chr(ord(c) + 0xFEE0) for c in "0123456789@.+-"})
+OTHER_DIGITS = [str.maketrans("0123456789", "".join(chr(first + i) for i in range(10))) for first in bilstm.DIGITS_FROM[:2]]
+
+
+def changed_form(kind: int, value: str, draw: random.Random) -> str:
+    """A form of a match that people write and no pattern finds."""
+    pick = draw.randrange(5)
+    if kind == 0:
+        local, _, domain = value.partition("@")
+        return (
+            f"{local} (at) {domain}",
+            f"{local}[at]{domain.replace('.', '[dot]')}",
+            f"{local} at {domain.replace('.', ' dot ')}",
+            f"{local.translate(ACCENTED)}@{domain}",
+            value.translate(WIDE_SIGNS),
+        )[pick]
+    if kind == 1:
+        return (value.replace(".", "[.]"), value.replace(".", "(.)"), value.replace(".", " . "), value.translate(WIDE_SIGNS), value.replace(".", "[.]", 1))[pick]
+    digits = NO_DIGIT.sub("", value)
+    if kind == 2:
+        groups = [digits[i : i + 4] for i in range(0, len(digits), 4)]
+        return (".".join(groups), "/".join(groups), "  ".join(groups), value.translate(WIDE_SIGNS), value.translate(draw.choice(OTHER_DIGITS)))[pick]
+    bare = value.lstrip("+")
+    return (f"00{bare}", f"{value} ext. {draw.randrange(10, 9999)}", f"{bare} x{draw.randrange(10, 9999)}", value.translate(WIDE_SIGNS), value.translate(draw.choice(OTHER_DIGITS)))[pick]
+
+
+def changed(text: str, spans: list[Span], draw: random.Random) -> tuple[str, list[Span]]:
+    """The text with each span in a changed form, and where these stand; spans that overlap an earlier one are left out."""
+    parts, out, at, size = [], [], 0, 0
+    for start, kind, end in spans:
+        if start < at:
+            continue
+        form = changed_form(kind, text[start:end], draw)
+        parts += [text[at:start], form]
+        size += start - at
+        out.append((size, kind, size + len(form)))
+        size += len(form)
+        at = end
+    return "".join([*parts, text[at:]]), out
+
+
+def labelled_windows(text: str) -> list[tuple[str, bytes, bool, bool]]:
+    """All windows with the labels of the base spans, whether they hold a digit or an at sign, and whether they are changed; then
+    those windows of the changed text that hold a span."""
+    spans = base_spans(text)
+    found = [(*w, False) for w in windows_with(text, spans)]
+    if spans:
+        found += [(*w, True) for w in windows_with(*changed(text, spans, random.Random(crc32(text.encode())))) if any(w[1])]
+    return found
 
 
-def labelled_windows(text: str) -> list[tuple[str, bytes, bool]]:
-    """All windows with the labels of the base spans, and whether they hold a digit or an at sign."""
+def windows_with(text: str, spans: list[Span]) -> list[tuple[str, bytes, bool]]:
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     labels = np.zeros(len(points) + WINDOW, np.uint8)
-    for start, kind, end in reversed(base_spans(text)):
+    for start, kind, end in reversed(spans):
         labels[start:end] = 2 * kind + 2
         labels[start] = 2 * kind + 1
     near = set(windows_of(points).tolist())
     return [(text[s : s + WINDOW], labels[s : s + WINDOW].tobytes(), s in near) for s in all_windows(points).tolist()]
 
 
-def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", train_docs: int = 2000, train_windows: int = 3000, epochs: int = 8) -> dict | None:
+def fit(
+    docs: DataFrame,
+    *,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    train_docs: int = 2000,
+    train_windows: int = 2000,
+    epochs: int = 8,
+) -> dict | None:
     """Parameters learned from the base spans of at most ``train_docs`` texts with a digit or an at sign, those of the least hashed ids.
 
-    At most ``train_windows`` windows reach the driver, half of them without a span, and half of these without a digit or an at
-    sign. None if there is nothing to learn.
+    At most ``train_windows`` windows reach the driver: a fifth each with spans, with changed forms of spans, and without a span, and two fifths without a
+    digit or an at sign. A fifth of each is kept out and sets ``sure``, the least certainty by which spans are taken: the smallest one that makes `RIGHT` of the
+    spans found there right. Spans longer than any that was learned from are never taken. None if there is nothing to learn.
     """
     named = keyed(docs, id_col, text_col)
     ids = named.filter(F.col("text").rlike("[0-9@]")).select("doc_id").orderBy(F.xxhash64("doc_id")).limit(train_docs).distinct()
@@ -188,30 +256,53 @@ def fit(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", trai
         for batch in batches:
             for part in slices(batch):
                 found = [w for t in part.column(0).to_pylist() for w in labelled_windows(t)]
+                kinds = (pa.string(), pa.binary(), pa.bool_(), pa.bool_())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([w[0] for w in found], pa.string()),
-                        pa.array([w[1] for w in found], pa.binary()),
-                        pa.array([w[2] for w in found], pa.bool_()),
-                    ],
-                    ["chars", "labels", "near"],
+                    [pa.array([w[i] for w in found], kind) for i, kind in enumerate(kinds)], ["chars", "labels", "near", "changed"]
                 )
 
     sample = named.join(F.broadcast(ids), "doc_id", "left_semi").select("text")
-    windows = cut(sample.mapInArrow(run, "chars string, labels binary, near boolean").distinct())
+    windows = cut(sample.mapInArrow(run, "chars string, labels binary, near boolean, changed boolean").distinct())
     windows = windows.withColumn("some", F.hex("labels").rlike("[1-9]"))
     order = (F.xxhash64("chars"), F.col("chars"), F.col("labels"))
-    parts = ((F.col("some"), train_windows // 2), (~F.col("some") & F.col("near"), train_windows // 4), (~F.col("near"), train_windows // 4))
-    rows = [r for asked, most in parts for r in windows.filter(asked).orderBy(*order).limit(most).collect()]
+    some, other = F.col("some"), F.col("changed")
+    parts = ((some & ~other, 1), (some & other, 1), (~some & F.col("near"), 1), (~some & ~F.col("near"), 2))
+    rows = [r for asked, share in parts for r in windows.filter(asked).orderBy(*order).limit(share * train_windows // 5).collect()]
     if not any(r["some"] for r in rows):
         return None
     padded = [np.frombuffer(r["chars"].encode("utf-32-le"), np.uint32) for r in rows]
-    chars = np.array([np.concatenate([p, np.full(WINDOW - len(p), 0xFFFFFFFF, np.uint32)]) for p in padded])
+    chars = bilstm.char_ids(np.array([np.concatenate([p, np.full(WINDOW - len(p), 0xFFFFFFFF, np.uint32)]) for p in padded]))
     gold = np.array([np.frombuffer(bytes(r["labels"]), np.uint8) for r in rows]).astype(np.int64)
     begins = gold.copy()  # a window that begins within a span begins it
     inside = (gold[:, 0] > 0) & (gold[:, 0] % 2 == 0)
     begins[inside, 0] -= 1
-    return bilstm.train(bilstm.char_ids(chars), begins, epochs=epochs)
+    kept = np.arange(len(rows)) % 5 == 4
+    params = bilstm.train(chars[~kept], begins[~kept], epochs=epochs)
+    told = {"longest": max(e - s for row in begins for s, _, e, *_ in spans_in(row, np.ones(WINDOW), 0, WINDOW + 1))}
+    return params | told | {"sure": least_sure(params, chars[kept], begins[kept], [r["chars"] for r, k in zip(rows, kept, strict=True) if k])}
+
+
+def least_sure(params: dict, chars: np.ndarray, gold: np.ndarray, texts: list[str]) -> float:
+    """The smallest of `SURES` by which enough of the spans found beside base spans are right; the greatest if none is."""
+    told: list[tuple[float, bool]] = []
+    if len(chars):
+        labels, sure = bilstm.best_paths(params, chars)
+        for i, text in enumerate(texts):
+            want = {(s, k, e) for s, k, e, *_ in spans_in(gold[i], sure[i], 0, WINDOW)}
+            base = base_spans(text)
+            for s, k, e, total, *_ in spans_in(labels[i], sure[i], 0, WINDOW):
+                if not within(base, (s, k, e)):
+                    told.append((total / (e - s), any(k == x[1] and s < x[2] and x[0] < e for x in want)))
+    for least in SURES:
+        taken = [right for how_sure, right in told if how_sure >= least]
+        if taken and sum(taken) >= RIGHT * len(taken):
+            return least
+    return SURES[-1]
+
+
+def within(base: list[Span], span: Span) -> bool:
+    """Whether a span lies in a base span of its kind."""
+    return any(b[1] == span[1] and b[0] <= span[0] and span[2] <= b[2] for b in base)
 
 
 def joined(spans: list[Span]) -> str:
@@ -219,23 +310,24 @@ def joined(spans: list[Span]) -> str:
 
 
 def merged(base: list[Span], learned: list[tuple[int, int, int, float]], sure: float) -> list[Span]:
-    """The base spans and the learned ones that are sure enough and touch none of them."""
-    more = [s[:3] for s in learned if s[3] >= sure and not any(b[0] < s[2] and s[0] < b[2] for b in base)]
-    return sorted([*base, *more])
+    """The base spans and the learned ones that are sure enough and lie in no base span of their kind."""
+    return sorted({*base, *(s[:3] for s in learned if s[3] >= sure and not within(base, s[:3]))})
 
 
-def find(docs: DataFrame, params: dict | None, *, id_col: str = "doc_id", text_col: str = "text", sure: float = SURE) -> DataFrame:
+def find(docs: DataFrame, params: dict | None, *, id_col: str = "doc_id", text_col: str = "text", sure: float | None = None) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_learned for each row, from the whole text.
 
-    Null and empty texts have no spans. Repeated rows give repeated results.
+    ``sure`` is the least certainty of a learned span, by default the one that `fit` has set. Null and empty texts have no spans. Repeated
+    rows give repeated results.
     """
     named = keyed(docs, id_col, text_col)
     kind = named.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string, n_learned bigint"
+    least = (params or {}).get("sure", SURES[-1]) if sure is None else sure
 
     def rows_of(ids: list, texts: list) -> list[list]:
         base = [base_spans(t) for t in texts]
-        every = [merged(b, more, sure) for b, more in zip(base, learned_spans(texts, params), strict=True)]
+        every = [merged(b, more, least) for b, more in zip(base, learned_spans(texts, params), strict=True)]
         counts = [[sum(s[1] == k for s in b) for b in base] for k in range(len(KINDS))]
         learned = [len(e) - len(b) for e, b in zip(every, base, strict=True)]
         return [ids, *counts, [hex_digest(joined(b)) for b in base], [joined(e) for e in every], learned]
