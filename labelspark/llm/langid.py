@@ -26,9 +26,8 @@ REMEMBERED = 300_000
 
 
 def words_of(text: str) -> list[str]:
-    """Runs of letters in lower case."""
-    found = WORDS.findall(text.lower())
-    return found if all(w.isalpha() for w in found[:8]) else [w for w in found if any(map(str.isalpha, w))]
+    """Runs of letters in lower case; a run of signs that only count as letters in part (such as raised digits) is none."""
+    return [w for w in WORDS.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
 
 
 def grams_of(word: str) -> list[str]:
@@ -94,10 +93,15 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string")) % 5 == 0, F.lit(False))
 
 
-def sampled(docs: DataFrame, rows_per_lang: int) -> DataFrame:
-    """About ``rows_per_lang`` labelled documents of each language outside the held-out fifth, by a hash of the id."""
+def sampled(docs: DataFrame, rows_per_lang: int, max_langs: int) -> DataFrame:
+    """About ``rows_per_lang`` labelled documents of each language outside the held-out fifth, by a hash of the id.
+
+    A document without an id or a language is not among them. More than ``max_langs`` languages are refused.
+    """
     labelled = docs.filter("lang IS NOT NULL AND doc_id IS NOT NULL").filter(~held_out(F.col("doc_id")))
-    counts = labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(1000).collect()
+    counts = labelled.groupBy("lang").count().orderBy("lang").limit(max_langs + 1).collect()
+    if len(counts) > max_langs:
+        raise ValueError(f"there are more than {max_langs} languages to learn; max_langs allows for more")
     share = None
     for row in counts:
         part = F.lit(min(1.0, rows_per_lang / row["count"]))
@@ -116,11 +120,13 @@ def fit(
     rows_per_lang: int = 2000,
     max_words: int = 50_000,
     max_grams: int = 50_000,
+    max_langs: int = 1000,
 ) -> Model:
     """Learn from labelled documents outside the held-out fifth.
 
     ``rows_per_lang`` bounds the labelled sample, ``max_words`` and ``max_grams`` (the most frequent, ties by text) the
-    model, which is what is sent to the tasks: at most 100,000 rows of one number per language. Rows without
+    model, which is what is sent to the tasks: at most 100,000 rows of one number per language. All languages are learned; more than
+    ``max_langs`` of them are an error. Rows without
     text, language or id teach nothing; without any labelled row the model knows no language.
     """
     named = docs.select(
@@ -149,7 +155,7 @@ def fit(
         return pa.RecordBatch.from_arrays(columns, ["lang", "token", "n"])
 
     schema = "lang string, token string, n bigint"
-    sample = sampled(named, rows_per_lang).filter("text IS NOT NULL").select("lang", "text")
+    sample = sampled(named, rows_per_lang, max_langs).filter("text IS NOT NULL").select("lang", "text")
     words = cut(sample.mapInArrow(count, schema).groupBy("lang", "token").agg(F.sum("n").alias("n")))
     grams = words.mapInArrow(spell, schema)
 

@@ -513,6 +513,76 @@ def test_language_learns_only_from_the_rest(spark, documents):
     assert langid.identify(documents([(1, "the text", None, "s")])).first()["lang_pred"] == "und"
 
 
+def test_signs_count_alike_wherever_they_stand():
+    assert langid.words_of("a b c d e f g h ² ³ x²") == ["a", "b", "c", "d", "e", "f", "g", "h", "x²"]
+    assert langid.words_of("² ³ a b c d e f") == ["a", "b", "c", "d", "e", "f"]
+
+
+def test_too_many_languages_are_refused(spark, documents):
+    docs = documents([(i, f"word{i} text", f"l{i % 12}", "s") for i in range(200)])
+    assert len(langid.fit(docs, max_langs=12).langs) == 12
+    with pytest.raises(ValueError, match="max_langs"):
+        langid.fit(docs, max_langs=11)
+
+
+def plain_language(rows, texts):
+    """Fit and prediction in plain Python, for a sample that holds all rows."""
+    from zlib import crc32
+
+    learnt = [(t, lang) for i, t, lang in rows if i is not None and t and lang and crc32(str(i).encode()) % 5]
+    words = {}
+    for text, lang in learnt:
+        for w in langid.words_of(text):
+            words.setdefault(w, {}).setdefault(lang, 0)
+            words[w][lang] += 1
+    grams = {}
+    for w, by in words.items():
+        for g in langid.grams_of(w):
+            for lang, n in by.items():
+                grams.setdefault(g, {}).setdefault(lang, 0)
+                grams[g][lang] += n
+    words = {w: by for w, by in words.items() if sum(by.values()) >= 2}
+    langs = sorted({x for t in (words, grams) for by in t.values() for x in by})
+
+    def scores(table):
+        sums = {x: sum(by.get(x, 0) for by in table.values()) + 0.5 * max(1, len(table)) for x in langs}
+        out = {}
+        for token, by in table.items():
+            logs = [math.log((by.get(x, 0) + 0.5) / sums[x]) for x in langs]
+            out[token] = [v - sum(logs) / len(logs) for v in logs]
+        return out
+
+    by_word, by_gram, told = scores(words), scores(grams), []
+    for text in texts:
+        total = [0.0] * len(langs)
+        found = langid.words_of(text or "")
+        for w in found:
+            row = by_word.get(w)
+            if row is None:
+                marked, rows_of = f"^{w}$", []
+                for i in range(len(marked)):
+                    rows_of += next(([by_gram[marked[i : i + n]]] for n in (4, 3, 2, 1) if marked[i : i + n] in by_gram), [])
+                row = [sum(c) / len(rows_of) for c in zip(*rows_of, strict=True)] if rows_of else [0.0] * len(langs)
+            total = [a + b for a, b in zip(total, row, strict=True)]
+        if not found:
+            told.append(("und", 0.0))
+        else:
+            best = max(range(len(langs)), key=lambda k: (total[k], -k))
+            told.append((langs[best], 1 / sum(math.exp(v - total[best]) for v in total)))
+    return told
+
+
+def test_language_matches_plain_python(spark, documents):
+    rows = [(i, t, lang, "s") for i, t, lang, *_ in language_rows(150)]
+    rows += [(10_000 + i, t, ["en", None][i % 2], "s") for i, t in enumerate(ODD)] + [(None, "the text of no id", "xx", "s")]
+    want = plain_language([r[:3] for r in rows], [r[1] for r in rows])
+    got = {}
+    for r in langid.identify(documents(rows)).collect():
+        got.setdefault(r["doc_id"], []).append((r["lang_pred"], r["score"]))
+    for (doc_id, *_), (lang, score) in zip(rows, want, strict=True):
+        assert any(g[0] == lang and g[1] == pytest.approx(score, abs=1e-6) for g in got[doc_id])
+
+
 def test_backoff_takes_the_longest_known_gram():
     model = langid.Model(["a", "b"], {"known": 0}, {"^": 1, "^x": 2, "xy": 3, "y": 4, "$": 5, "y$": 6})
     model.scores = np.array([[9.0, -9], [1, -1], [2, -2], [3, -3], [4, -4], [5, -5], [6, -6]])
