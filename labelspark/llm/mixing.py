@@ -17,6 +17,8 @@ SEED = 17
 #: Greatest mean that is inverted at once; a greater one is the sum of independent equal parts.
 MEAN = 8.0
 TERMS = 64
+#: Greatest rate by default: a document's copies come out of its own row, so their number has to stay that of a row's work.
+MOST_COPIES = 100_000.0
 #: Source tables up to so many rows are sent to all tasks; a row has at most some 600 bytes.
 BROADCAST_ROWS = 50_000
 
@@ -32,7 +34,7 @@ def uniform(digits: Column) -> Column:
     return F.conv(F.substring(digits, 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 
-def rates(docs: DataFrame, weights: dict | None, *, source_col: str, text_col: str, total: float | None) -> DataFrame:
+def rates(docs: DataFrame, weights: dict | None, *, source_col: str, text_col: str, total: float | None, most_copies: float = MOST_COPIES) -> DataFrame:
     """source, parts, cdf: mean copies of a source's documents as ``parts`` equal means with their distribution function."""
     source = F.col(f"`{source_col}`").alias("source")
     size = F.length(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))) + 1
@@ -48,6 +50,9 @@ def rates(docs: DataFrame, weights: dict | None, *, source_col: str, text_col: s
     sums = weighted.agg(F.sum("size").alias("size"), F.sum("weight").alias("weight")).first()
     target = float(total if total is not None else sums["size"] or 0.0)
     rate = F.col("weight") * target / float(sums["weight"] or 1.0) / F.col("size")
+    high = weighted.agg(F.max(rate).alias("rate")).first()["rate"]
+    if high is not None and high > most_copies:
+        raise ValueError(f"a source would be repeated {high:.0f} times on average, and most_copies is {most_copies:.0f}")
     parts = F.greatest(F.ceil(F.col("rate") / MEAN), F.lit(1)).cast("int")
     begin = F.struct(F.exp(-F.col("mean")).alias("p"), F.exp(-F.col("mean")).alias("sum"), F.array(F.exp(-F.col("mean"))).alias("cdf"))
     grown = F.aggregate(
@@ -83,15 +88,17 @@ def mixed(
     total: float | None = None,
     seed: int = SEED,
     keep_text: bool = True,
+    most_copies: float = MOST_COPIES,
 ) -> DataFrame:
     """The documents, each repeated by its number of copies and all of them shuffled.
 
     Returns the struct ``row`` with all columns (without the text unless ``keep_text``), ``copy`` (from 1) and
     ``shuffle_key``. ``weights`` are by source and need not add up to 1 (none: all sources alike; not named:
     0); ``total`` is the size aimed at in characters, each document counting one more (none: that of the input).
-    Null sources are one source, null texts are empty; rows that repeat an id repeat its number of copies.
+    Null sources are one source, null texts are empty; rows that repeat an id repeat its number of copies. Weights by which the
+    documents of a source would be repeated more than ``most_copies`` times on average are refused: ask for a smaller ``total``, or weigh it less.
     """
-    table = cut(rates(docs, weights, source_col=source_col, text_col=text_col, total=total))
+    table = cut(rates(docs, weights, source_col=source_col, text_col=text_col, total=total, most_copies=most_copies))
     table = table.withColumnRenamed("source", "rate_source")
     if table.count() <= BROADCAST_ROWS:
         table = F.broadcast(table)

@@ -367,6 +367,15 @@ def test_mixture_reaches_its_weights(spark, documents):
     assert mixing.mixed(documents([])).count() == 0
 
 
+def test_endless_copies_are_refused(spark, documents):
+    docs = documents([(1, "a", "en", "small"), (2, "x" * 1000, "en", "large")])
+    with pytest.raises(ValueError, match="most_copies"):
+        mixing.mixed(docs, total=3e11)
+    assert mixing.mixed(docs, {"small": 1.0, "large": 0.0}, total=4000.0).count() == pytest.approx(2000, rel=0.1)
+    with pytest.raises(ValueError, match="most_copies"):
+        mixing.mixed(docs, {"small": 1.0}, total=4000.0, most_copies=1000.0)
+
+
 def test_same_mixture_for_any_partitioning_and_without_broadcast(spark, documents, monkeypatch):
     docs = documents([(i, "x" * (i % 50), "en", f"s{i % 3}") for i in range(500)])
     key = lambda df: sorted((r["row"]["doc_id"], r["copy"], r["shuffle_key"]) for r in df.collect())
