@@ -49,6 +49,9 @@ class Federation:
     Metadata and label requests are answered from the series table alone; samples are read only
     where a request lies within one day, for the series that reach over both its ends.
 
+    The ids of up to ``broadcast_ids`` series are sent to all tasks; more are joined by
+    shuffle, which leaves the samples in place if they lie in so many ``buckets`` (`buckets.write_bucketed`).
+
     Given the label ``index`` beside the series table (`index.write_index`), selectors, label names and label values
     are resolved by it and label maps are read for the series of an answer only.
     """
@@ -63,6 +66,8 @@ class Federation:
     tiebreak: str | None = None
     series: DataFrame | None = None
     index: LabelIndex | None = None
+    broadcast_ids: int = BROADCAST_IDS
+    buckets: int = 0
 
     def __post_init__(self) -> None:
         if self.index is not None and self.series is None:
@@ -102,9 +107,14 @@ class Federation:
         """Samples of the routed sources that fit the selector, with the identity of their series."""
         if self.series is not None:
             ids = self._ids(chosen, span)
-            few = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+            few = ids.limit(self.broadcast_ids + 1).count() <= self.broadcast_ids
             rows = self.samples if samples is None else samples
-            return rows.join(F.broadcast(ids) if few else ids, list(self.keys), "left_semi")
+            if few:
+                ids = F.broadcast(ids)
+            elif self.buckets:
+                # Dealt out as the buckets are, or Spark would rather deal both sides anew for more tasks.
+                ids = ids.repartition(self.buckets, *self.keys)
+            return rows.join(ids, list(self.keys), "left_semi")
         found = federate(
             self.samples if samples is None else samples,
             self.sources,

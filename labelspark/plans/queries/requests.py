@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from labelspark.plans.tables import (
     START,
     STORED_TEXT,
 )
+from labelspark.sources.buckets import read_bucketed, write_bucketed
 from labelspark.sources.index import LabelIndex, write_store
 from labelspark.sources.store import read_samples, read_series, write_samples, write_series
 from labelspark.sources.folders import shared_dir
@@ -356,3 +358,14 @@ def metadata_exact(t):
     """Few series with samples all day long: those that pause for a quarter of an hour are not there for it."""
     few = t.by_type().drop("labels_c")
     return flat(indexed(t, few).series_metadata(selector(("__name__", "=", "event_value")), HOURS[0], HOURS[0] + 900_000))
+
+
+@query(SQL_SELECT)
+def stored_select_bucketed(t):
+    """The series request by more ids than are sent to all tasks: samples in buckets stay where they lie."""
+    place, name = shared_dir(t.spark), f"samples_{uuid.uuid4().hex}"
+    write_bucketed(t.samples(), name, f"{place}/samples", 4, ["__name__", "event_type"])
+    samples = read_bucketed(t.spark, name, START - 1, END)
+    write_series(samples, f"{place}/series")
+    fed = replace(federation(t, samples=samples), series=read_series(t.spark, f"{place}/series"), broadcast_ids=0, buckets=4)
+    return flat_chunks(fed.select_series(NOT_VIEW, START, END))

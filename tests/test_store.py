@@ -244,3 +244,51 @@ def test_sources_table(spark, tmp_path):
     path = str(tmp_path / "sources")
     config.literal_sources(spark, OWNERS).write.parquet(path)
     assert config.read_sources(spark, path).filter(F.col("external_labels")["region"] == "eu").count() == 2
+
+
+def below_exchanges(df):
+    """The lines of a plan, as it was run, that stand below a shuffle."""
+    df.collect()
+    lines, found = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].split("\n"), []
+    depth = None
+    for line in lines:
+        at = len(line) - len(line.lstrip(" :+-"))
+        if depth is not None and at <= depth:
+            depth = None
+        if depth is not None:
+            found.append(line)
+        elif "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line:
+            depth = at
+    return found
+
+
+def test_buckets_keep_samples_in_place(spark, tmp_path):
+    from dataclasses import replace
+
+    from labelspark.sources import buckets
+
+    rows = [("s", {"__name__": "up", "n": str(i)}, T0 + d * DAY + i, 1.0) for i in range(50) for d in range(3)]
+    for part in (rows[:70], rows[70:]):
+        buckets.write_bucketed(samples(spark, part), "in_buckets", f"{tmp_path}/samples", 4)
+    held = buckets.read_bucketed(spark, "in_buckets", T0 - 1, T0 + 3 * DAY)
+    store.write_series(held, f"{tmp_path}/series")
+    fed = Federation(held, config.literal_sources(spark, {"s": {}}), series=store.read_series(spark, f"{tmp_path}/series"), broadcast_ids=0, buckets=4)
+    chosen = selector(("__name__", "=", "up"), ("n", "=~", "[0-9]*3"))
+    with setting(spark, spark_sql_autoBroadcastJoinThreshold="-1", spark_sql_adaptive_autoBroadcastJoinThreshold="-1"):
+        hits = fed.hits(chosen)
+        answered = align.range_select(hits, T0, T0 + 3 * DAY, DAY // 2, DAY, fed.keys)
+        assert hits.count() == 15 and answered.count() == replace_samples(spark, fed, chosen, rows)
+        shown = hits._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in shown and not [line for line in below_exchanges(hits) if "in_buckets" in line]
+    spark.sql("DROP TABLE in_buckets")
+    buckets.open_bucketed(spark, "opened", f"{tmp_path}/samples", 4)
+    again = replace(fed, samples=buckets.read_bucketed(spark, "opened", T0 - 1, T0 + 3 * DAY))
+    assert again.hits(chosen).count() == 15 and again.hits(chosen).filter(F.col("day") == "2024-03-18").count() == 5
+    with pytest.raises(ValueError):
+        buckets.write_bucketed(samples(spark, rows), "other", f"{tmp_path}/other", 4, mode="partitions")
+
+
+def replace_samples(spark, fed, chosen, rows):
+    """How many answers the same request has without a series table."""
+    plain = Federation(samples(spark, rows), fed.sources)
+    return align.range_select(plain.hits(chosen), T0, T0 + 3 * DAY, DAY // 2, DAY, plain.keys).count()
