@@ -100,15 +100,15 @@ class Blocks:
 
     Windows begin and end at ``start + i * step`` or at ``start + i * step - window``.  These two kinds of edges cut
     each step into two parts (one if the window is a multiple of the step), and each part is cut evenly so that no
-    block is longer than MAX_BLOCK_MS.  Block ``per_step * i`` ends at grid time ``i``, whose window is the
+    block is longer than ``longest``.  Block ``per_step * i`` ends at grid time ``i``, whose window is the
     ``per_window`` blocks up to that one.
     """
 
-    def __init__(self, start: int, step: int, window: int) -> None:
+    def __init__(self, start: int, step: int, window: int, longest: int = MAX_BLOCK_MS) -> None:
         self.start, self.step = start, step
         whole, rest = divmod(window, step)
         self.lengths = [step - rest, rest] if rest else [step]
-        self.pieces = [-(-length // MAX_BLOCK_MS) for length in self.lengths]
+        self.pieces = [-(-length // longest) for length in self.lengths]
         self.per_step = sum(self.pieces)
         self.per_window = whole * self.per_step + (self.pieces[1] if rest else 0)
 
@@ -135,7 +135,11 @@ def _counter_blocks(
     points = _check_grid(start, end, step, window)
     df, keys = hashed(df, keys)
     seen = bounded(df, start - window, start + (points - 1) * step)
-    seen = seen.withColumn("k", Blocks(start, step, window).number(F.col("ts_ms")))
+    return summed_up(seen.withColumn("k", Blocks(start, step, window).number(F.col("ts_ms"))), keys, tiebreak)
+
+
+def summed_up(seen: DataFrame, keys, tiebreak: str | None = None) -> DataFrame:
+    """One row per series and block ``k`` with what a rate needs to know of its samples."""
     in_block = Window.partitionBy(*keys, "k").orderBy("ts_ms", *([tiebreak] if tiebreak else []))
     if tiebreak:
         following = F.lead("ts_ms").over(in_block)
@@ -208,11 +212,15 @@ def counter_rate(
     is no finite number shows in the windows that hold it, and in no other.
     """
     points = _check_grid(start, end, step, window)
-    blocks = Blocks(start, step, window)
-    per_step, per_window = blocks.per_step, blocks.per_window
+    found = _counter_blocks(df, start, end, step, window, keys, tiebreak)
+    return rates_of_blocks(found, Blocks(start, step, window), points, keys)
+
+
+def rates_of_blocks(blocks: DataFrame, edges: Blocks, points: int, keys) -> DataFrame:
+    """The rates at the grid times, from the rows of `summed_up` with their hash, one per series and block."""
+    start, step, per_step, per_window = edges.start, edges.step, edges.per_step, edges.per_window
     k = F.col("k")
     in_series = Window.partitionBy("_hash", *keys).orderBy("k")
-    blocks = _counter_blocks(df, start, end, step, window, keys, tiebreak)
     crossing = _rise(F.lag("last_value").over(in_series), F.col("first_value"))
     blocks = blocks.withColumn("crossing", crossing)
     blocks = blocks.withColumn("with_crossing", _combined(F.col("gain"), _sums(F.col("crossing"), lambda c: c)))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass, replace
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelspark.functions import steps
-from labelspark.operators import align, discovery, series
+from labelspark.functions.times import days
+from labelspark.operators import align, discovery, rollup, series
 from labelspark.operators.matchers import Selector
 from labelspark.operators.projection import finish_labels
 from labelspark.operators.routing import (
@@ -52,6 +53,9 @@ class Federation:
     The ids of up to ``broadcast_ids`` series are sent to all tasks; more are joined by
     shuffle, which leaves the samples in place if they lie in so many ``buckets`` (`buckets.write_bucketed`).
 
+    With stored ``rollups`` of the samples' hours (`store.write_rollups`) range and rate queries by steps of an hour or more read
+    samples only for the hours that their windows cut.
+
     Given the label ``index`` beside the series table (`index.write_index`), selectors, label names and label values
     are resolved by it and label maps are read for the series of an answer only.
     """
@@ -68,10 +72,11 @@ class Federation:
     index: LabelIndex | None = None
     broadcast_ids: int = BROADCAST_IDS
     buckets: int = 0
+    rollups: DataFrame | None = None
 
     def __post_init__(self) -> None:
-        if self.index is not None and self.series is None:
-            raise ValueError("a label index belongs beside a series table")
+        if self.series is None and (self.index is not None or self.rollups is not None):
+            raise ValueError("a label index and rollups belong beside a series table")
 
     def routed_for(self, *selectors: Selector) -> Federation:
         """Only the sources that every selector of a composed expression accepts."""
@@ -291,12 +296,30 @@ class Federation:
         lookback = self.lookback_ms if lookback_ms is None else lookback_ms
         grid, span = (start_s * 1000, end_s * 1000, step_s * 1000), (start_s * 1000 - lookback, end_s * 1000)
         hits = self.hits(chosen, span=span)
-        return self.answer(align.range_select(hits, *grid, lookback, self.keys, self.tiebreak), chosen, span)
+        if self._by_hours(grid[2]):
+            found = rollup.range_select(self._hours(chosen, span), hits, *grid, lookback, self.keys, self.tiebreak)
+        else:
+            found = align.range_select(hits, *grid, lookback, self.keys, self.tiebreak)
+        return self.answer(found, chosen, span)
+
+    def _by_hours(self, step_ms: int) -> bool:
+        return self.rollups is not None and step_ms >= rollup.HOUR_MS
+
+    def _hours(self, chosen: Selector, span: Span) -> DataFrame:
+        """The stored hours of the series that fit, on the days of a range and the one before."""
+        after = None if span[0] is None else span[0] - rollup.HOUR_MS
+        kept = [*days(after, span[1])]
+        rows = self.rollups.filter(reduce(Column.__and__, kept)) if kept else self.rollups
+        return self.hits(chosen, rows, span)
 
     def rate(self, chosen: Selector, start_s: int, end_s: int, step_s: int, window_ms: int) -> DataFrame:
         grid, span = (start_s * 1000, end_s * 1000, step_s * 1000), (start_s * 1000 - window_ms, end_s * 1000)
         hits = self.hits(chosen, span=span)
-        return self.answer(align.counter_rate(hits, *grid, window_ms, self.keys, self.tiebreak), chosen, span)
+        if self._by_hours(grid[2]):
+            found = rollup.counter_rate(self._hours(chosen, span), hits, *grid, window_ms, self.keys, self.tiebreak)
+        else:
+            found = align.counter_rate(hits, *grid, window_ms, self.keys, self.tiebreak)
+        return self.answer(found, chosen, span)
 
     def irate(self, chosen: Selector, start_s: int, end_s: int, step_s: int, window_ms: int) -> DataFrame:
         grid, span = (start_s * 1000, end_s * 1000, step_s * 1000), (start_s * 1000 - window_ms, end_s * 1000)

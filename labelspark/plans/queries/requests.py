@@ -32,7 +32,7 @@ from labelspark.plans.tables import (
 )
 from labelspark.sources.buckets import read_bucketed, write_bucketed
 from labelspark.sources.index import LabelIndex, write_store
-from labelspark.sources.store import read_samples, read_series, write_samples, write_series
+from labelspark.sources.store import read_rollups, read_samples, read_series, write_rollups, write_samples, write_series
 from labelspark.sources.folders import shared_dir
 
 NOT_VIEW = selector(("__name__", "=", "event_value"), ("region", "=", "eu"), ("event_type", "!=", "view"))
@@ -369,3 +369,43 @@ def stored_select_bucketed(t):
     write_series(samples, f"{place}/series")
     fed = replace(federation(t, samples=samples), series=read_series(t.spark, f"{place}/series"), broadcast_ids=0, buckets=4)
     return flat_chunks(fed.select_series(NOT_VIEW, START, END))
+
+
+# -- from stored hours
+
+
+def rolled_up(t):
+    samples, table = stored(t)
+    place = shared_dir(t.spark)
+    write_rollups(samples, place, START - DAY, END + DAY)
+    return replace(federation(t, samples=samples), series=table, rollups=read_rollups(t.spark, place))
+
+
+SHIFT = 1234
+SQL_SHIFTED_RATES = SQL_RATES.replace(f"SELECT {START} + i", f"SELECT {START + 1000 * SHIFT} + i")
+
+
+@query(SQL_SHIFTED_RATES)
+def rate_from_blocks(t):
+    """Rates from the summaries of hours; the grid cuts an hour in six, whose samples are read."""
+    answer = rolled_up(t).rate(RATES, START // 1000 + SHIFT, END // 1000 + SHIFT, RATE_STEP // 1000, RATE_WINDOW)
+    return flat(answer, "ts_ms", F.round("value", 9).alias("value"))
+
+
+@query(SQL_RATES)
+def rate_from_whole_blocks(t):
+    """The grid is one of whole hours, so no samples are read."""
+    return rates(rolled_up(t))
+
+
+LATE = 7 * 3600
+
+
+@query(
+    f"""WITH {SQL_BOTH.replace("s AS (SELECT * FROM v", "a AS (SELECT * FROM v")}, {SQL_EXTERNAL},
+    s AS (SELECT a.* FROM a JOIN x USING (source) WHERE {SQL_NOT_VIEW}), {sql_grid(SERIES, LATE * 1000, 2 * DAY)}
+    SELECT source, {FINAL_TEXT} AS labels_s, at_ms AS ts_ms, value FROM g JOIN x USING (source)"""
+)
+def range_from_blocks(t):
+    """The last samples of hours answer for a grid of seven hours and a lookback of two days."""
+    return flat(rolled_up(t).query_range(NOT_VIEW, START // 1000, END // 1000, LATE, 2 * DAY), "ts_ms", "value")

@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from labelspark.functions import labels as L
-from labelspark.functions.times import bounded, day_of
+from labelspark.functions.times import DAY_MS, bounded, day_of
+from labelspark.operators import rollup
 from labelspark.operators.series import series_table, with_identity
 
 
@@ -169,3 +170,20 @@ def series_labels(series: DataFrame, *more: Column) -> DataFrame:
     sets = series.select("source", *SERIES_ID, L.canonical(F.col("labels")).alias("labels_c")).distinct()
     per_id = sets.groupBy("source", *SERIES_ID).agg(F.first("labels_c").alias("labels_c"), *more)
     return per_id.withColumn("labels", F.map_from_entries("labels_c")).drop("labels_c")
+
+
+def write_rollups(samples: DataFrame, path: str, first: int, last: int, tiebreak: str | None = None) -> None:
+    """Summaries of the hours of some days, which replace those stored: see `rollup.hourly`.
+
+    ``first`` and ``last`` are times on the first and the last of the days.  Late samples change an hour as a whole, so the days that they
+    came to are summed up anew from all their samples.
+    """
+    begin, end = first // DAY_MS * DAY_MS, (last // DAY_MS + 1) * DAY_MS
+    hours = rollup.hourly(bounded(samples, begin, end), ("source", *SERIES_ID), tiebreak)
+    hours = hours.withColumn("day", day_of(F.col("hour") * rollup.HOUR_MS))
+    ordered = hours.hint("rebalance", "source", "day").sortWithinPartitions("source", "day", *SERIES_ID, "hour")
+    writer(ordered, "partitions").partitionBy("source", "day").parquet(path)
+
+
+def read_rollups(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
