@@ -5,8 +5,9 @@ from __future__ import annotations
 from datetime import timedelta
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 from labelspark.functions import labels as L
 from labelspark.functions.steps import SAMPLES_PER_CHUNK
@@ -212,12 +213,35 @@ def chunks_of_series(chunks: DataFrame, keys=KEYS) -> DataFrame:
     return chunks.groupBy(*keys).agg(F.sort_array(F.collect_list(chunk)).alias("chunks"))
 
 
+TIES = ("labels_c", "id_hi", "id_lo")
+
+
 def limit_series(series: DataFrame, limit: int) -> DataFrame:
     """The first ``limit`` of the sorted series; no limit if not positive.
 
     Stored labels, or the series id, decide between rows with equal final
     labels and source.
     """
-    ties = [c for c in ("labels_c", "id_hi", "id_lo") if c in series.columns]
+    ties = [c for c in TIES if c in series.columns]
     ordered = series.withColumn("labels_f", L.canonical(F.col("labels"))).orderBy("labels_f", "source", *ties)
     return (ordered.limit(limit) if limit > 0 else ordered).drop("labels_f")
+
+
+def page_of(series: DataFrame, size: int, after: Row | None = None) -> DataFrame:
+    """The first ``size`` series after a cursor in the order of `limit_series`, with the cursor of each."""
+    ties = [c for c in TIES if c in series.columns]
+    placed = series.withColumn("cursor", F.struct(L.canonical(F.col("labels")).alias("labels_f"), "source", *ties))
+    if after is not None:
+        placed = placed.filter(F.col("cursor") > _literal(after, placed.schema["cursor"].dataType))
+    return placed.orderBy("cursor").limit(size)
+
+
+def _literal(value, kind: DataType) -> Column:
+    """A nested value as a column."""
+    if value is None:
+        return F.lit(None).cast(kind)
+    if isinstance(kind, StructType):
+        return F.struct(*[_literal(value[f.name], f.dataType).alias(f.name) for f in kind])
+    if isinstance(kind, ArrayType):
+        return F.array(*[_literal(v, kind.elementType) for v in value]).cast(kind)
+    return F.lit(value).cast(kind)

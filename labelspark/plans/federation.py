@@ -6,11 +6,11 @@ from collections.abc import Iterable
 from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from labelspark.functions import steps
-from labelspark.functions.times import days
+from labelspark.functions.times import bounded, days
 from labelspark.operators import align, discovery, rollup, series
 from labelspark.operators.matchers import Selector
 from labelspark.operators.projection import finish_labels
@@ -56,6 +56,9 @@ class Federation:
     With stored ``rollups`` of the samples' hours (`store.write_rollups`) range and rate queries by steps of an hour or more read
     samples only for the hours that their windows cut.
 
+    With the ``latest`` sample of each series (`latest.latest_samples`) an instant query reads samples only of those
+    series that have a later one than the time asked for.
+
     Given the label ``index`` beside the series table (`index.write_index`), selectors, label names and label values
     are resolved by it and label maps are read for the series of an answer only.
     """
@@ -73,10 +76,11 @@ class Federation:
     broadcast_ids: int = BROADCAST_IDS
     buckets: int = 0
     rollups: DataFrame | None = None
+    latest: DataFrame | None = None
 
     def __post_init__(self) -> None:
-        if self.series is None and (self.index is not None or self.rollups is not None):
-            raise ValueError("a label index and rollups belong beside a series table")
+        if self.series is None and not (self.index is self.rollups is self.latest is None):
+            raise ValueError("a label index, rollups and latest samples belong beside a series table")
 
     def routed_for(self, *selectors: Selector) -> Federation:
         """Only the sources that every selector of a composed expression accepts."""
@@ -207,6 +211,37 @@ class Federation:
         named = self.finish(chunks, replica, chosen, span)
         return series.limit_series(named, limit).select("source", "labels", "chunks")
 
+    def series_page(
+        self,
+        chosen: Selector,
+        start: int,
+        end: int,
+        size: int,
+        after: Row | None = None,
+        *,
+        step_ms: int = 0,
+        replica: Iterable[str] = (),
+    ) -> DataFrame:
+        """The next ``size`` series after a cursor, in label order, with a ``cursor`` on each row.
+
+        The cursor of the last row of a page is where the next one goes on; series that come or leave in between
+        move no other.  The order is found by keys alone, and samples are read for the series of the page.
+        """
+        if size < 1:
+            raise ValueError("a page holds at least one series")
+        series.check_range(start, end)
+        require_own_matcher(self.sources, chosen)
+        step = steps.grid_step_ms(steps.plan_step(start, end, 0, step_ms, self.fallback_step_ns, self.max_points))
+        span = (start - self.lookback_ms, end)
+        hits = self.hits(chosen, span=span)
+        answered = align.answered(hits, start, end, step, self.lookback_ms, self.keys)
+        page = series.page_of(self.finish(answered, replica, chosen, span), size, after)
+        page = page.select(*self.keys, "labels", "cursor")
+        few = hits.join(page.select(*self.keys), list(self.keys), "left_semi")
+        on_grid = align.range_select(few, start, end, step, self.lookback_ms, self.keys, self.tiebreak)
+        chunks = series.chunks_of_series(series.chunk_grid(on_grid, self.keys), self.keys)
+        return page.join(chunks, list(self.keys)).orderBy("cursor").select("source", "labels", "chunks", "cursor")
+
     # -- label requests ----------------------------------------------------
 
     def label_names(
@@ -285,9 +320,19 @@ class Federation:
     def query(self, chosen: Selector, at_s: int, lookback_ms: int | None = None) -> DataFrame:
         """Latest sample per series at one time (whole seconds)."""
         lookback = self.lookback_ms if lookback_ms is None else lookback_ms
-        span = (at_s * 1000 - lookback, at_s * 1000)
-        hits = self.hits(chosen, span=span)
-        return self.answer(align.instant_select(hits, at_s * 1000, lookback, self.keys, self.tiebreak), chosen, span)
+        at = at_s * 1000
+        span = (at - lookback, at)
+        if self.latest is None:
+            found = align.instant_select(self.hits(chosen, span=span), at, lookback, self.keys, self.tiebreak)
+            return self.answer(found, chosen, span)
+        known = self.hits(chosen, bounded(self.latest, *span), span)
+        found = align.instant_select(known, at, lookback, self.keys)
+        later = self.latest.filter(F.col("ts_ms") > at).select(*self.keys)
+        if not later.isEmpty():
+            # These series may have samples within the lookback that are no longer their last.
+            past = self.hits(chosen, span=span).join(later, list(self.keys), "left_semi")
+            found = found.unionByName(align.instant_select(past, at, lookback, self.keys, self.tiebreak))
+        return self.answer(found, chosen, span)
 
     def query_range(
         self, chosen: Selector, start_s: int, end_s: int, step_s: int, lookback_ms: int | None = None

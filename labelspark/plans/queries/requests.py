@@ -237,8 +237,7 @@ def null_external(t):
     return flat(fed.series_metadata(selector(("__name__", "=", "event_value")), START, END))
 
 
-@query(
-    f"""WITH {SQL_BOTH.replace("s AS (SELECT * FROM v", "a AS (SELECT * FROM v")}, {SQL_EXTERNAL},
+SQL_SELECT_LIMIT = f"""WITH {SQL_BOTH.replace("s AS (SELECT * FROM v", "a AS (SELECT * FROM v")}, {SQL_EXTERNAL},
     s AS (SELECT a.* FROM a JOIN x USING (source) WHERE {SQL_NOT_VIEW}), {sql_grid(SERIES, STEP, LOOKBACK)},
     k AS (SELECT DISTINCT {SERIES}, ext_prom, ext_region FROM g JOIN x USING (source)),
     l AS (SELECT * FROM k ORDER BY {SQL_PAIRS}, source, {SQL_STORED_PAIRS} LIMIT 40),
@@ -247,7 +246,9 @@ def null_external(t):
            min(at_ms) OVER (PARTITION BY {SERIES}, chunk) AS min_time,
            max(at_ms) OVER (PARTITION BY {SERIES}, chunk) AS max_time
     FROM n SEMI JOIN l ON {" AND ".join(f"n.{c} IS NOT DISTINCT FROM l.{c}" for c in SERIES.split(", "))} JOIN x USING (source)"""
-)
+
+
+@query(SQL_SELECT_LIMIT)
 def series_select_limit(t):
     """The first series are chosen by their labels before any samples are chunked."""
     return flat_chunks(federation(t).select_series(NOT_VIEW, START, END, limit=40))
@@ -409,3 +410,18 @@ LATE = 7 * 3600
 def range_from_blocks(t):
     """The last samples of hours answer for a grid of seven hours and a lookback of two days."""
     return flat(rolled_up(t).query_range(NOT_VIEW, START // 1000, END // 1000, LATE, 2 * DAY), "ts_ms", "value")
+
+
+# -- pages
+
+
+SQL_PAGE = SQL_SELECT_LIMIT.replace("LIMIT 40", "LIMIT 15 OFFSET 15")
+
+
+@query(SQL_PAGE)
+def series_page_2(t):
+    """The second page of a series request, from the cursor of the first."""
+    fed = federation(t)
+    first = fed.series_page(NOT_VIEW, START, END, 15)
+    last = first.agg(F.max("cursor").alias("cursor")).first()["cursor"]
+    return flat_chunks(fed.series_page(NOT_VIEW, START, END, 15, last))

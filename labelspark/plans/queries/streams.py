@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from labelspark.operators.projection import with_text
 from labelspark.plans.queries.discovery import ANNOUNCED, SQL_ANNOUNCED
-from labelspark.plans.queries.requests import NOT_VIEW, SQL_NOT_VIEW
+from labelspark.plans.queries.ranges import SERIES
+from labelspark.plans.queries.requests import NOT_VIEW, SQL_NOT_VIEW, federation, flat, stored
 from labelspark.plans.registry import query
 from labelspark.plans.tables import DAY, DROPPED, END, EXTERNAL_NAMES, FINAL_TEXT, SQL_EXTERNAL, SQL_VALUES, START, Tables
 from labelspark.sources.folders import remove, shared_dir
 from labelspark.streaming.attach import attached, stream_attach
 from labelspark.streaming.expiry import STATE_STORE, living, living_log, stream_living
+from labelspark.streaming.latest import latest_log, latest_samples, stream_latest
 from labelspark.streaming.refresh import announced_at, announced_log, refresh_announced, stream_announced
 from labelspark.streaming.versions import VersionedTable
 
@@ -177,3 +181,20 @@ def stream_label_resume(t):
             continue
     out.compact()
     return with_text(out.current()).select("event_id", "source", "labels_s", "ts_ms", "value")
+
+
+@query(
+    f"""WITH {SQL_VALUES}, {SQL_EXTERNAL}, i AS (
+      SELECT {SERIES}, ext_prom, ext_region, arg_max(value, ts_ms) AS value FROM s JOIN x USING (source)
+      WHERE {SQL_NOT_VIEW} AND ts_ms > {END - 31 * DAY} AND ts_ms <= {END} GROUP BY ALL)
+    SELECT source, {FINAL_TEXT} AS labels_s, CAST({END} AS BIGINT) AS ts_ms, value FROM i"""
+)
+def instant_latest(t):
+    """An instant query at the present from the latest samples, kept by batches whose samples come in no order."""
+    place = shared_dir(t.spark)
+    t.values().repartition(3, "event_id").write.parquet(f"{place}/in")
+    table = latest_log(t.spark, f"{place}/latest", fan=2)
+    stream_latest(arriving(t, f"{place}/in"), table, f"{place}/checkpoint", once=True).awaitTermination()
+    samples, series = stored(t)
+    fed = replace(federation(t, samples=samples), series=series, latest=latest_samples(table))
+    return flat(fed.query(NOT_VIEW, END // 1000, 31 * DAY), "ts_ms", "value")
