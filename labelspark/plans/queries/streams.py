@@ -7,14 +7,17 @@ from dataclasses import replace
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from labelspark.functions import labels as L
+from labelspark.functions.steps import SAMPLES_PER_CHUNK
 from labelspark.operators.projection import with_text
 from labelspark.plans.queries.discovery import ANNOUNCED, SQL_ANNOUNCED
-from labelspark.plans.queries.ranges import SERIES
+from labelspark.plans.queries.ranges import SERIES, SQL_CHUNKS, samples_text
 from labelspark.plans.queries.requests import NOT_VIEW, SQL_NOT_VIEW, federation, flat, stored
 from labelspark.plans.registry import query
 from labelspark.plans.tables import DAY, DROPPED, END, EXTERNAL_NAMES, FINAL_TEXT, SQL_EXTERNAL, SQL_VALUES, START, Tables
 from labelspark.sources.folders import remove, shared_dir
 from labelspark.streaming.attach import attached, stream_attach
+from labelspark.streaming.chunks import chunk_log, chunks_of, merge_chunks
 from labelspark.streaming.expiry import STATE_STORE, living, living_log, stream_living
 from labelspark.streaming.latest import latest_log, latest_samples, stream_latest
 from labelspark.streaming.refresh import announced_at, announced_log, refresh_announced, stream_announced
@@ -198,3 +201,23 @@ def instant_latest(t):
     samples, series = stored(t)
     fed = replace(federation(t, samples=samples), series=series, latest=latest_samples(table))
     return flat(fed.query(NOT_VIEW, END // 1000, 31 * DAY), "ts_ms", "value")
+
+
+@query(
+    f"""WITH {SQL_VALUES.replace("s AS (", "a AS (", 1)},
+    s AS (SELECT source, event_type, ts_ms, 0 AS event_id,
+        arg_max(value, CASE WHEN event_id % 3 = 0 THEN 1000000000 ELSE 0 END + event_id) AS value FROM a GROUP BY ALL),
+    c AS (SELECT *, (row_number() OVER (PARTITION BY source, event_type ORDER BY ts_ms) - 1) // {SAMPLES_PER_CHUNK} AS chunk FROM s) {SQL_CHUNKS}"""
+)
+def chunks_merged(t):
+    """Two thirds of the samples are chunked, the others come later and all over: the chunks are those of all at once."""
+    table = chunk_log(t.spark, f"{shared_dir(t.spark)}/chunks")
+    samples = t.by_type().drop("labels_c")
+    late = F.col("event_id") % 3 == 0
+    for part in (samples.filter(~late), samples.filter(late)):
+        merge_chunks(table, part, tiebreak="event_id")
+    chunks = chunks_of(table)
+    shown = chunks.select("source", L.text(F.col("labels")).alias("labels_s"), "chunk", "min_time", "max_time", "samples")
+    return shown.select(
+        "source", "labels_s", "chunk", "min_time", "max_time", F.size("samples").cast("bigint").alias("n"), samples_text().alias("samples_s")
+    )
