@@ -46,8 +46,11 @@ IMPLIED = {
 
 # What names and roles tell.
 MAIN = frozenset({"article", "main"})
-AROUND = frozenset({"nav", "footer", "aside", "form", "menu", "dialog"})
-ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar form".split())
+AROUND = frozenset({"nav", "footer", "aside", "menu"})
+ROLES = frozenset("navigation banner contentinfo complementary search alert menu menubar".split())
+#: Elements and roles that surround the main text mostly, but are put around whole pages, too, as hidden elements are.
+MAY_HOLD = frozenset({"form", "dialog"})
+MAY_HOLD_ROLES = frozenset({"form", "dialog", "alertdialog"})
 MARKED = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion sidebar aside nav navbar navigation "
     "menu breadcrumb breadcrumbs masthead footer cookie cookies consent gdpr popup modal overlay comment comments respond disqus "
@@ -67,7 +70,12 @@ ATTRIBUTES = re.compile(r"""([^\s=/"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"']+))?""
 NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 SPACE = re.compile(r"\s+")
 ENDS = re.compile(r"[.!?…:;。！？][\"'”’»)\]]*$")
-NOTICES = re.compile(r"©|\(c\)|\bcopyright\b|\bcookies?\b|\ball rights reserved\b|\bsubscribe\b|\bnewsletter\b", re.IGNORECASE)
+NOTICES = re.compile(
+    r"©|\(c\)|\bcopyright\b|\bcookies?\b|\bsubscribe\b|\bnewsletter\b|\ball rights reserved\b|\bprivacy policy\b"
+    r"|\balle rechte vorbehalten\b|\bimpressum\b|\bdatenschutz(?:erklärung|hinweise?)?\b|\btous droits réservés\b|\bmentions légales\b"
+    r"|\bpolitique de confidentialité\b|\btodos los derechos reservados\b|\baviso legal\b|\bpolítica de privacidad\b",
+    re.IGNORECASE,
+)
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 # Weights of the classifier and prices of the cut.
@@ -118,16 +126,19 @@ def tells(names: set[str]) -> bool:
 
 
 def marked(tag: str, given: str, in_main: bool) -> int:
-    """Whether an element's tag or role (SURELY) or its classes (BY_NAME) say that it surrounds the main text."""
+    """Whether an element's tag or role say that it surrounds the main text (SURELY), or its classes, or a tag, role or style that whole pages are wrapped in as well
+    (BY_NAME): these have a price that what they hold can outweigh."""
     if tag in AROUND or (tag == "header" and not in_main):
         return SURELY
+    if tag in MAY_HOLD:
+        return BY_NAME
     if "=" not in given and "hidden" not in given or tag in ("html", "body", "article", "main"):
         return NO
     found = attributes(given)
-    if "hidden" in found or found.get("aria-hidden") == "true" or HIDDEN.search(found.get("style", "")):
-        return SURELY
     if found.get("role", "") in ROLES:
         return SURELY
+    if "hidden" in found or found.get("aria-hidden") == "true" or HIDDEN.search(found.get("style", "")) or found.get("role", "") in MAY_HOLD_ROLES:
+        return BY_NAME
     names = named(found)
     if tells(names) or names & MARKED_OUTSIDE and not in_main and not names & OWN:
         return BY_NAME

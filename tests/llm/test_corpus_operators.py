@@ -253,6 +253,44 @@ def test_names_on_wrappers_do_not_decide_alone():
     assert html_text.main_text(f'<div id="page" class="menu-open">{inner}<div id="comments">{replies}</div></div>') == wanted
 
 
+PROSE = "The river rose for three days and the lower town was flooded before anyone had time to leave."
+MORE = "People came back in boats to fetch what they could, and slept in the school until the water fell."
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        '<form id="aspnetForm" method="post" action="./">{}</form>',
+        '<div style="visibility:hidden" class="js-load">{}</div>',
+        '<div aria-hidden="true">{}</div>',
+        '<div role="dialog">{}</div>',
+        "<dialog open>{}</dialog>",
+    ],
+)
+@pytest.mark.parametrize("inside", ["<main>{}</main>", "<article>{}</article>", "<div>{}</div>"])
+def test_wrappers_of_whole_pages_do_not_decide_alone(around, inside):
+    article = f"<h1>The flood</h1><p>{PROSE}</p><p>{MORE}</p>"
+    small = '<form class="signup"><p>Subscribe to our newsletter, and get all the news of the town each morning.</p></form>'
+    page = f"<html><body>{around.format(small + inside.format(article))}<footer><p>© The Town</p></footer></body></html>"
+    assert html_text.main_text(page) == f"The flood\n\n{PROSE}\n\n{MORE}"
+
+
+def test_the_same_elements_beside_an_article_go():
+    article = f"<div><h1>The flood</h1><p>{PROSE}</p><p>{MORE}</p></div>"
+    text = "<p>Write your name and what you think of us in this box, and we will be back soon.</p>"
+    for beside in (f"<form>{text}</form>", f"<div hidden>{text}</div>", f'<div style="display:none">{text}</div>', f'<div role="dialog">{text}</div>', f"<dialog>{text}</dialog>"):
+        assert html_text.main_text(f"<body>{beside}{article}</body>") == html_text.main_text(f"<body>{article}{beside}</body>") == f"The flood\n\n{PROSE}\n\n{MORE}"
+
+
+def test_notices_in_four_languages_go():
+    for notice in (
+        "All rights reserved, see our privacy policy.", "Alle Rechte vorbehalten, Impressum und Datenschutz finden Sie hier.",
+        "Tous droits réservés, mentions légales ci-dessous.", "Todos los derechos reservados, consulte el aviso legal.",
+    ):
+        page = f"<body><div><h1>The flood</h1><p>{PROSE}</p><p>{MORE}</p></div><div><p>{notice}</p></div></body>"
+        assert html_text.main_text(page) == f"The flood\n\n{PROSE}\n\n{MORE}"
+
+
 def test_given_pages(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     for row in html_text.extract(pages).join(pages.drop("url"), "page_id").collect():
