@@ -172,25 +172,33 @@ def scores_of(params: dict, ids: np.ndarray) -> np.ndarray:
     return np.matmul(last[:, :h], out[0]) + np.matmul(last[:, h:], out[1]) + params["bias"][:, None]
 
 
-def beats_nothing(scores: np.ndarray, moves: np.ndarray) -> np.ndarray:
+def beats(scores: np.ndarray, moves: np.ndarray, at_once: int = 512) -> np.ndarray:
     """True for the windows of (l, k, n) scores in which some path scores more than O everywhere.
 
-    The recursion of best paths, over gains against O and without ways back.
+    The recursion of best paths, over gains against O and without ways back; a few windows at a time, so that all stays in
+    the processor's cache.
     """
-    gains = scores - scores[:, :1]
     moves = (moves - moves[0, 0]).astype(np.float32)
-    begins = [0, *range(1, len(LABELS), 2)]
-    into = moves[:, begins][:, :, None]
-    first, inner = np.arange(1, len(LABELS), 2), np.arange(2, len(LABELS), 2)
-    from_first, from_inner = moves[first, inner][:, None], moves[inner, inner][:, None]
-    best = gains[0] + start_scores()[:, None]
-    for t in range(1, len(scores)):
-        after = np.empty_like(best)
-        after[begins] = (best[:, None, :] + into).max(axis=0)
-        np.maximum(best[first] + from_first, best[inner] + from_inner, out=after[inner[0] :: 2])
-        after += gains[t]
-        best = after
-    return best.max(axis=0) > 0
+    first, inner = slice(1, None, 2), slice(2, None, 2)
+    into = [(j, np.ascontiguousarray(moves[:, j])[:, None]) for j in (0, *range(1, len(LABELS), 2))]
+    from_first, from_inner = (np.diagonal(moves[part, inner]).copy()[:, None] for part in (first, inner))
+    found = np.empty(scores.shape[2], bool)
+    for at in range(0, scores.shape[2], at_once):
+        part = scores[:, :, at : at + at_once]
+        gains = part - part[:, :1]
+        best = gains[0] + start_scores()[:, None]
+        after, ways, more = np.empty_like(best), np.empty_like(best), np.empty_like(best[first])
+        for t in range(1, len(gains)):
+            for j, column in into:
+                np.add(best, column, out=ways)
+                np.maximum.reduce(ways, axis=0, out=after[j])
+            np.add(best[first], from_first, out=more)
+            np.add(best[inner], from_inner, out=after[inner])
+            np.maximum(after[inner], more, out=after[inner])
+            after += gains[t]
+            best, after = after, best
+        found[at : at + at_once] = best.max(axis=0) > 0
+    return found
 
 
 def _logsum(x: np.ndarray, axis: int) -> np.ndarray:
@@ -270,12 +278,12 @@ def train(ids: np.ndarray, gold: np.ndarray, *, epochs: int = 5, batch: int = 64
 def best_paths(params: dict, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Most likely labels (n, l) of windows and the probability of each label where it stands (1 for windows all O).
 
-    Most windows are all O, which `beats_nothing` proves; only the others are decoded.
+    Most windows are all O, which `beats` proves; only the others are decoded.
     """
     every = scores_of(params, ids)
     moves = params["moves"] + allowed()
     labels, sure = np.zeros(ids.shape, np.int64), np.ones(ids.shape, np.float32)
-    some = np.flatnonzero(beats_nothing(every, moves))
+    some = np.flatnonzero(beats(every, moves))
     if len(some):
         scores = np.ascontiguousarray(every[:, :, some].transpose(0, 2, 1))
         labels[some] = decoded(scores, moves)

@@ -155,7 +155,7 @@ def test_paths_and_sums_match_enumeration(seed):
     scores = draw.normal(0, 2, (4, 12, k)).astype(np.float32)
     scores[:, :, 0] += draw.choice([0, 3, 6], 12)
     moves = draw.normal(0, 1, (k, k)).astype(np.float32) + bilstm.allowed()
-    labels, beats = bilstm.decoded(scores, moves), bilstm.beats_nothing(np.ascontiguousarray(scores.transpose(0, 2, 1)), moves)
+    labels, beats = bilstm.decoded(scores, moves), bilstm.beats(np.ascontiguousarray(scores.transpose(0, 2, 1)), moves, at_once=5)
     to, back, whole = bilstm.forward_backward(scores, moves)
     for i in range(12):
         paths = dict(all_paths(scores[:, i], moves))
