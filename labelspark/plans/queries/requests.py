@@ -33,7 +33,7 @@ from labelspark.plans.tables import (
 from labelspark.sources.buckets import read_bucketed, write_bucketed
 from labelspark.sources.index import LabelIndex, write_store
 from labelspark.sources.store import read_rollups, read_samples, read_series, write_rollups, write_samples, write_series
-from labelspark.sources.folders import shared_dir
+from labelspark.sources.folders import exists, shared_base, shared_dir
 
 NOT_VIEW = selector(("__name__", "=", "event_value"), ("region", "=", "eu"), ("event_type", "!=", "view"))
 SQL_NOT_VIEW = "metric = 'event_value' AND ext_region = 'eu' AND event_type <> 'view'"
@@ -150,13 +150,29 @@ def rate_query(t):
     return rates(federation(t))
 
 
+#: Folders that this session has written, by scale and content: several queries read the same store.
+_WRITTEN: dict[tuple[str, ...], str] = {}
+
+
+def written_once(t, what, write):
+    """The folder of a store in the shared folder, written by the first query of the session that needs it."""
+    key = (t.spark.sparkContext.applicationId, t.sf_dir, shared_base(t.spark), what)
+    if key not in _WRITTEN or not exists(t.spark, _WRITTEN[key]):
+        place = shared_dir(t.spark)
+        write(place)
+        _WRITTEN[key] = place
+    return _WRITTEN[key]
+
+
 def stored(t):
     """Both metrics as a sample table with its series table, in the shared folder."""
-    place = shared_dir(t.spark)
-    write_samples(t.samples(), f"{place}/samples", hot=["__name__", "event_type", "prometheus", "region"])
-    samples = read_samples(t.spark, f"{place}/samples", START - 1, END)
-    write_series(samples, f"{place}/series")
-    return samples, read_series(t.spark, f"{place}/series")
+
+    def write(place):
+        write_samples(t.samples(), f"{place}/samples", hot=["__name__", "event_type", "prometheus", "region"])
+        write_series(read_samples(t.spark, f"{place}/samples", START - 1, END), f"{place}/series")
+
+    place = written_once(t, "stored", write)
+    return read_samples(t.spark, f"{place}/samples", START - 1, END), read_series(t.spark, f"{place}/series")
 
 
 @query(SQL_RATES)
@@ -292,8 +308,12 @@ def store_append(t):
 
 def indexed(t, samples=None):
     """Samples with their series table and label index, in the shared folder."""
-    place = shared_dir(t.spark)
-    write_store(t.samples() if samples is None else samples, place, hot=["__name__", "event_type"])
+    hot = ["__name__", "event_type"]
+    if samples is None:
+        place = written_once(t, "indexed", lambda place: write_store(t.samples(), place, hot=hot))
+    else:
+        place = shared_dir(t.spark)
+        write_store(samples, place, hot=hot)
     found = read_samples(t.spark, f"{place}/samples", START - 1, END)
     return replace(
         federation(t, samples=found),
@@ -377,8 +397,7 @@ def stored_select_bucketed(t):
 
 def rolled_up(t):
     samples, table = stored(t)
-    place = shared_dir(t.spark)
-    write_rollups(samples, place, START - DAY, END + DAY)
+    place = written_once(t, "hours", lambda place: write_rollups(samples, place, START - DAY, END + DAY))
     return replace(federation(t, samples=samples), series=table, rollups=read_rollups(t.spark, place))
 
 
