@@ -27,7 +27,8 @@ REMEMBERED = 300_000
 
 def words_of(text: str) -> list[str]:
     """Runs of letters in lower case; a run of signs that only count as letters in part (such as raised digits) is none."""
-    return [w for w in WORDS.findall(text.lower()) if w.isalpha() or any(map(str.isalpha, w))]
+    found = WORDS.findall(text.lower())
+    return found if "".join(found).isalpha() else [w for w in found if any(map(str.isalpha, w))]
 
 
 def grams_of(word: str) -> list[str]:
