@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labelspark.sources.folders import shared_base
+
 #: White space between words: space, tab, line feed, vertical tab, form feed, carriage return.
 BLANKS = r"[\x20\x09-\x0D]"
 
@@ -57,10 +59,9 @@ def slices(batch: pa.RecordBatch, rows: int = 1000) -> Iterator[pa.RecordBatch]:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
 
-    Where that is unset, as in tests, it is one below the warehouse, which is shared storage as well.
+    Where that is unset, as in tests, it is one below the warehouse; a local warehouse is refused on a cluster.
     """
-    own = spark.conf.get("spark.checkpoint.dir", None)
-    return (own or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
+    return shared_base(spark) + ("" if spark.conf.get("spark.checkpoint.dir", None) else "/_shared")
 
 
 def cut(df: DataFrame) -> DataFrame:
