@@ -100,11 +100,12 @@ class Blocks:
 
     Windows begin and end at ``start + i * step`` or at ``start + i * step - window``.  These two kinds of edges cut
     each step into two parts (one if the window is a multiple of the step), and each part is cut evenly so that no
-    block is longer than ``longest``.  Block ``per_step * i`` ends at grid time ``i``, whose window is the
+    block is longer than ``longest``, by default MAX_BLOCK_MS.  Block ``per_step * i`` ends at grid time ``i``, whose window is the
     ``per_window`` blocks up to that one.
     """
 
-    def __init__(self, start: int, step: int, window: int, longest: int = MAX_BLOCK_MS) -> None:
+    def __init__(self, start: int, step: int, window: int, longest: int | None = None) -> None:
+        longest = longest or MAX_BLOCK_MS
         self.start, self.step = start, step
         whole, rest = divmod(window, step)
         self.lengths = [step - rest, rest] if rest else [step]
