@@ -30,7 +30,7 @@ from labelspark.plans.tables import (
     START,
     STORED_TEXT,
 )
-from labelspark.sources.buckets import read_bucketed, write_bucketed
+from labelspark.sources.buckets import buckets_for, read_bucketed, write_bucketed
 from labelspark.sources.index import LabelIndex, write_store
 from labelspark.sources.store import read_rollups, read_samples, read_series, write_rollups, write_samples, write_series
 from labelspark.sources.folders import exists, shared_base, shared_dir
@@ -385,10 +385,11 @@ def metadata_exact(t):
 def stored_select_bucketed(t):
     """The series request by more ids than are sent to all tasks: samples in buckets stay where they lie."""
     place, name = shared_dir(t.spark), f"samples_{uuid.uuid4().hex}"
-    write_bucketed(t.samples(), name, f"{place}/samples", 4, ["__name__", "event_type"])
+    buckets = buckets_for(t.samples(), 4)
+    write_bucketed(t.samples(), name, f"{place}/samples", buckets, ["__name__", "event_type"])
     samples = read_bucketed(t.spark, name, START - 1, END)
     write_series(samples, f"{place}/series")
-    fed = replace(federation(t, samples=samples), series=read_series(t.spark, f"{place}/series"), broadcast_ids=0, buckets=4)
+    fed = replace(federation(t, samples=samples), series=read_series(t.spark, f"{place}/series"), broadcast_ids=0, buckets=buckets)
     return flat_chunks(fed.select_series(NOT_VIEW, START, END))
 
 

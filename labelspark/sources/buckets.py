@@ -19,20 +19,28 @@ from labelspark.sources.store import SERIES_ID, clean_samples
 #: What a bucket is chosen by: all that a series is known by.
 BUCKETED_BY = ("source", *SERIES_ID)
 
+#: So many samples of a bucket are put in order by one task at most: some 200 MB with their labels.
+BUCKET_ROWS = 300_000
+
+
+def buckets_for(samples: DataFrame, least: int = 1) -> int:
+    """The number of buckets that a table needs so that they hold about BUCKET_ROWS samples each."""
+    return max(least, -(-samples.count() // BUCKET_ROWS))
+
 
 def write_bucketed(
     samples: DataFrame, table: str, path: str, buckets: int, hot: Sequence[str] = (L.METRIC_NAME,), *, mode: str = "append"
 ) -> None:
     """Store samples as a table of the session's catalogue, by day and bucket, with its files below ``path``.
 
-    Buckets are a matter of the whole table: so many that one day's samples of a bucket make a file of some 128 MB.  All
-    writes must name the same number.  Each task writes one bucket, sorted by series and time.
+    Buckets are a matter of the whole table: a bucket is written, and read again, by one task, so their number follows
+    the samples (`buckets_for`).  All writes must name the same number.  Spark sorts each bucket by series and time.
     """
     if mode not in ("append", "all"):
         raise ValueError("a bucketed table is added to or replaced")
-    ordered = clean_samples(samples, hot).repartition(buckets, *BUCKETED_BY)
-    ordered = ordered.sortWithinPartitions("day", *BUCKETED_BY, "ts_ms")
-    writer = ordered.write.mode("append" if mode == "append" else "overwrite").option("path", path)
+    # The writer sorts by day, bucket, series and time by itself; a sort before it would be held beside that one.
+    placed = clean_samples(samples, hot).repartition(buckets, *BUCKETED_BY)
+    writer = placed.write.mode("append" if mode == "append" else "overwrite").option("path", path)
     writer.partitionBy("day").bucketBy(buckets, *BUCKETED_BY).sortBy(*BUCKETED_BY, "ts_ms").saveAsTable(table, format="parquet")
 
 

@@ -292,3 +292,19 @@ def replace_samples(spark, fed, chosen, rows):
     """How many answers the same request has without a series table."""
     plain = Federation(samples(spark, rows), fed.sources)
     return align.range_select(plain.hits(chosen), T0, T0 + 3 * DAY, DAY // 2, DAY, plain.keys).count()
+
+
+def test_buckets_follow_the_samples(spark, tmp_path, monkeypatch):
+    """A bucket is one task's work, so a larger table has more of them."""
+    from labelspark.sources import buckets
+
+    rows = [("s", {"__name__": "up", "pod": f"p{i}"}, T0 + i, i) for i in range(600)]
+    monkeypatch.setattr(buckets, "BUCKET_ROWS", 50)
+    assert buckets.buckets_for(samples(spark, rows[:10]), 4) == 4
+    many = buckets.buckets_for(samples(spark, rows), 4)
+    assert many == 12
+    buckets.write_bucketed(samples(spark, rows), "many_buckets", f"{tmp_path}/samples", many)
+    held = buckets.read_bucketed(spark, "many_buckets")
+    per_file = held.groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in per_file) == 600 and max(r["count"] for r in per_file) < 150
+    spark.sql("DROP TABLE many_buckets")
