@@ -145,24 +145,23 @@ def summed_up(seen: DataFrame, keys, tiebreak: str | None = None) -> DataFrame:
     if tiebreak:
         following = F.lead("ts_ms").over(in_block)
         seen = seen.withColumn("_next", following).filter("_next IS NULL OR _next > ts_ms")
+    # The last sample of a block has seen the others, so no second table of the blocks is held beside the sort.
+    so_far = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     pairs = seen.select(
         *keys,
         "k",
-        "ts_ms",
-        "value",
-        *([tiebreak] if tiebreak else []),
+        F.first("ts_ms").over(so_far).alias("first_ts"),
+        F.first("value").over(so_far).alias("first_value"),
+        F.col("ts_ms").alias("last_ts"),
+        F.col("value").alias("last_value"),
         F.lag("ts_ms").over(in_block).alias("before_ts"),
         F.lag("value").over(in_block).alias("before_value"),
+        F.lead(F.lit(1)).over(in_block).alias("_more"),
+        *(["ts_ms", tiebreak] if tiebreak else ["ts_ms"]),
     )
-    gains = _sums(_rise(F.col("before_value"), F.col("value")), F.sum)
-    return pairs.groupBy(*keys, "k").agg(
-        F.min("ts_ms").alias("first_ts"),
-        F.min_by("value", "ts_ms").alias("first_value"),
-        F.max("ts_ms").alias("last_ts"),
-        F.max_by("value", "ts_ms").alias("last_value"),
-        F.max_by("before_ts", "ts_ms").alias("before_ts"),
-        F.max_by("before_value", "ts_ms").alias("before_value"),
-        gains.alias("gain"),
+    gains = _sums(_rise(F.col("before_value"), F.col("last_value")), lambda c: F.sum(c).over(so_far))
+    return pairs.withColumn("gain", gains).filter("_more IS NULL").select(
+        *keys, "k", "first_ts", "first_value", "last_ts", "last_value", "before_ts", "before_value", "gain"
     )
 
 
@@ -170,6 +169,9 @@ INFINITY = float("inf")
 #: Of a set of numbers: the sum of the finite ones, and how many are not a number, positive and negative infinity.
 PARTS = ("finite", "nan", "up", "down")
 TOTAL = "struct<finite: double, nan: bigint, up: bigint, down: bigint>"
+#: A block while it is the last or the first one that windows hold, and until which grid time.
+LAST_SEEN = f"struct<until: bigint, total: {TOTAL}, last_ts: bigint>"
+FIRST_SEEN = f"struct<until: bigint, total: {TOTAL}, first_ts: bigint>"
 
 
 def _sums(value: Column, total) -> Column:
@@ -236,35 +238,42 @@ def rates_of_blocks(blocks: DataFrame, edges: Blocks, points: int, keys) -> Data
     closes = F.least(floor_div(k + (per_window - 1), per_step), F.lit(points - 1).cast("bigint"))
     succ = floor_div(F.lead("k").over(in_series) - 1, per_step)
     pred = floor_div(F.lag("k").over(in_series) + (per_window - 1), per_step)
-    no_total = F.lit(None).cast(TOTAL)
-    as_last = F.struct(
+    lasts = F.struct(
         opens.alias("from"),
         F.least(closes, F.coalesce(succ, closes)).alias("until"),
-        F.col("total"),
-        F.col("last_ts"),
-        no_total.alias("total_at_first"),
-        F.lit(None).cast("bigint").alias("first_ts"),
+        F.struct(F.least(closes, F.coalesce(succ, closes)).alias("until"), "total", "last_ts").alias("last"),
+        F.lit(None).cast(FIRST_SEEN).alias("first"),
     )
-    as_first = F.struct(
+    total_at_first = _combined(F.col("total"), F.col("gain"), -1).alias("total")
+    firsts = F.struct(
         F.greatest(opens, F.coalesce(pred + 1, opens)).alias("from"),
         closes.alias("until"),
-        no_total.alias("total"),
-        F.lit(None).cast("bigint").alias("last_ts"),
-        _combined(F.col("total"), F.col("gain"), -1).alias("total_at_first"),
-        F.col("first_ts"),
+        F.lit(None).cast(LAST_SEEN).alias("last"),
+        F.struct(closes.alias("until"), total_at_first, "first_ts").alias("first"),
     )
-    roles = blocks.select("_hash", *keys, as_last.alias("as_last"), as_first.alias("as_first"))
+    roles = blocks.select("_hash", *keys, lasts.alias("as_last"), firsts.alias("as_first"))
     roles = roles.select("_hash", *keys, F.inline(F.array("as_last", "as_first"))).filter("from <= until")
-    roles = roles.withColumn("slot", F.explode(F.sequence("from", "until")))
-    ends = roles.groupBy("_hash", *keys, "slot").agg(
-        *(F.max(c).alias(c) for c in ("total", "last_ts", "total_at_first", "first_ts"))
-    )
-    seconds = (F.col("last_ts") - F.col("first_ts")) / 1000.0
-    return ends.filter("last_ts > first_ts").select(
+
+    # The blocks seen first and last change where a role begins, so a role's start answers for the grid times up to
+    # the next start.  Rows are copied to their grid times after that: none of the copies is sorted or held.
+    by_start = Window.partitionBy("_hash", *keys).orderBy("from")
+    rows_so_far = by_start.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = roles.select(
         *keys,
-        (F.lit(start) + F.col("slot") * step).alias("ts_ms"),
-        (_number(_combined(F.col("total"), F.col("total_at_first"), -1)) / seconds).alias("value"),
+        "from",
+        F.last("last", ignorenulls=True).over(rows_so_far).alias("last"),
+        F.last("first", ignorenulls=True).over(rows_so_far).alias("first"),
+        (F.lead("from").over(by_start) - 1).alias("next"),
     )
+    reach = F.least("last.until", "first.until")
+    reach = F.least(reach, F.coalesce("next", reach))
+    held = seen.filter(F.col("last").isNotNull() & F.col("first").isNotNull())
+    held = held.withColumn("reach", reach).filter("from <= reach AND last.last_ts > first.first_ts")
+    seconds = (F.col("last.last_ts") - F.col("first.first_ts")) / 1000.0
+    rate = _number(_combined(F.col("last.total"), F.col("first.total"), -1)) / seconds
+    answers = held.select(*keys, "from", "reach", rate.alias("value"))
+    slots = answers.select(*keys, "value", F.explode(F.sequence("from", "reach")).alias("slot"))
+    return slots.select(*keys, (F.lit(start) + F.col("slot") * step).alias("ts_ms"), "value")
 
 
 def counter_irate(

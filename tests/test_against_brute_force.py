@@ -150,3 +150,27 @@ def test_tiebreak(spark):
     df = identified(spark, [("s", {"n": "a"}, 1000, v) for v in (5, 9, 7)]).withColumn("seq", F.col("value") * -1)
     assert answers(align.instant_select(df, 1000, 10, tiebreak="seq")) == {("a", 1000): 5.0}
     assert answers(align.range_select(df, 1000, 2000, 500, 600, tiebreak="seq")) == {("a", 1000): 5.0, ("a", 1500): 5.0}
+
+
+def test_answers_are_copied_to_the_grid_last(spark):
+    df = identified(spark, [("a", {"x": "1"}, 1000 * i, i) for i in range(10)])
+    shown = align.counter_rate(df, 0, 9000, 1000, 5000)._jdf.queryExecution().optimizedPlan().toString()
+    above, found, below = shown.partition("Generate explode(sequence")
+    assert found and not any(word in above for word in ("Aggregate", "Window", "Sort", "Repartition"))
+    assert "Window" in below and "Aggregate" not in below
+
+
+def test_rates_by_series_with_gaps_and_windows_within_a_step(spark):
+    """A window shorter than the step, series that pause for several steps, and blocks that no window holds."""
+    points = [(t, float(t % 7)) for t in (1, 40, 41, 95, 96, 97, 100, 101, 399, 400, 401, 760, 795, 799, 800)]
+    df = identified(spark, [(s, {}, t, v) for s in "ab" for t, v in points if s == "a" or t > 90])
+    for window in (10, 60, 100, 130, 450):
+        got = {(r.source, r.ts_ms): r.value for r in align.counter_rate(df, 0, 1000, 100, window).collect()}
+        want = {}
+        for s in "ab":
+            for at in range(0, 1001, 100):
+                inside = [(t, v) for t, v in points if at - window < t <= at and (s == "a" or t > 90)]
+                if len(inside) > 1:
+                    gain = sum(v - w if v >= w else v for (_, w), (_, v) in zip(inside, inside[1:]))
+                    want[s, at] = gain / ((inside[-1][0] - inside[0][0]) / 1000)
+        assert got == pytest.approx(want)
