@@ -41,6 +41,10 @@ from labelspark.sources.store import SERIES_ID, add_series, clean_samples, serie
 #: The id space of a (source, day) is cut into this many blocks, a power of two; 4,096 ids a block at 4 million series.
 BLOCKS = 1024
 
+#: One task lists so many series; those of a (source, day) may go to 2 to the power of PART_BITS tasks, by their block.
+TASK_SERIES = 100_000
+PART_BITS = 7
+
 #: Up to so many value ids stand in the filter of the scan; more are joined.
 LISTED = 1_000
 
@@ -84,16 +88,9 @@ def write_index(series: DataFrame, path: str, *, mode: str = "append", blocks: i
     values = values.withColumn("value_id", value_id(F.col("label"), F.col("value")))
     known = stored(spark, f"{path}/grams")
     _refuse_clashes(values, None if known is None or mode == "all" else stored(spark, f"{path}/values"))
-    every = series.select("source", "day", *SERIES_ID, F.lit(ALL).alias("label"), F.lit(ALL).alias("value"))
-    block = F.shiftrightunsigned("id_hi", 64 - blocks.bit_length() + 1).cast("int") if blocks > 1 else F.lit(0)
-    listed = told.unionByName(every).select(
-        "source", "day", "label", value_id(F.col("label"), F.col("value")).alias("value_id"), block.alias("block"), *SERIES_ID
-    )
-    postings = listed.groupBy("source", "day", "label", "value_id", "block").agg(
-        F.sort_array(F.collect_list(F.struct(*SERIES_ID))).alias("ids")
-    )
+    postings = _postings(series, blocks)
     writer(_ordered(values, "label", "value"), mode).partitionBy("source", "day").parquet(f"{path}/values")
-    writer(_ordered(postings, "label", "value_id", "block"), mode).partitionBy("source", "day").parquet(f"{path}/postings")
+    writer(postings, mode).partitionBy("source", "day").parquet(f"{path}/postings")
     grams = values.select("label", "value_id", "value").distinct()
     grams = grams.select("label", F.explode(grams_of(F.col("value"))).alias("gram"), "value_id")
     if known is not None and mode == "append":
@@ -103,6 +100,32 @@ def write_index(series: DataFrame, path: str, *, mode: str = "append", blocks: i
     writer(spread, "append" if mode == "partitions" else mode).parquet(f"{path}/grams")
 
 
+def _postings(series: DataFrame, blocks: int) -> DataFrame:
+    """The lists of ids, in the order in which they are written.
+
+    Series are sent with their value ids, once, to the task that holds their part of the id space; the lists are made
+    and sorted there, and no posting is shuffled.
+    """
+    block = F.shiftrightunsigned("id_hi", 64 - blocks.bit_length() + 1).cast("int") if blocks > 1 else F.lit(0)
+
+    def held(label: Column, value: Column) -> Column:
+        return F.struct(label.alias("label"), value_id(label, value).alias("value_id"))
+
+    own = F.transform(F.map_entries("labels"), lambda pair: held(pair["key"], pair["value"]))
+    told = series.select(
+        "source", "day", *SERIES_ID, block.alias("block"), F.concat(F.array(held(F.lit(ALL), F.lit(ALL))), own).alias("held")
+    )
+    told = told.withColumn("part", F.shiftright("block", max(blocks.bit_length() - 1 - PART_BITS, 0)))
+    tasks = max(1, -(-series.count() // TASK_SERIES))
+    spread = told.repartitionByRange(tasks, "source", "day", "part")
+    listed = spread.select("source", "day", "part", "block", *SERIES_ID, F.inline("held"))
+    lists = listed.groupBy("source", "day", "part", "label", "value_id", "block").agg(
+        F.sort_array(F.collect_list(F.struct(*SERIES_ID))).alias("ids")
+    )
+    lists = lists.select("source", "day", "label", "value_id", "block", "ids")
+    return lists.sortWithinPartitions("source", "day", "label", "value_id", "block")
+
+
 def write_store(
     samples: DataFrame, path: str, hot: Sequence[str] = (L.METRIC_NAME,), *, mode: str = "append", blocks: int = BLOCKS
 ) -> None:

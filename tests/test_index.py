@@ -245,3 +245,22 @@ def test_series_alive_within_a_day(spark):
     for start, end, want in ((4000, 6000, 1), (4000, 4500, 0), (9000, 9000, 2), (1000, 8000, 2), (9001, 9500, 0)):
         got = series.alive(table, held, T0 + start, T0 + end, ["source", *store.SERIES_ID])
         assert got.count() == want
+
+
+def test_series_are_sent_once_to_the_tasks_that_list_them(spark, tmp_path, monkeypatch):
+    """One (source, day) with many series is listed by several tasks, and no posting is shuffled."""
+    monkeypatch.setattr(index, "TASK_SERIES", 50)
+    rows = [("s", {"__name__": "up", "pod": f"p{i % 7}", "n": f"{i}"}, T0 + i, 1.0) for i in range(400)]
+    store.write_series(store.with_series_id(samples(spark, rows)), f"{tmp_path}/series")
+    table = store.read_series(spark, f"{tmp_path}/series")
+    lists = index._postings(table, 16)
+    assert lists._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 1
+    assert "Exchange" not in plan(lists).partition("Generate")[0]
+    assert lists.select(F.spark_partition_id()).distinct().count() > 2
+    held = [(r.label, r.value_id, r.block, [tuple(i) for i in r.ids]) for r in lists.collect()]
+    want = {}
+    for r in table.withColumn("ids", F.map_entries("labels")).select(
+        "id_hi", "id_lo", F.explode(F.concat(F.array(F.struct(F.lit("").alias("key"), F.lit("").alias("value"))), "ids")).alias("p")
+    ).select("id_hi", "id_lo", "p.key", index.value_id(F.col("p.key"), F.col("p.value")).alias("v")).collect():
+        want.setdefault((r.key, r.v, (r.id_hi % 2**64) >> 60), []).append((r.id_hi, r.id_lo))
+    assert len(held) == len(want) and {h[:3]: h[3] for h in held} == {k: sorted(v) for k, v in want.items()}
