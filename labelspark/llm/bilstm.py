@@ -15,6 +15,8 @@ LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 CHARS = 102  # padding, ASCII, other letters, other characters
 SIZES = {"e": 8, "h": 16}
 FORBIDDEN = -1e4
+#: Gains are sums of some hundred rounded numbers; bounds nearer to nought prove nothing.
+SLACK = 1e-2
 
 
 #: First digits of scripts whose digits are read as ASCII digits; full-width forms of ASCII are read as ASCII as well.
@@ -22,8 +24,8 @@ DIGITS_FROM = (0x0660, 0x06F0, 0x0966, 0x09E6)
 WIDE, WIDE_END, WIDE_SHIFT = 0xFF01, 0xFF5E, 0xFEE0
 
 
-def char_ids(points: np.ndarray) -> np.ndarray:
-    """Padding (0xFFFFFFFF) 0, printable ASCII 1 to 95, line ends 96, other blanks 97, controls 98, other letters 99 to 101 by range."""
+def _worked_out(points: np.ndarray) -> np.ndarray:
+    """Printable ASCII 1 to 95, line ends 96, other blanks 97, controls 98, other letters 99 to 101 by range."""
     wide = (points >= WIDE) & (points <= WIDE_END)
     points = np.where(wide, points - WIDE_SHIFT, points)
     for first in DIGITS_FROM:
@@ -36,7 +38,18 @@ def char_ids(points: np.ndarray) -> np.ndarray:
     ids[printable] = points[printable] - 31
     ids[(points == 10) | (points == 13)] = 96
     ids[(points == 9) | (points == 160)] = 97
-    ids[points == 0xFFFFFFFF] = 0
+    return ids
+
+
+#: The ids of the first 65,536 code points, and that of all others.
+IDS = _worked_out(np.arange(0x10001, dtype=np.uint32))
+PADDING = 0xFFFFFFFF
+
+
+def char_ids(points: np.ndarray) -> np.ndarray:
+    """Padding 0, printable ASCII 1 to 95, line ends 96, other blanks 97, controls 98, other letters 99 to 101 by range."""
+    ids = IDS.take(points, mode="clip")
+    ids[points == PADDING] = 0
     return ids
 
 
@@ -134,42 +147,83 @@ def emissions(params: dict, ids: np.ndarray, keep: list | None = None) -> np.nda
 
 
 def scores_of(params: dict, ids: np.ndarray) -> np.ndarray:
-    """The scores of `emissions` as (l, k, n): both directions in one loop, all in place, without what training needs."""
-    h, e = SIZES["h"], SIZES["e"]
+    """The scores of `emissions` as (l, k, n): both directions in one loop, all in place, without what training needs.
+
+    What a step reads and writes is to stay in the processor's cache, which a few hundred windows at a time do: outputs are not
+    kept but turned into scores by the next step's product.
+    """
+    h, e, k = SIZES["h"], SIZES["e"], len(LABELS)
     n, steps = ids.shape
     # A quarter and a half of the gates go into the weights; characters and the constant stand below the last outputs.
     share = np.ones((4 * h, 1), np.float32)
     share[: 3 * h] = 0.25
     half = np.zeros((4 * h, 1), np.float32)
     half[: 3 * h] = 0.5
-    ways = [np.concatenate([params[f"h{w}"].T, params[f"x{w}"].T, params[f"g{w}"][:, None]], 1) * share for w in "fb"]
-    for way in ways:
-        way[:, -1:] += half
-    weights = np.stack(ways).astype(np.float32)
-    chars = np.ascontiguousarray(params["emb"].T)[:, ids.T]
+    weights = np.zeros((2, 4 * h + k, h + e + 1), np.float32)
+    for w, way in zip("fb", weights, strict=True):
+        way[: 4 * h] = np.concatenate([params[f"h{w}"].T, params[f"x{w}"].T, params[f"g{w}"][:, None]], 1) * share
+        way[: 4 * h, -1:] += half
+    weights[0, 4 * h :, :h], weights[1, 4 * h :, :h] = params["out"][:h].T, params["out"][h:].T
+    weights[0, 4 * h :, -1] = params["bias"]
+    chars, at = np.ascontiguousarray(params["emb"].T), ids.T.astype(np.intp)
     held = np.zeros((2, h + e + 1, n), np.float32)
     held[:, -1] = 1
-    z, cell, new = np.empty((2, 4 * h, n), np.float32), np.zeros((2, h, n), np.float32), np.empty((2, h, n), np.float32)
-    out = np.empty((2, steps, h, n), np.float32)
-    gates, fresh = z[:, : 3 * h], z[:, 3 * h :]
-    for t in range(steps):
-        held[0, h : h + e], held[1, h : h + e] = chars[:, t], chars[:, steps - 1 - t]
-        np.matmul(weights, held, out=z)
+    last, next_f, next_b = held[:, :h].transpose(1, 0, 2), held[0, h : h + e], held[1, h : h + e]
+    z, cell, new = np.empty((4 * h + k, 2, n), np.float32), np.zeros((h, 2, n), np.float32), np.empty((h, 2, n), np.float32)
+    gates, fresh, told = z[: 3 * h], z[3 * h : 4 * h], z[4 * h :]
+    out = np.empty((2, steps, k, n), np.float32)
+    for t in range(steps + 1):
+        if t < steps:
+            chars.take(at[t], axis=1, out=next_f, mode="clip")
+            chars.take(at[steps - 1 - t], axis=1, out=next_b, mode="clip")
+        np.matmul(weights[0], held[0], out=z[:, 0])
+        np.matmul(weights[1], held[1], out=z[:, 1])
+        if t > 0:
+            out[0, t - 1], out[1, steps - t] = told[:, 0], told[:, 1]
+        if t == steps:
+            break
         np.clip(gates, 0, 1, out=gates)
         np.abs(fresh, out=new)
         new += 1
         fresh /= new
-        np.multiply(gates[:, :h], fresh, out=new)
-        cell *= gates[:, h : 2 * h]
-        cell += new
+        fresh *= gates[:h]
+        cell *= gates[h : 2 * h]
+        cell += fresh
         np.abs(cell, out=new)
         new += 1
         np.divide(cell, new, out=new)
-        new *= gates[:, 2 * h :]
-        held[:, :h] = new
-        out[0, t], out[1, steps - 1 - t] = new
-    last = np.ascontiguousarray(params["out"].T)
-    return np.matmul(last[:, :h], out[0]) + np.matmul(last[:, h:], out[1]) + params["bias"][:, None]
+        np.multiply(new, gates[2 * h :], out=last)
+    return np.add(out[0], out[1], out=out[0])
+
+
+def may_beat(scores: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """False for windows of (l, k, n) scores in which surely no path scores more than O everywhere; true for all that have one.
+
+    The recursion of best paths with bounds: a span may begin after the best label of all, at the greatest score of a move
+    from any label; O counts nothing as long as no path can come back to it with a gain.
+    """
+    moves = (moves - moves[0, 0]).astype(np.float32)
+    first, inner = slice(1, None, 2), slice(2, None, 2)
+    m = len(KINDS)
+    gains = np.empty((len(scores), 2 * m, scores.shape[2]), np.float32)  # begins, then insides
+    np.subtract(scores[:, first], scores[:, :1], out=gains[:, :m])
+    np.subtract(scores[:, inner], scores[:, :1], out=gains[:, m:])
+    from_o, from_any = moves[0, first][:, None], moves[1:, first].max(axis=0)[:, None]
+    onward = np.concatenate([np.diagonal(moves[part, inner]) for part in (first, inner)])[:, None]
+    best = gains[0].copy()
+    best[m:] += FORBIDDEN
+    most = best.max(axis=0)
+    peak, ways = most.copy(), np.empty_like(best)
+    begin, inside = best[:m], best[m:]
+    for gain in gains[1:]:
+        np.add(best, onward, out=ways)
+        np.maximum(ways[:m], ways[m:], out=inside)
+        np.add(most, from_any, out=begin)
+        np.maximum(begin, from_o, out=begin)
+        best += gain
+        np.maximum.reduce(best, axis=0, out=most)
+        np.maximum(peak, most, out=peak)
+    return peak + max(0.0, moves[1:, 0].max()) > -SLACK
 
 
 def beats(scores: np.ndarray, moves: np.ndarray, at_once: int = 512) -> np.ndarray:
@@ -275,21 +329,39 @@ def train(ids: np.ndarray, gold: np.ndarray, *, epochs: int = 5, batch: int = 64
     return params
 
 
-def best_paths(params: dict, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def best_paths(params: dict, ids: np.ndarray, at_once: int = 512, decode_at_once: int = 2048) -> tuple[np.ndarray, np.ndarray]:
     """Most likely labels (n, l) of windows and the probability of each label where it stands (1 for windows all O).
 
-    Most windows are all O, which `beats` proves; only the others are decoded.
+    Most windows are all O, which `may_beat` and `beats` prove; only the others are decoded, together.
     """
-    every = scores_of(params, ids)
     moves = params["moves"] + allowed()
     labels, sure = np.zeros(ids.shape, np.int64), np.ones(ids.shape, np.float32)
-    some = np.flatnonzero(beats(every, moves))
-    if len(some):
-        scores = np.ascontiguousarray(every[:, :, some].transpose(0, 2, 1))
+    places, left = [], []
+
+    def decode() -> None:
+        scores = np.concatenate(left, axis=2)
+        proven = beats(scores, moves)
+        some = np.concatenate(places)[proven]
+        scores = np.ascontiguousarray(scores[:, :, proven].transpose(0, 2, 1))
+        places.clear()
+        left.clear()
+        if not len(some):
+            return
         labels[some] = decoded(scores, moves)
         to, back, whole = forward_backward(scores, moves)
         odds = np.exp(to + back - whole[None, :, None])
         sure[some] = np.take_along_axis(odds, labels[some].T[:, :, None], 2)[:, :, 0].T
+
+    for at in range(0, len(ids), at_once):
+        scores = scores_of(params, ids[at : at + at_once])
+        some = np.flatnonzero(may_beat(scores, moves))
+        if len(some):
+            places.append(at + some)
+            left.append(scores[:, :, some])
+        if sum(map(len, places)) >= decode_at_once:
+            decode()
+    if places:
+        decode()
     return labels, sure
 
 

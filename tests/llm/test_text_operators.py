@@ -175,6 +175,65 @@ def test_fast_scores_equal_those_of_the_training():
     assert np.allclose(bilstm.scores_of(params, ids).transpose(0, 2, 1), bilstm.emissions(params, ids), atol=1e-4)
 
 
+def test_the_network_runs_a_few_windows_at_a_time_and_decodes_together(monkeypatch):
+    draw = np.random.default_rng(4)
+    params, ids = bilstm.initial(3), draw.integers(0, bilstm.CHARS, (1100, 30)).astype(np.uint8)
+    params["bias"][0] = 0.35
+    sizes, decoded = [], []
+    scores_of, sums = bilstm.scores_of, bilstm.forward_backward
+    monkeypatch.setattr(bilstm, "scores_of", lambda p, i: sizes.append(len(i)) or scores_of(p, i))
+    monkeypatch.setattr(bilstm, "forward_backward", lambda s, m: decoded.append(s.shape[1]) or sums(s, m))
+    labels, sure = bilstm.best_paths(params, ids)
+    assert max(sizes) <= 512 and sum(sizes) == len(ids)  # more leave the processor's cache
+    assert len(decoded) == 1 and 0 < decoded[0] < len(ids)
+    few = bilstm.best_paths(params, ids, at_once=64, decode_at_once=16)
+    assert len(decoded) > 2 and sum(decoded) == 2 * decoded[0]
+    scores, moves = bilstm.emissions(params, ids), params["moves"] + bilstm.allowed()
+    to, back, whole = sums(scores, moves)
+    every = bilstm.decoded(scores, moves)
+    odds = np.take_along_axis(np.exp(to + back - whole[None, :, None]), every.T[:, :, None], 2)[:, :, 0].T
+    some = every.any(axis=1)
+    for got, certain in ((labels, sure), few):
+        assert np.array_equal(got, every) and np.allclose(certain[some], odds[some], atol=1e-3)
+        assert (certain[~some] == 1).all()
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_windows_that_the_bound_rules_out_are_all_o(seed):
+    draw = np.random.default_rng(seed)
+    k = len(bilstm.LABELS)
+    scores = draw.normal(0, 1, (20, 400, k)).astype(np.float32)
+    scores[:, :, 0] += draw.choice([0, 1, 2, 3, 5], 400)
+    moves = draw.normal(draw.choice([-1, 0, 1]), 1, (k, k)).astype(np.float32) + bilstm.allowed()
+    moves[:, 2::2] -= 1
+    turned = np.ascontiguousarray(scores.transpose(0, 2, 1))
+    may, beats = bilstm.may_beat(turned, moves), bilstm.beats(turned, moves)
+    assert not (beats & ~may).any() and beats.any()
+    assert not (bilstm.decoded(scores, moves).any(axis=1) & ~may).any()
+    assert seed or not may.all()
+
+
+def test_character_ids_of_windows():
+    def plain(c):
+        if 0xFF01 <= c <= 0xFF5E:
+            c -= 0xFEE0
+        c = next((c - first + 48 for first in bilstm.DIGITS_FROM if first <= c < first + 10), c)
+        if 32 <= c < 127:
+            return c - 31
+        if c in (10, 13, 9, 160):
+            return 96 if c in (10, 13) else 97
+        return 98 if c < 128 else 99 if c < 0x250 else 100 if c < 0x3000 else 101
+
+    points = np.array([*range(0x3100), *range(0xFEF0, 0x10010), 0x1F600, 0x10FFFF], np.uint32)
+    want = [plain(int(c)) for c in points]
+    assert bilstm.char_ids(points).tolist() == want
+    assert bilstm.char_ids(np.array([65, bilstm.PADDING], np.uint32)).tolist() == [34, 0]
+    starts = pii.all_windows(points)
+    for some in (starts, starts[:3], starts[-2:], starts[5:6]):
+        rows = [(want[s : s + pii.WINDOW] + [0] * pii.WINDOW)[: pii.WINDOW] for s in some.tolist()]
+        assert pii.cut_out(points, some).tolist() == rows
+
+
 def test_reconciled_spans_match_all_subsets():
     from itertools import combinations
 
